@@ -122,3 +122,120 @@ def exact_percentiles(df: DataFrame, key_cols: Sequence[str], value_col: str,
         frac = F.first(position - lo)
         aggs.append((lo_v + (hi_v - lo_v) * frac).alias(name))
     return picked.groupBy(*keys).agg(*aggs)
+
+
+def _local_cumsum(keys: list[str], value_col: str, out_col: str):
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        last_key, carry = None, 0
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            kf = pdf[keys].astype(object).apply(tuple, axis=1) if len(keys) > 1 else pdf[keys[0]]
+            kv = kf.to_numpy(dtype=object)
+            new_seg = np.ones(len(pdf), dtype=bool)
+            new_seg[1:] = kv[1:] != kv[:-1]
+            seg = np.cumsum(new_seg)
+            vals = pdf[value_col].fillna(0).astype("int64")
+            cs = vals.groupby(seg).cumsum().to_numpy()
+            if kv[0] == last_key:
+                cs[seg == 1] += carry
+            last_key, carry = kv[-1], int(cs[-1])
+            yield pdf.assign(**{out_col: cs})
+    return run
+
+
+def running_sum_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str | Column],
+                       value_col: str, out_col: str, partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of an integer column in (key, order) order.
+
+    Partition-local sums run in one streaming pass over the range-sorted
+    partitions; the per-(partition, key) totals are combined into offsets.
+    """
+    from pyspark.sql import types as T
+    keys = list(key_cols)
+    x = range_sorted(df, keys, order_cols, partitions)
+    per_part = x.groupBy(PART, *keys).agg(F.sum(value_col).cast("long").alias("_s_local"))
+    per_part = per_part.withColumn(
+        "_offset",
+        F.sum("_s_local").over(Window.partitionBy(*keys).orderBy(PART)) - F.col("_s_local"),
+    ).drop("_s_local")
+    schema = T.StructType(x.schema.fields + [T.StructField(out_col, T.LongType())])
+    local = x.mapInPandas(_local_cumsum(keys, value_col, out_col), schema)
+    out = join_small(local, per_part, [PART, *keys])
+    return out.withColumn(out_col, F.col(out_col) + F.col("_offset")).drop("_offset", PART, MID)
+
+
+def rolling_counts(df: DataFrame, key_cols: Sequence[str], time_col: str, width: int,
+                   id_col: str, weight_col: str | None = None,
+                   partitions: int | None = None) -> DataFrame:
+    """For every row: sum of weights (default: count) of rows of the same key whose
+    integer time lies in (t - width, t] (RANGE frame, peers included).
+
+    Rows carry no partner lists: the count is a difference of two running sums
+    read at probe points t and t - width, so no pairs are ever formed.
+    """
+    keys = list(key_cols)
+    w = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
+    real = df.select(*keys, F.col(time_col).cast("long").alias("_t"), F.lit(0).alias("_probe"),
+                     w.alias("_one"), F.col(id_col).alias("_id"), F.lit(0).alias("_side"))
+    hi = df.select(*keys, F.col(time_col).cast("long").alias("_t"), F.lit(1).alias("_probe"),
+                   F.lit(0).cast("long").alias("_one"), F.col(id_col).alias("_id"),
+                   F.lit(1).alias("_side"))
+    lo = df.select(*keys, (F.col(time_col).cast("long") - F.lit(width)).alias("_t"),
+                   F.lit(1).alias("_probe"), F.lit(0).cast("long").alias("_one"),
+                   F.col(id_col).alias("_id"), F.lit(2).alias("_side"))
+    u = real.unionByName(hi).unionByName(lo)
+    cs = running_sum_within(u, keys, ["_t", "_probe", "_id", "_side"], "_one", "_c", partitions)
+    his = cs.where(F.col("_side") == 1).select(*keys, "_id", F.col("_c").alias("_hi"))
+    los = cs.where(F.col("_side") == 2).select(*keys, "_id", F.col("_c").alias("_lo"))
+    counts = his.join(los, [*keys, "_id"]).select(
+        *keys, F.col("_id").alias(id_col), (F.col("_hi") - F.col("_lo")).alias("window_count"))
+    return counts
+
+
+def _local_prev(keys: list[str], value_col: str):
+    import numpy as np
+
+    def run(batches):
+        last_key, last_val = None, None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            kf = pdf[keys].astype(object).apply(tuple, axis=1) if len(keys) > 1 else pdf[keys[0]]
+            kv = kf.to_numpy(dtype=object)
+            vals = pdf[value_col].to_numpy(dtype=float)
+            prev = np.empty(len(pdf), dtype=float)
+            prev[0] = last_val if (last_key is not None and kv[0] == last_key) else np.nan
+            prev[1:] = vals[:-1]
+            same = np.ones(len(pdf), dtype=bool)
+            same[1:] = kv[1:] == kv[:-1]
+            same[0] = last_key is not None and kv[0] == last_key
+            prev[~same] = np.nan
+            first_flag = ~same
+            last_key, last_val = kv[-1], vals[-1]
+            yield pdf.assign(_prev=prev, _first_local=first_flag)
+    return run
+
+
+def previous_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str | Column],
+                    value_col: str, partitions: int | None = None) -> DataFrame:
+    """Add `_prev`: the value of the previous row of the same key in order (like
+    `lag`), computed per range partition plus a small boundary table."""
+    from pyspark.sql import types as T
+    keys = list(key_cols)
+    x = range_sorted(df, keys, order_cols, partitions)
+    schema = T.StructType(x.schema.fields + [T.StructField("_prev", T.DoubleType()),
+                                             T.StructField("_first_local", T.BooleanType())])
+    local = x.mapInPandas(_local_prev(keys, value_col), schema)
+    # Last value of each (partition, key), shifted to the next partition holding the key.
+    lasts = x.groupBy(PART, *keys).agg(
+        F.max_by(F.col(value_col).cast("double"), F.col(MID)).alias("_last_v"))
+    lasts = lasts.withColumn(
+        "_carry", F.lag("_last_v").over(Window.partitionBy(*keys).orderBy(PART))).select(
+        PART, *keys, "_carry")
+    out = join_small(local, lasts, [PART, *keys], "left")
+    fixed = F.when(F.col("_first_local"), F.col("_carry")).otherwise(F.col("_prev"))
+    return out.withColumn("_prev", fixed).drop("_carry", "_first_local", PART, MID)
