@@ -124,9 +124,8 @@ def exact_percentiles(df: DataFrame, key_cols: Sequence[str], value_col: str,
     return picked.groupBy(*keys).agg(*aggs)
 
 
-def _local_cumsum(keys: list[str], value_col: str, out_col: str):
+def _local_cumsum(keys: list[str], value_col: str, out_col: str, op: str = "sum"):
     import numpy as np
-    import pandas as pd
 
     def run(batches):
         last_key, carry = None, 0
@@ -139,9 +138,14 @@ def _local_cumsum(keys: list[str], value_col: str, out_col: str):
             new_seg[1:] = kv[1:] != kv[:-1]
             seg = np.cumsum(new_seg)
             vals = pdf[value_col].fillna(0).astype("int64")
-            cs = vals.groupby(seg).cumsum().to_numpy()
-            if kv[0] == last_key:
-                cs[seg == 1] += carry
+            if op == "sum":
+                cs = vals.groupby(seg).cumsum().to_numpy()
+                if kv[0] == last_key:
+                    cs[seg == 1] += carry
+            else:
+                cs = vals.groupby(seg).cummax().to_numpy()
+                if kv[0] == last_key:
+                    cs[seg == 1] = np.maximum(cs[seg == 1], carry)
             last_key, carry = kv[-1], int(cs[-1])
             yield pdf.assign(**{out_col: cs})
     return run
@@ -168,6 +172,25 @@ def running_sum_within(df: DataFrame, key_cols: Sequence[str], order_cols: Seque
     return out.withColumn(out_col, F.col(out_col) + F.col("_offset")).drop("_offset", PART, MID)
 
 
+def running_max_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str | Column],
+                       value_col: str, out_col: str, partitions: int | None = None) -> DataFrame:
+    """Inclusive running maximum of an integer column in (key, order) order."""
+    from pyspark.sql import types as T
+    keys = list(key_cols)
+    x = range_sorted(df, keys, order_cols, partitions)
+    per_part = x.groupBy(PART, *keys).agg(F.max(value_col).cast("long").alias("_m_local"))
+    per_part = per_part.withColumn(
+        "_carry",
+        F.max("_m_local").over(Window.partitionBy(*keys).orderBy(PART).rowsBetween(
+            Window.unboundedPreceding, -1)),
+    ).drop("_m_local")
+    schema = T.StructType(x.schema.fields + [T.StructField(out_col, T.LongType())])
+    local = x.mapInPandas(_local_cumsum(keys, value_col, out_col, "max"), schema)
+    out = join_small(local, per_part, [PART, *keys])
+    return out.withColumn(out_col, F.greatest(F.col(out_col), F.col("_carry"))).drop(
+        "_carry", PART, MID)
+
+
 def rolling_counts(df: DataFrame, key_cols: Sequence[str], time_col: str, width: int,
                    id_col: str, weight_col: str | None = None,
                    partitions: int | None = None) -> DataFrame:
