@@ -1 +1,181 @@
-"""Queries (filled in below)."""
+"""Governance and extraction queries (G*, C*) over documents, conversations, pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators import governance as G
+from tessera.plans.registry import register
+from tessera.sources.tables import table
+
+
+def _duck_repl(r: str) -> str:
+    return r.replace("$1", "\\1").replace("$2", "\\2").replace("$3", "\\3")
+
+
+def _sql_lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _redaction_sql() -> str:
+    stages = ["text"]
+    hits = []
+    for i, (name, pattern, repl) in enumerate(G.REDACTION_RULES):
+        prev = stages[-1]
+        hits.append(f"CAST(len(regexp_extract_all({prev}, {_sql_lit(pattern)})) AS BIGINT) AS {name}")
+        stages.append(f"regexp_replace({prev}, {_sql_lit(pattern)}, {_sql_lit(_duck_repl(repl))}, 'g')")
+    return f"""
+SELECT * FROM (
+  SELECT doc_id, {', '.join(hits)}, {stages[-1]} AS redacted FROM documents
+) WHERE {' + '.join(n for n, _, _ in G.REDACTION_RULES)} > 0"""
+
+
+@register("g1_redaction", _redaction_sql())
+def g1_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed-order redaction over whole documents with per-rule hit counts;
+    documents with at least one hit."""
+    docs = table(spark, sf_dir, "documents")
+    red, hits = G.redact(F.col("text"))
+    out = docs.select("doc_id", *[c.alias(n) for n, c in hits.items()], red.alias("redacted"))
+    total = None
+    for n in hits:
+        total = F.col(n) if total is None else total + F.col(n)
+    return out.where(total > 0)
+
+
+def _blocklist_sql() -> str:
+    cases = ", ".join(
+        f"CASE WHEN regexp_matches(text, {_sql_lit(G.blocklist_pattern(p, r))}) "
+        f"THEN {_sql_lit(n)} END" for n, p, r in G.DEFAULT_BLOCKLIST)
+    return f"""
+SELECT * FROM (
+  SELECT conv_id, turn, CASE role WHEN 'user' THEN 'prompt' ELSE 'completion' END AS source,
+         list_sort(list_filter([{cases}], lambda x: x IS NOT NULL)) AS blocked_items
+  FROM conversations WHERE role IN ('user', 'assistant')
+) WHERE len(blocked_items) > 0"""
+
+
+@register("g5_blocklist", _blocklist_sql())
+def g5_blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocklist over prompts (user turns) and completions (assistant turns)."""
+    conv = table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant"))
+    out = conv.select("conv_id", "turn",
+                      F.when(F.col("role") == "user", "prompt").otherwise("completion").alias(
+                          "source"),
+                      G.blocklist_matches(F.col("text")).alias("blocked_items"))
+    return out.where(F.size("blocked_items") > 0)
+
+
+G6_SQL = """
+WITH s AS (
+  SELECT doc_id, 'hate' AS category, 'completion' AS source,
+         CASE WHEN toxic = 1 THEN 'high' ELSE 'safe' END AS severity FROM labels
+  UNION ALL
+  SELECT doc_id, 'violence', 'completion',
+         CASE WHEN quality = 0 THEN 'medium' ELSE 'safe' END FROM labels
+)
+SELECT doc_id, category, source, severity,
+       CASE severity WHEN 'safe' THEN 0 WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 END
+         >= 2 AS blocked
+FROM s"""
+
+
+@register("g6_severity_policy", G6_SQL)
+def g6_severity_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity scores from `labels` against a Medium-threshold policy."""
+    lab = table(spark, sf_dir, "labels")
+    scores = lab.select("doc_id", F.lit("hate").alias("category"),
+                        F.lit("completion").alias("source"),
+                        F.when(F.col("toxic") == 1, "high").otherwise("safe").alias("severity")
+                        ).unionByName(
+        lab.select("doc_id", F.lit("violence").alias("category"),
+                   F.lit("completion").alias("source"),
+                   F.when(F.col("quality") == 0, "medium").otherwise("safe").alias("severity")))
+    return G.apply_policy(scores, "medium")
+
+
+C1_SQL = f"""
+WITH l AS (
+  SELECT page_id, regexp_extract_all(html, {_sql_lit(G.HTML_LINK)}, 1) AS u,
+         regexp_extract_all(html, {_sql_lit(G.HTML_LINK)}, 2) AS t
+  FROM pages
+)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, u[i] AS url, t[i] AS title
+FROM (SELECT *, unnest(range(1, len(u) + 1)) AS i FROM l)"""
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", F.posexplode(G.extract_links(F.col("html"))).alias("pos", "l")
+                        ).select("page_id", "pos", F.col("l.url").alias("url"),
+                                 F.col("l.title").alias("title"))
+
+
+@register("c1_page_links", C1_SQL)
+def c1_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL citations (url, title, position) from every page."""
+    return page_links(spark, sf_dir)
+
+
+C3_SQL = "WITH x AS (" + C1_SQL + """)
+SELECT page_id, url, min(pos) AS first_pos,
+       CASE WHEN length(trim(arg_min(title, pos))) > 0 THEN arg_min(title, pos) ELSE url END AS title
+FROM x GROUP BY page_id, url"""
+
+
+@register("c3_unique_references", C3_SQL)
+def c3_unique_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.unique_references(page_links(spark, sf_dir), "page_id")
+
+
+C4_SQL = """
+SELECT page_id,
+       CASE WHEN length(regexp_extract(url, 'q="([^"]*)"', 1)) > 0
+            THEN regexp_extract(url, 'q="([^"]*)"', 1) ELSE url END AS search_query,
+       replace(replace(url, '.example.com', '.example.org'), ' ', '%20') AS display_url
+FROM pages"""
+
+
+@register("c4_search_queries", C4_SQL)
+def c4_search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", G.search_query(F.col("url")).alias("search_query"),
+                        G.display_url(F.col("url"), ".example.com", ".example.org").alias(
+                            "display_url"))
+
+
+C5_SQL = """
+SELECT event_type, CAST(count(*) AS BIGINT) AS events
+FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY event_type"""
+
+
+@register("c5_freshness_filter", C5_SQL)
+def c5_freshness_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness 'Week' relative to the newest event."""
+    from tessera.operators.retrieval import freshness_window
+    ev = table(spark, sf_dir, "events")
+    # One scalar travels to the driver; the filter then prunes the parquet scan.
+    anchor = ev.agg(F.max("ts")).first()[0]
+    lo, hi = freshness_window("Week", anchor)
+    return ev.where((F.col("ts") > F.lit(lo)) & (F.col("ts") <= F.lit(hi))).groupBy(
+        "event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+C7_SQL = f"""
+WITH h AS (SELECT page_id, regexp_extract_all(html, {_sql_lit(G.HEADING)}, 0) AS hs FROM pages),
+x AS (SELECT page_id, unnest(range(1, len(hs) + 1)) AS i, hs FROM h)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS section_no,
+       CAST(regexp_extract(hs[i], '<h([1-6])', 1) AS INTEGER) AS level,
+       regexp_replace(hs[i], '<[^>]+>', '', 'g') AS title
+FROM x"""
+
+
+@register("c7_page_sections", C7_SQL)
+def c7_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heading sections of every page (level, title) in order."""
+    pages = table(spark, sf_dir, "pages")
+    h = pages.select("page_id", F.posexplode(G.headings(F.col("html"))).alias("section_no", "tag"))
+    return h.select("page_id", "section_no",
+                    F.regexp_extract("tag", "<h([1-6])", 1).cast("int").alias("level"),
+                    G.strip_tags(F.col("tag")).alias("title"))
