@@ -223,23 +223,22 @@ def _local_prev(keys: list[str], value_col: str):
     import numpy as np
 
     def run(batches):
-        last_key, last_val = None, None
+        last_key, last_val, seen = None, None, False
         for pdf in batches:
             if not len(pdf):
                 continue
             kf = pdf[keys].astype(object).apply(tuple, axis=1) if len(keys) > 1 else pdf[keys[0]]
             kv = kf.to_numpy(dtype=object)
-            vals = pdf[value_col].to_numpy(dtype=float)
-            prev = np.empty(len(pdf), dtype=float)
-            prev[0] = last_val if (last_key is not None and kv[0] == last_key) else np.nan
+            vals = pdf[value_col].to_numpy(dtype=object)
+            prev = np.empty(len(pdf), dtype=object)
             prev[1:] = vals[:-1]
+            prev[0] = last_val
             same = np.ones(len(pdf), dtype=bool)
             same[1:] = kv[1:] == kv[:-1]
-            same[0] = last_key is not None and kv[0] == last_key
-            prev[~same] = np.nan
-            first_flag = ~same
-            last_key, last_val = kv[-1], vals[-1]
-            yield pdf.assign(_prev=prev, _first_local=first_flag)
+            same[0] = seen and kv[0] == last_key
+            prev[~same] = None
+            last_key, last_val, seen = kv[-1], vals[-1], True
+            yield pdf.assign(_prev=prev, _first_local=~same)
     return run
 
 
@@ -250,12 +249,13 @@ def previous_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence
     from pyspark.sql import types as T
     keys = list(key_cols)
     x = range_sorted(df, keys, order_cols, partitions)
-    schema = T.StructType(x.schema.fields + [T.StructField("_prev", T.DoubleType()),
+    vtype = x.schema[value_col].dataType
+    schema = T.StructType(x.schema.fields + [T.StructField("_prev", vtype),
                                              T.StructField("_first_local", T.BooleanType())])
     local = x.mapInPandas(_local_prev(keys, value_col), schema)
     # Last value of each (partition, key), shifted to the next partition holding the key.
     lasts = x.groupBy(PART, *keys).agg(
-        F.max_by(F.col(value_col).cast("double"), F.col(MID)).alias("_last_v"))
+        F.max_by(F.col(value_col), F.col(MID)).alias("_last_v"))
     lasts = lasts.withColumn(
         "_carry", F.lag("_last_v").over(Window.partitionBy(*keys).orderBy(PART))).select(
         PART, *keys, "_carry")

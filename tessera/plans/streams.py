@@ -1 +1,132 @@
-"""Queries (filled in below)."""
+"""Stream queries (W*): windowed rates and sessions (batch-and-stream functions),
+delta assembly, new-content polling, and two Structured Streaming jobs run with
+`availableNow` whose sink output is returned."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators import prepare
+from tessera.plans.common import round_doubles
+from tessera.plans.registry import register
+from tessera.plans.runlog import log_of
+from tessera.plans.sqlparts import REQUEST_LOG_CTE
+from tessera.sources.tables import document_requests, request_log, table
+from tessera.streaming import folds, windows
+from tessera.streaming.runner import run_available_now, stream_table
+
+W1_SQL = f"""
+WITH ev AS (
+  SELECT conv_id AS stream_id, turn * {folds.SEQ_BASE} + (i - 1) AS seq,
+         '{folds.DELTA}' AS event_type, ws[i] || CASE WHEN i < len(ws) THEN ' ' ELSE '' END AS data
+  FROM (SELECT conv_id, turn, ws, unnest(range(1, len(ws) + 1)) AS i
+        FROM (SELECT conv_id, turn, string_split(text, ' ') AS ws FROM conversations
+              WHERE role = 'assistant'))
+  UNION ALL SELECT conv_id, turn * {folds.SEQ_BASE} + {folds.SEQ_BASE - 1}, '{folds.COMPLETED}', NULL
+    FROM conversations WHERE role = 'assistant'
+  UNION ALL SELECT conv_id, turn * {folds.SEQ_BASE}, '{folds.STEP}', NULL
+    FROM conversations WHERE role <> 'assistant'
+  UNION ALL SELECT conv_id, (max(turn) + 1) * {folds.SEQ_BASE}, '{folds.DONE}', NULL
+    FROM conversations GROUP BY conv_id
+),
+cs AS (SELECT *, sum(CASE WHEN event_type <> '{folds.DELTA}' THEN 1 ELSE 0 END)
+         OVER (PARTITION BY stream_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS mn FROM ev)
+SELECT stream_id, CAST(mn AS BIGINT) AS message_no, string_agg(data, '' ORDER BY seq) AS text,
+       CAST(count(*) AS BIGINT) AS n_deltas
+FROM cs WHERE event_type = '{folds.DELTA}' GROUP BY stream_id, mn"""
+
+
+@register("w1_delta_assembly", W1_SQL)
+def w1_delta_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed deltas folded back into finished messages (batch form of the stream fold)."""
+    return folds.assemble_messages(folds.delta_events(table(spark, sf_dir, "conversations")))
+
+
+W4_SQL = "WITH " + REQUEST_LOG_CTE + """
+SELECT (start_us // 3600000000) * 3600000000 AS window_start_us, backend_id,
+       CAST(count(*) AS BIGINT) AS requests,
+       CAST(sum(CASE WHEN status_code = 200 THEN prompt_tokens ELSE 0 END) AS BIGINT) AS tokens,
+       CAST(count(*) FILTER (WHERE status_code = 429) AS BIGINT) AS throttled,
+       round_even(count(*) FILTER (WHERE status_code = 429) / count(*), 9) AS throttle_share,
+       round_even(count(*) / 60.0, 9) AS rpm,
+       round_even(sum(CASE WHEN status_code = 200 THEN prompt_tokens ELSE 0 END) / 60.0, 9) AS tpm
+FROM request_log GROUP BY ALL"""
+
+
+@register("w4_tumbling_rates", W4_SQL)
+def w4_tumbling_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling one-hour RPM / TPM / 429 share per backend (same code runs on a stream)."""
+    return round_doubles(windows.tumbling_rates(log_of(spark, sf_dir)), 9)
+
+
+W5_SQL = "WITH " + REQUEST_LOG_CTE + """,
+w AS (SELECT run_id, (start_us // 900000000) * 900000000 - k * 900000000 AS window_start_us
+      FROM request_log, (SELECT unnest(range(0, 4)) AS k))
+SELECT window_start_us, run_id, CAST(count(*) AS BIGINT) AS starts, count(*) > 6.0 AS alert
+FROM w GROUP BY ALL"""
+
+
+@register("w5_sliding_starts", W5_SQL)
+def w5_sliding_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts per sliding 1 h window (15 min slide) with the L_w = 6 alert."""
+    return windows.sliding_starts(log_of(spark, sf_dir), "1 hour", "15 minutes", 6.0)
+
+
+W6_SQL = "WITH " + REQUEST_LOG_CTE + """,
+t AS (SELECT backend_id, start_us FROM request_log WHERE status_code = 429),
+g AS (SELECT *, CASE WHEN start_us - lag(start_us) OVER (PARTITION BY backend_id ORDER BY start_us)
+                     < 1800000000 THEN 0 ELSE 1 END AS new_s FROM t),
+s AS (SELECT *, sum(new_s) OVER (PARTITION BY backend_id ORDER BY start_us
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g)
+SELECT backend_id, min(start_us) AS session_start_us, max(start_us) + 1800000000 AS session_end_us,
+       CAST(count(*) AS BIGINT) AS throttles
+FROM s GROUP BY backend_id, sid"""
+
+
+@register("w6_throttle_sessions", W6_SQL)
+def w6_throttle_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Throttle episodes (30 min session windows on 429s) per backend."""
+    return windows.throttle_sessions(log_of(spark, sf_dir), "30 minutes")
+
+
+W8_SQL = """
+SELECT conv_id, turn FROM (
+  SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev
+  FROM conversations WHERE role = 'assistant'
+) WHERE prev IS NULL OR prev <> text"""
+
+
+@register("w8_new_content", W8_SQL)
+def w8_new_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polling: emit an assistant message only when it differs from the last one."""
+    conv = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+    return folds.new_content(conv).select("conv_id", "turn")
+
+
+@register("w3_breaker_trips")
+def w3_breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming job: breaker state per backend over the 429 stream."""
+    log = request_log(stream_table(spark, sf_dir, "events"))
+    # The adapter's clock is sparse (about one 429 per backend per hour), so the
+    # registered job uses a 6 h trip window and a 1 h open period.
+    base = run_available_now(folds.breaker_trips_stream(log, 6 * 3600 * 1_000_000,
+                                                        3600 * 1_000_000), "breaker")
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("w7_request_ingest")
+def w7_request_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming job: incremental request ingest with validation and
+    in-watermark dedupe; accepted rows are returned."""
+    docs = stream_table(spark, sf_dir, "documents")
+
+    def validate(s: DataFrame) -> DataFrame:
+        reqs = document_requests(s)
+        return prepare.validate_requests(prepare.normalise_typed(reqs), None).select(
+            "doc_id", "input_id", "model", "user", "accepted", "error", "input_count")
+
+    stream, write = folds.ingest_requests(docs, validate)
+    base = run_available_now(stream, "ingest", foreach_batch=write)
+    return spark.read.parquet(f"{base}/accepted")

@@ -86,6 +86,7 @@ def request_log(events: DataFrame) -> DataFrame:
     return events.select(
         (F.col("user_id") % RUNS).alias("run_id"),
         F.col("event_id").alias("sequence"),
+        F.col("ts"),
         F.format_string("backend-%d", F.col("user_id") % BACKENDS).alias("backend_id"),
         status.alias("status_code"),
         start_us.alias("start_us"),
