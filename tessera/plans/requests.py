@@ -231,3 +231,47 @@ def p15_shape_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("tokens").alias("max_input_tokens"))
     hits = prepare.shape_violations(req, "estimated_tokens", F.col("max_input_tokens"))
     return hits.select("model", "user", packing.BATCH, "rule", "limit")
+
+
+def embedded_chunks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Packed chunk requests embedded by the native dry-run encoder."""
+    from tessera.operators import correlate
+    items = packable_chunks(spark, sf_dir)
+    assigned = packing.assign_batches(items, "settings", ["doc_id", "chunk_no"], "tokens",
+                                      MAX_INPUTS, MAX_TOKENS)
+    req = packing.packed_requests(assigned, ["model", "user"], ["doc_id", "chunk_no"],
+                                  "input_id", "text", "tokens")
+    return items, correlate.dry_run_embed(req)
+
+
+E2_SQL = P9_SQL.split("\nSELECT i.model")[0] + """
+SELECT i.input_id, i.model, i."user", CAST(w.batch_no AS BIGINT) AS batch_no,
+       CAST(i.rn - min(i.rn) OVER (PARTITION BY i.model, i."user", w.batch_no) AS INTEGER)
+         AS item_index, 2 AS dimensions
+FROM walk w JOIN items i ON i.model = w.model AND i."user" = w."user" AND i.rn = w.rn"""
+
+
+@register("e2_correlated_outputs", E2_SQL)
+def e2_correlated_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + E2 + E5: dry-run embed every packed request and correlate each vector
+    back to its input id by response index."""
+    from tessera.operators import correlate
+    _, resp = embedded_chunks(spark, sf_dir)
+    out = correlate.correlate(resp, keep=["model", "user", packing.BATCH])
+    return out.select("input_id", "model", "user", packing.BATCH, "item_index",
+                      F.size("embedding").alias("dimensions"))
+
+
+E6_SQL = "WITH " + chunks_cte(WORDS_PER_CHUNK) + f"""
+SELECT CAST(count(*) AS BIGINT) AS inputs, CAST(count(*) AS BIGINT) AS outputs,
+       CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, CAST(0 AS BIGINT) AS duplicated
+FROM chunk_tokens WHERE length(text) > 0 AND tokens <= {MAX_TOKENS}"""
+
+
+@register("e6_completeness", E6_SQL)
+def e6_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every packed input returned exactly once, nothing extra (anti-joins both ways)."""
+    from tessera.operators import correlate
+    items, resp = embedded_chunks(spark, sf_dir)
+    outs = correlate.correlate(resp)
+    return correlate.completeness(items, outs)
