@@ -327,3 +327,30 @@ def error_samples(log: DataFrame, code_col: str, sample: int = 5) -> DataFrame:
         F.sort_array(F.collect_list("sequence")).alias("sample_sequences"),
         F.first("_n").alias("count"))
     return first.withColumn("omitted", F.greatest(F.col("count") - sample, F.lit(0)))
+
+
+def retry_after_seconds(ms_header: Column, s_header: Column) -> Column:
+    """A present ms header wins (even when unparsable → null); else the
+    seconds header; clamped at 0; unparsable → null."""
+    ms = ms_header.try_cast("double")
+    s = s_header.try_cast("double")
+    # `greatest` skips nulls, so an unparsable value is kept null explicitly.
+    return (F.when(ms_header.isNotNull(), F.when(ms.isNotNull(), F.greatest(ms / 1000, F.lit(0.0))))
+            .when(s_header.isNotNull(), F.when(s.isNotNull(), F.greatest(s, F.lit(0.0)))))
+
+
+def error_metadata(df: DataFrame, body_col: str) -> DataFrame:
+    """`error_code`, `error_message` from a JSON error body: the `error`
+    object if present, else the whole body; a non-JSON body is the message;
+    messages are capped at 500 characters."""
+    v = df.withColumn("_v", F.try_parse_json(F.col(body_col)))
+    v = v.withColumn("_e", F.coalesce(F.expr("try_variant_get(_v, '$.error', 'variant')"),
+                                      F.col("_v")))
+    is_obj = F.coalesce(F.schema_of_variant(F.col("_e")).startswith("OBJECT"), F.lit(False))
+    code = F.when(is_obj, F.expr("try_variant_get(_e, '$.code', 'string')"))
+    msg = (F.when(F.col("_v").isNull(), F.col(body_col))
+           .when(is_obj, F.coalesce(F.expr("try_variant_get(_e, '$.message', 'string')"),
+                                    F.to_json(F.col("_e"))))
+           .otherwise(F.expr("try_variant_get(_e, '$', 'string')")))
+    return v.withColumn("error_code", code).withColumn(
+        "error_message", F.left(msg, F.lit(500))).drop("_v", "_e")
