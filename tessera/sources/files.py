@@ -50,8 +50,8 @@ COHORT_SYMPTOMS = ("PATIENT_ID INT, CANCER_STAGE STRING, TUMOR_SIZE_CM DOUBLE, D
 
 def file_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """Every line of every matching file (recursive): file, line_no (1-based), value."""
-    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", glob).text(path)
+    raw = (spark.read.option("recursiveFileLookup", True)
+           .option("pathGlobFilter", glob).text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file"), "value"))
     return raw.select("file", F.posexplode(F.split("value", "\n", -1)).alias("i", "line")).select(
         "file", (F.col("i") + 1).alias("line_no"), F.col("line"))
@@ -201,8 +201,8 @@ def read_cohort_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_corpus(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     """Whole files as documents (name, text)."""
-    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", glob).text(path)
+    return (spark.read.option("recursiveFileLookup", True)
+            .option("pathGlobFilter", glob).text(path, wholetext=True)
             .select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("text")))
 
 
@@ -229,8 +229,8 @@ def failure_trace(spark: SparkSession, path: str, pattern: str, log_lines: int =
     tail = logs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= log_lines).groupBy(
         "file").agg(F.array_join(F.transform(F.sort_array(F.collect_list(
             F.struct("line_no", "line"))), lambda x: x.line), "\n").alias("trace"))
-    txt = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.txt").text(path)
+    txt = (spark.read.option("recursiveFileLookup", True)
+           .option("pathGlobFilter", "*.txt").text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file"), "value")
            .where(F.col("value").rlike(pattern))
            .select("file", F.expr(f"right(value, {txt_chars})").alias("trace")))

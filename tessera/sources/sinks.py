@@ -24,7 +24,8 @@ def write_inputs_by_source(lines: DataFrame, path: str, source_col: str = "sourc
 
 def na(c: Column) -> Column:
     """Report cell: 'n/a' for null or zero, the value as text otherwise."""
-    return F.coalesce(F.nullif(c, F.lit(0)).cast("string"), F.lit("n/a"))
+    zero = F.coalesce(c.try_cast("double") == 0, F.lit(False))
+    return F.coalesce(F.when(~zero, c.cast("string")), F.lit("n/a"))
 
 
 def markdown_rows(report: DataFrame, cols: Sequence[str]) -> DataFrame:

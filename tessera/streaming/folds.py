@@ -21,6 +21,7 @@ COMPLETED = "thread.message.completed"
 STEP = "thread.run.step"
 DONE = "[DONE]"
 SEQ_BASE = 1_000_000
+EVENT_EPOCH_US = 1_704_067_200_000_000
 
 BREAKER_THRESHOLD = 3
 BREAKER_WINDOW_US = 30_000_000
@@ -54,7 +55,10 @@ def delta_events(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").alias("stream_id"), ((F.col("t") + 1) * SEQ_BASE).alias("seq"),
         F.lit(DONE).alias("event_type"), F.lit(None).cast("string").alias("data"))
     ev = deltas.unionByName(done_msg).unionByName(steps).unionByName(end)
-    return ev.withColumn("ts", F.timestamp_micros(F.col("stream_id") * 60_000_000 + F.col("seq")))
+    # Event time anchored at 2024-01-01 (a row exactly at the initial watermark 0
+    # would count as late): one minute per stream plus one microsecond per seq.
+    return ev.withColumn("ts", F.timestamp_micros(
+        F.lit(EVENT_EPOCH_US) + F.col("stream_id") * 60_000_000 + F.col("seq")))
 
 
 def assemble_messages(events: DataFrame) -> DataFrame:
@@ -72,47 +76,48 @@ def assemble_messages(events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_deltas"))
 
 
-def _assemble_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-    sid = int(key[0])
-    if state.hasTimedOut:
-        if state.exists:
-            bnd, msg, seqs, data = state.get
-            if len(seqs):
-                yield pd.DataFrame({"stream_id": [sid], "message_no": [msg],
-                                    "text": ["".join(data)], "n_deltas": [len(seqs)]})
-        state.remove()
-        return
-    bnd, msg, seqs, data = state.get if state.exists else (0, 0, [], [])
-    seqs, data = list(seqs), list(data)
-    rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
-    out, done = [], False
-    for et, seq, dat in zip(rows["event_type"], rows["seq"], rows["data"]):
+def _fold_events(sid: int, seqs, types, data) -> list[tuple]:
+    out, buf, msg, bnd = [], [], 0, 0
+    for seq, et, dat in sorted(zip(seqs, types, data), key=lambda x: x[0]):
         if et == DELTA:
-            if not seqs:
+            if not buf:
                 msg = bnd
-            seqs.append(int(seq))
-            data.append("" if dat is None else dat)
+            buf.append("" if dat is None else dat)
         else:
-            if seqs:
-                out.append((sid, msg, "".join(data), len(seqs)))
-                seqs, data = [], []
+            if buf:
+                out.append((sid, msg, "".join(buf), len(buf)))
+                buf = []
             bnd += 1
-            done = done or et == DONE
-    if done and not seqs:
+    if buf:
+        out.append((sid, msg, "".join(buf), len(buf)))
+    return out
+
+
+def _assemble_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+    sid = int(key[0])
+    seqs, types, data = (list(x) for x in state.get) if state.exists else ([], [], [])
+    if not state.hasTimedOut:
+        for p in pdfs:
+            seqs += [int(x) for x in p["seq"]]
+            types += list(p["event_type"])
+            data += [None if x is None else str(x) for x in p["data"]]
+    if state.hasTimedOut or DONE in types:
+        out = _fold_events(sid, seqs, types, data)
         state.remove()
-    else:
-        state.update((bnd, msg, seqs, data))
-        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 10 * 60 * 1000)
-    if out:
-        yield pd.DataFrame(out, columns=["stream_id", "message_no", "text", "n_deltas"])
+        if out:
+            yield pd.DataFrame(out, columns=["stream_id", "message_no", "text", "n_deltas"])
+        return
+    state.update((seqs, types, data))
+    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 10 * 60 * 1000)
 
 
 def assemble_messages_stream(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """W1 stream: per-stream state buffers deltas; flush on any other event; an
-    abandoned stream is flushed when the watermark passes its timeout."""
+    """W1 stream: per-stream state buffers events (any arrival order) until the
+    stream's [DONE], then emits its messages in `seq` order; an abandoned stream
+    is emitted when the watermark passes its timeout. State holds one stream."""
     return events.withWatermark("ts", watermark).groupBy("stream_id").applyInPandasWithState(
         _assemble_state, MESSAGE_SCHEMA,
-        "boundaries long, msg long, seqs array<long>, data array<string>", "append",
+        "seqs array<long>, types array<string>, data array<string>", "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
