@@ -44,12 +44,16 @@ def range_sorted(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[st
     """Range-partition on keys + order, sort inside partitions, tag `_part`, `_mid`.
 
     `_mid` increases with the row position inside a partition, so
-    `_mid - min(_mid)` is the local row index.
+    `_mid - min(_mid)` is the local row index. The input is persisted while
+    the range bounds are sampled and the shuffle runs, so an expensive lineage
+    is computed once; the checkpoint then cuts it.
     """
+    from pyspark import StorageLevel
     n = num_partitions(df, partitions)
     sort_cols = _cols(list(key_cols)) + _cols(list(order_cols))
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if checkpoint else df
     out = (
-        df.repartitionByRange(n, *sort_cols)
+        src.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn(PART, F.spark_partition_id())
         .withColumn(MID, F.monotonically_increasing_id())
@@ -57,6 +61,7 @@ def range_sorted(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[st
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
         out = out.checkpoint(eager=True)
+        src.unpersist()
     return out
 
 

@@ -10,16 +10,23 @@ WS = "[ \\t\\n\\r]+"
 EDGE_WS = "^[ \\t\\n\\r]+|[ \\t\\n\\r]+$"
 
 
+EDGE_CHARS = " \t\n\r"
+
+
 def words(text: Column) -> Column:
     """Whitespace-separated words of the whole text (an empty text gives [''])."""
-    return F.split(F.regexp_replace(text, EDGE_WS, ""), WS)
+    return F.split(F.btrim(text, F.lit(EDGE_CHARS)), WS)
 
 
-def chunk_words(text: Column, words_per_chunk: int) -> Column:
-    """Array of chunk texts, each `words_per_chunk` words joined by one space."""
+def chunk_words(w: Column, words_per_chunk: int) -> Column:
+    """Array of chunk texts from a words array (see `words`), each
+    `words_per_chunk` words joined by one space.
+
+    Pass a column that already holds the words: an expression would be
+    re-evaluated inside the lambda once per chunk.
+    """
     if words_per_chunk < 1:
         raise ValueError("words_per_chunk must be positive")
-    w = words(text)
     n = F.lit(words_per_chunk)
     starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / n) - 1, F.lit(0)))
     return F.transform(starts, lambda i: F.array_join(F.slice(w, i * n + 1, n), " "))

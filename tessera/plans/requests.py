@@ -21,10 +21,12 @@ def validated_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.validate_requests(prepare.normalise_typed(chunks, "input_id", "text"), None)
 
 
-def packable_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packable_chunks(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
+    """Accepted chunks under the token ceiling; texts are carried only on request
+    (the packer needs ids and token counts, not the text)."""
     ok = validated_chunks(spark, sf_dir).where("accepted").where(F.col("tokens") <= MAX_TOKENS)
-    return ok.select("doc_id", "chunk_no", "input_id", "text", "model", "user", "tokens",
-                     prepare.settings_key().alias("settings"))
+    return ok.select("doc_id", "chunk_no", "input_id", *(["text"] if with_text else []), "model",
+                     "user", "tokens", prepare.settings_key().alias("settings"))
 
 
 def _request_report(assigned: DataFrame) -> DataFrame:
@@ -239,8 +241,10 @@ def embedded_chunks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     items = packable_chunks(spark, sf_dir)
     assigned = packing.assign_batches(items, "settings", ["doc_id", "chunk_no"], "tokens",
                                       MAX_INPUTS, MAX_TOKENS)
+    # The dry-run encoder needs only the item count; a real encoder would carry
+    # `text` (packable_chunks(..., with_text=True)) into `texts`.
     req = packing.packed_requests(assigned, ["model", "user"], ["doc_id", "chunk_no"],
-                                  "input_id", "text", "tokens")
+                                  "input_id", None, "tokens")
     return items, correlate.dry_run_embed(req)
 
 

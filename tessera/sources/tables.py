@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import chunk_words, estimate_tokens
+from tessera.functions.text import chunk_words, estimate_tokens, words
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -58,9 +58,11 @@ def document_requests(docs: DataFrame) -> DataFrame:
 
 def document_chunks(docs: DataFrame, words_per_chunk: int = 200) -> DataFrame:
     """Documents cut into word windows, one logical input per chunk."""
-    chunks = docs.select(
+    # Words are materialised once per document, then sliced into chunks.
+    split = docs.select("doc_id", "lang", "source", words(F.col("text")).alias("_w"))
+    chunks = split.select(
         "doc_id", "lang", "source",
-        F.posexplode(chunk_words(F.col("text"), words_per_chunk)).alias("chunk_no", "text"))
+        F.posexplode(chunk_words(F.col("_w"), words_per_chunk)).alias("chunk_no", "text"))
     return chunks.select(
         "doc_id", "chunk_no",
         F.format_string("doc-%d:chunk-%d", F.col("doc_id"), F.col("chunk_no")).alias("input_id"),
