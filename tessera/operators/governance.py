@@ -113,6 +113,20 @@ def redact_text(text: Column) -> Column:
     return redact(text)[0]
 
 
+def redact_frame(df: DataFrame, text_col: str, out_col: str = "redacted") -> DataFrame:
+    """G1 as a frame: one projection per rule, so each intermediate text is
+    computed once and shared by its hit count and the next rule."""
+    cur = text_col
+    for i, (name, pattern, repl) in enumerate(REDACTION_RULES):
+        nxt = f"_stage{i}"
+        df = df.withColumn(name, F.regexp_count(F.col(cur), F.lit(pattern)).cast("long")).withColumn(
+            nxt, F.regexp_replace(F.col(cur), pattern, repl))
+        if cur != text_col:
+            df = df.drop(cur)
+        cur = nxt
+    return df.withColumnRenamed(cur, out_col)
+
+
 def blocklist_pattern(pattern: str, is_regex: bool) -> str:
     """Literal items match case-insensitively as whole words; regex items as given
     (case-insensitive)."""

@@ -35,11 +35,11 @@ SELECT * FROM (
 def g1_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed-order redaction over whole documents with per-rule hit counts;
     documents with at least one hit."""
-    docs = table(spark, sf_dir, "documents")
-    red, hits = G.redact(F.col("text"))
-    out = docs.select("doc_id", *[c.alias(n) for n, c in hits.items()], red.alias("redacted"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = [n for n, _, _ in G.REDACTION_RULES]
+    out = G.redact_frame(docs, "text").select("doc_id", *names, "redacted")
     total = None
-    for n in hits:
+    for n in names:
         total = F.col(n) if total is None else total + F.col(n)
     return out.where(total > 0)
 
