@@ -354,3 +354,63 @@ def error_metadata(df: DataFrame, body_col: str) -> DataFrame:
            .otherwise(F.expr("try_variant_get(_e, '$', 'string')")))
     return v.withColumn("error_code", code).withColumn(
         "error_message", F.left(msg, F.lit(500))).drop("_v", "_e")
+
+
+def output_summary(log: DataFrame, key: str = "run_id") -> DataFrame:
+    """Duration, spread of starts, requests per second, retry range and the
+    sorted set of observed remaining-request header values per run."""
+    dur = (F.max(F.col("start_us") + F.col("duration_ms") * 1000) - F.min("start_us")) / 1e6
+    return log.groupBy(key).agg(
+        dur.alias("duration_s"),
+        ((F.max("start_us") - F.min("start_us")) / 1e6).alias("start_spread_s"),
+        F.count(F.lit(1)).alias("requests"),
+        F.min("retry_after").alias("retry_min"), F.max("retry_after").alias("retry_max"),
+        F.array_sort(F.collect_set("remaining_requests")).alias("remaining_requests_values"),
+    ).withColumn("requests_per_second", F.when(F.col("duration_s") > 0,
+                                               F.col("requests") / F.col("duration_s")))
+
+
+def load_report(log: DataFrame, key: str = "run_id") -> DataFrame:
+    """Window rate, 429 / 503 counts, latency mean and percentiles, inputs."""
+    base = log.groupBy(key).agg(
+        F.count(F.lit(1)).alias("requests"),
+        ((F.max("start_us") - F.min("start_us")) / 6e7).alias("_minutes"),
+        F.count_if(F.col("status_code") == THROTTLED).alias("http_429"),
+        F.count_if(F.col("status_code") == UNAVAILABLE).alias("http_503"),
+        F.avg("duration_ms").alias("latency_mean"),
+        F.sum(F.when(F.col("status_code") == SUCCESS, F.col("input_count")).otherwise(0)).alias(
+            "inputs"))
+    pct = exact_percentiles(log, [key], "duration_ms",
+                            {"latency_p50": 50, "latency_p95": 95, "latency_p99": 99})
+    return base.join(pct, key, "left").withColumn(
+        "window_rpm", F.when(F.col("_minutes") > 0, F.col("requests") / F.col("_minutes"))).drop(
+        "_minutes")
+
+
+def experiment_deltas(metrics: DataFrame, control, key: str = "run_id") -> DataFrame:
+    """Request reduction, throughput increase and throttle percentage of
+    every run against a control run (the control's metrics are one row)."""
+    c = metrics.where(F.col(key) == control).first()
+    if c is None:
+        raise ValueError(f"control {control!r} not found")
+    return metrics.select(
+        key,
+        (1 - F.col("attempted_requests") / F.lit(c["attempted_requests"])).alias("request_reduction"),
+        (F.col("accepted_tpm") / F.lit(c["accepted_tpm"]) - 1).alias("tpm_increase"),
+        (F.col("throttle_rate") * 100).alias("throttle_pct"))
+
+
+def operating_point(metrics: DataFrame, control, max_throttle: float = 0.01,
+                    p95_bound: float = 1.5, key: str = "run_id") -> DataFrame:
+    """Eligible settings keep throttle share below 1 % and p95 within a bound
+    of the control's; the chosen one is the eligible setting with the highest
+    accepted TPM (all settings are returned with their flags)."""
+    c = metrics.where(F.col(key) == control).first()
+    if c is None:
+        raise ValueError(f"control {control!r} not found")
+    elig = (F.col("throttle_rate") < max_throttle) & (
+        F.col("request_latency_p95_ms") <= F.lit(c["request_latency_p95_ms"] * p95_bound))
+    m = metrics.select(key, "accepted_tpm", "throttle_rate", "request_latency_p95_ms",
+                       elig.alias("eligible"))
+    best = m.where("eligible").agg(F.max_by(key, "accepted_tpm").alias("_best")).first()["_best"]
+    return m.withColumn("chosen", F.coalesce(F.col(key) == F.lit(best), F.lit(False)))

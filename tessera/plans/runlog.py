@@ -478,3 +478,85 @@ FROM p"""
 def a32_backend_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runlog.backend_share(log_of(spark, sf_dir))
     return round_doubles(out.withColumn("tokens", F.col("tokens").cast("long")))
+
+
+A20_SQL = ("SELECT * FROM (" + A14_SQL + ") a JOIN (" + A17_SQL + ") b USING (run_id) JOIN ("
+           + A16_SQL + ") c USING (run_id)")
+
+
+@register("a20_run_comparison", A20_SQL)
+def a20_run_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-run comparison: analysis, success latency and scorecard in one row per run."""
+    return a14_run_analysis(spark, sf_dir).join(a17_success_latency(spark, sf_dir), "run_id").join(
+        a16_scorecard(spark, sf_dir), "run_id")
+
+
+A22_SQL = "WITH " + REQUEST_LOG_CTE + """
+SELECT run_id,
+  round_even((max(start_us + duration_ms * 1000) - min(start_us)) / 1e6, 6) AS duration_s,
+  round_even((max(start_us) - min(start_us)) / 1e6, 6) AS start_spread_s,
+  CAST(count(*) AS BIGINT) AS requests,
+  round_even(min(retry_after), 6) AS retry_min, round_even(max(retry_after), 6) AS retry_max,
+  list_sort(list(DISTINCT remaining_requests) FILTER (WHERE remaining_requests IS NOT NULL))
+    AS remaining_requests_values,
+  round_even(CASE WHEN max(start_us + duration_ms * 1000) - min(start_us) > 0
+    THEN count(*) / ((max(start_us + duration_ms * 1000) - min(start_us)) / 1e6) END, 6)
+    AS requests_per_second
+FROM request_log GROUP BY run_id"""
+
+
+@register("a22_output_summary", A22_SQL)
+def a22_output_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(runlog.output_summary(log_of(spark, sf_dir)))
+
+
+A27_SQL = "WITH " + REQUEST_LOG_CTE + """
+SELECT run_id, CAST(count(*) AS BIGINT) AS requests,
+  CAST(count(*) FILTER (WHERE status_code = 429) AS BIGINT) AS http_429,
+  CAST(count(*) FILTER (WHERE status_code = 503) AS BIGINT) AS http_503,
+  round_even(avg(duration_ms), 6) AS latency_mean,
+  CAST(sum(CASE WHEN status_code = 200 THEN input_count ELSE 0 END) AS BIGINT) AS inputs,
+  round_even(quantile_cont(duration_ms, 0.5), 6) AS latency_p50,
+  round_even(quantile_cont(duration_ms, 0.95), 6) AS latency_p95,
+  round_even(quantile_cont(duration_ms, 0.99), 6) AS latency_p99,
+  round_even(CASE WHEN max(start_us) > min(start_us)
+    THEN count(*) / ((max(start_us) - min(start_us)) / 6e7) END, 6) AS window_rpm
+FROM request_log GROUP BY run_id"""
+
+
+@register("a27_load_report", A27_SQL)
+def a27_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = runlog.load_report(log_of(spark, sf_dir))
+    return round_doubles(r.withColumn("inputs", F.col("inputs").cast("long")))
+
+
+A28_SQL = "WITH m AS (" + A1_SQL + """),
+c AS (SELECT * FROM m WHERE run_id = 0)
+SELECT m.run_id, round_even(1 - m.attempted_requests / c.attempted_requests, 6) AS request_reduction,
+       round_even(m.accepted_tpm / c.accepted_tpm - 1, 6) AS tpm_increase,
+       round_even(m.throttle_rate * 100, 6) AS throttle_pct
+FROM m, c"""
+
+
+@register("a28_experiment_deltas", A28_SQL)
+def a28_experiment_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deltas of every run against run 0 as the control."""
+    # Deltas are derived from the published (rounded) run metrics, as in a1.
+    return round_doubles(runlog.experiment_deltas(round_doubles(_metrics(spark, sf_dir)), 0))
+
+
+A33_SQL = "WITH m AS (" + A1_SQL + """),
+c AS (SELECT * FROM m WHERE run_id = 0),
+e AS (SELECT m.run_id, m.accepted_tpm, m.throttle_rate, m.request_latency_p95_ms,
+             m.throttle_rate < 0.01 AND m.request_latency_p95_ms <= c.request_latency_p95_ms * 1.5
+               AS eligible
+      FROM m, c)
+SELECT e.*, coalesce(e.run_id = (SELECT arg_max(run_id, accepted_tpm) FROM e WHERE eligible), false)
+         AS chosen
+FROM e"""
+
+
+@register("a33_operating_point", A33_SQL)
+def a33_operating_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operating-point choice: < 1 % throttling, p95 within 1.5x of run 0, max TPM."""
+    return runlog.operating_point(round_doubles(_metrics(spark, sf_dir)), 0)
