@@ -97,18 +97,17 @@ def vector_checks(vectors: DataFrame, expected_dim: int) -> DataFrame:
 
 
 def completeness(inputs: DataFrame, outputs: DataFrame, id_col: str = "input_id") -> DataFrame:
-    """Every input returned exactly once and nothing extra (one row)."""
-    i = inputs.select(id_col).distinct()
-    o = outputs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-    missing = i.join(o, id_col, "left_anti").agg(F.count(F.lit(1)).alias("missing"))
-    extra = o.join(i, id_col, "left_anti").agg(F.count(F.lit(1)).alias("extra"))
-    dup = o.where(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("duplicated"))
-    n_in = inputs.agg(F.count(F.lit(1)).alias("inputs"))
-    n_out = outputs.agg(F.count(F.lit(1)).alias("outputs"))
-    one = F.lit(1)
-    return (n_in.withColumn("_k", one).join(n_out.withColumn("_k", one), "_k")
-            .join(missing.withColumn("_k", one), "_k").join(extra.withColumn("_k", one), "_k")
-            .join(dup.withColumn("_k", one), "_k").drop("_k"))
+    """Every input returned exactly once and nothing extra — one full outer
+    join of distinct inputs with per-id output counts, then one aggregate."""
+    i = inputs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_ni"))
+    o = outputs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_no"))
+    j = i.join(o, id_col, "full_outer")
+    return j.agg(
+        F.coalesce(F.sum("_ni"), F.lit(0)).cast("long").alias("inputs"),
+        F.coalesce(F.sum("_no"), F.lit(0)).cast("long").alias("outputs"),
+        F.count_if(F.col("_no").isNull()).alias("missing"),
+        F.count_if(F.col("_ni").isNull()).alias("extra"),
+        F.count_if(F.col("_no") > 1).alias("duplicated"))
 
 
 def run_counters(source_lines: DataFrame, responses: DataFrame) -> DataFrame:
