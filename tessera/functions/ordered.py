@@ -60,7 +60,10 @@ def range_sorted(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[st
     )
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
-        out = out.checkpoint(eager=True)
+        # Persisted so the checkpoint write does not recompute the sort.
+        sorted_ = out.persist(StorageLevel.MEMORY_AND_DISK)
+        out = sorted_.checkpoint(eager=True)
+        sorted_.unpersist()
         src.unpersist()
     return out
 

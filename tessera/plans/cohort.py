@@ -267,3 +267,43 @@ def t13_domain_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("has_open_orders", F.col("open_orders") >= 1),
     ]
     return T.domain_violations(chk, rules)
+
+
+_JITTER = ("((CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8)) AS BIGINT) % 1000)"
+           " / 1000.0 - 0.5) * 0.01")
+T7_SQL = "WITH " + Z_CTE + f"""
+SELECT z.c_custkey, round_even(z.c_acctbal_z + {_JITTER}, 6) AS x,
+       round_even(z.open_total_z + {_JITTER}, 6) AS y,
+       ci.open_orders >= 5 AS in_cohort, ci.c_acctbal < 0 AS is_target
+FROM z JOIN ci USING (c_custkey)"""
+
+
+@register("t7_scatter_table", T7_SQL)
+def t7_scatter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scatter rows: z-scored balance vs open total with an id-seeded jitter."""
+    z = zscored(spark, sf_dir)
+    s = T.scatter_table(z, "c_custkey", "c_acctbal_z", "open_total_z",
+                        F.col("open_orders") >= 5, F.col("c_acctbal") < 0)
+    return s.select("c_custkey", F.bround("x", 6).alias("x"), F.bround("y", 6).alias("y"),
+                    "in_cohort", "is_target")
+
+
+T11_SQL = "WITH " + COHORT_CTE + """,
+top2 AS (SELECT c_custkey FROM ci ORDER BY open_total DESC, c_custkey LIMIT 2),
+t AS (SELECT ci.* FROM ci JOIN top2 USING (c_custkey)),
+l AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS k, 'c_mktsegment' AS feature, c_mktsegment AS value FROM t
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM t
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'open_orders',
+    CAST(CAST(open_orders AS BIGINT) AS VARCHAR) FROM t
+)
+PIVOT l ON k USING first(value) GROUP BY feature"""
+
+
+@register("t11_side_by_side", T11_SQL)
+def t11_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two customers with the largest open-order totals, feature by feature."""
+    ci = cohort_inner(spark, sf_dir).withColumn("open_orders", F.col("open_orders").cast("long"))
+    ids = [r[0] for r in ci.orderBy(F.col("open_total").desc(), "c_custkey").limit(2)
+           .select("c_custkey").collect()]
+    return T.side_by_side(ci, "c_custkey", ids, ["c_mktsegment", "c_nationkey", "open_orders"])
