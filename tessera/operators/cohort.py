@@ -203,3 +203,38 @@ def scatter_table(df: DataFrame, id_col: str, x: str, y: str, flag: Column, targ
     j = (u / 1000.0 - 0.5) * jitter
     return df.select(id_col, (F.col(x) + j).alias("x"), (F.col(y) + j).alias("y"),
                      flag.alias("in_cohort"), target.alias("is_target"))
+
+
+# Risk-factor rules for the guideline lookup
+# (name, condition on the patient row, keyword searched in a section).
+RISK_RULES = (
+    ("age_over_70", "AGE > 70", "older"),
+    ("age_under_50", "AGE < 50", "younger"),
+    ("smoking", "SMOKING = 'Yes'", "smok"),
+    ("chronic_disease", "CHRONIC_DISEASE = 'Yes'", "chronic"),
+    ("anxiety", "ANXIETY = 'Yes'", "anxiety"),
+)
+
+
+def guideline_lookup(patients: DataFrame, sections: DataFrame) -> DataFrame:
+    """Match each patient's stage and positive risk factors to guideline
+    sections, as equi-joins: a section's stage key is the `Stage <roman><letter>`
+    in its title (patients' `Stage_IIIA` is normalised to `Stage IIIA`); a
+    section lists the risk factors whose keyword its title or body mentions."""
+    stage = F.regexp_replace(F.col("CANCER_STAGE"), "_", " ")
+    factors = F.filter(F.array(*[F.when(F.expr(cond), F.lit(name))
+                                 for name, cond, _ in RISK_RULES]), lambda x: x.isNotNull())
+    p = patients.select("PATIENT_ID", F.lower(stage).alias("stage"), factors.alias("risk_factors"))
+    text = F.lower(F.concat_ws(" ", F.col("title"), F.col("body")))
+    sec = sections.select(
+        "title", F.lower(F.regexp_extract(F.col("title"), "(?i)(stage [ivx]+[abc]?)", 1)).alias(
+            "stage_key"),
+        F.filter(F.array(*[F.when(text.contains(kw), F.lit(name)) for name, _, kw in RISK_RULES]),
+                 lambda x: x.isNotNull()).alias("mentions"))
+    by_stage = p.join(sec.where(F.col("stage_key") != "").select("title", "stage_key"),
+                      p.stage == F.col("stage_key")).select(
+        "PATIENT_ID", F.lit("stage").alias("reason"), "stage", "title")
+    rf = p.select("PATIENT_ID", "stage", F.explode("risk_factors").alias("reason"))
+    sm = sec.select("title", F.explode("mentions").alias("reason"))
+    by_risk = rf.join(sm, "reason").select("PATIENT_ID", "reason", "stage", "title")
+    return by_stage.unionByName(by_risk)

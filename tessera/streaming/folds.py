@@ -199,3 +199,39 @@ def ingest_requests(stream: DataFrame, validate, base_sink: str | None = None):
         batch.where("accepted").write.mode("append").parquet(f"{base}/accepted")
         batch.where("NOT accepted").write.mode("append").parquet(f"{base}/rejected")
     return v, write
+
+
+# Response event types of the tool-using agent stream.
+TEXT_DELTA = "response.output_text.delta"
+TOOL_STARTED = "response.tool_call.started"
+TOOL_ARGS_DELTA = "response.tool_call.arguments.delta"
+TOOL_DONE = "response.tool_call.done"
+FAILED = "response.failed"
+
+
+def fold_response_events(events: DataFrame) -> dict[str, DataFrame]:
+    """W2 (batch): per response, the assembled text; per tool call (item id), its
+    status (started → done, otherwise pending) and concatenated argument deltas;
+    failed responses as error rows. Duplicated events (same response, item, seq)
+    are dropped first. Input: response_id, seq, event_type, item_id, data."""
+    ev = events.dropDuplicates(["response_id", "item_id", "seq", "event_type"])
+    text = ev.where(F.col("event_type") == TEXT_DELTA).groupBy("response_id").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("seq", "data"))).data, "").alias("text"))
+    tools = ev.where(F.col("event_type").isin(TOOL_STARTED, TOOL_ARGS_DELTA, TOOL_DONE)).groupBy(
+        "response_id", "item_id").agg(
+        F.max(F.when(F.col("event_type") == TOOL_STARTED, F.col("data"))).alias("name"),
+        F.array_join(F.sort_array(F.collect_list(F.when(
+            F.col("event_type") == TOOL_ARGS_DELTA, F.struct("seq", "data")))).data, "").alias(
+            "arguments"),
+        F.count_if(F.col("event_type") == TOOL_DONE).alias("_done")).select(
+        "response_id", "item_id", "name", "arguments",
+        F.when(F.col("_done") > 0, "done").otherwise("pending").alias("status"))
+    errors = ev.where(F.col("event_type") == FAILED).select("response_id", F.col("data").alias(
+        "error"))
+    return {"text": text, "tool_calls": tools, "errors": errors}
+
+
+def dedupe_stream_events(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """W2 (stream): late duplicates of an event are dropped within the watermark."""
+    return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(
+        ["response_id", "item_id", "seq", "event_type"])
