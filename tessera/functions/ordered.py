@@ -32,11 +32,22 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
 def num_partitions(df: DataFrame, requested: int | None = None) -> int:
+    """Range partitions for an ordered scan: the estimated input size over 128 MB,
+    at least the default parallelism, at most `spark.sql.shuffle.partitions`."""
     if requested:
         return int(requested)
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        floor_ = max(spark.sparkContext.defaultParallelism, 1)
+        return int(min(cap, max(floor_, -(-est // TARGET_PARTITION_BYTES))))
+    except Exception:  # noqa: BLE001 - statistics unavailable: use the configured count
+        return cap
 
 
 def range_sorted(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str | Column],
