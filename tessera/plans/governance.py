@@ -179,3 +179,45 @@ def c7_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select("page_id", "section_no",
                     F.regexp_extract("tag", "<h([1-6])", 1).cast("int").alias("level"),
                     G.strip_tags(F.col("tag")).alias("title"))
+
+
+K7_SQL = f"""
+WITH p AS (
+  SELECT page_id, regexp_extract_all(html, '<p>(.*?)</p>', 1) AS ps,
+         regexp_extract_all(html, {_sql_lit(G.HTML_LINK)}, 1) AS u,
+         regexp_extract_all(html, {_sql_lit(G.HTML_LINK)}, 2) AS t
+  FROM pages
+),
+parts AS (SELECT page_id, i - 1 AS part_no, regexp_replace(ps[i], '<[^>]+>', '', 'g') AS text
+          FROM (SELECT page_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM p)),
+links AS (SELECT page_id, i - 1 AS pos, u[i] AS url, t[i] AS title
+          FROM (SELECT page_id, u, t, unnest(range(1, len(u) + 1)) AS i FROM p)),
+firsts AS (SELECT page_id, url, min(pos) AS pos, arg_min(title, pos) AS title
+           FROM links GROUP BY page_id, url),
+body AS (SELECT page_id, string_agg(text, chr(10) || chr(10) ORDER BY part_no) AS body
+         FROM parts GROUP BY page_id),
+refs AS (SELECT page_id, string_agg('- [' || coalesce(nullif(title, ''), url) || '](' || url || ')',
+                                    chr(10) ORDER BY pos) AS refs
+         FROM firsts GROUP BY page_id)
+SELECT body.page_id AS message_id,
+       CASE WHEN refs.refs IS NOT NULL
+            THEN body.body || chr(10) || chr(10) || '## References' || chr(10) || refs.refs
+            ELSE body.body END AS document
+FROM body LEFT JOIN refs USING (page_id)"""
+
+
+@register("k7_page_summaries", K7_SQL)
+def k7_page_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary documents per page: paragraph texts joined by blank lines, then the
+    page's unique references in first-seen order."""
+    from tessera.sources.sinks import summary_documents
+    pages = table(spark, sf_dir, "pages")
+    parts = pages.select(F.col("page_id").alias("message_id"), F.posexplode(
+        F.regexp_extract_all(F.col("html"), F.lit("<p>(.*?)</p>"), 1)).alias("part_no", "p"))
+    links = G.extract_links(F.col("html"))
+    refs = pages.select(F.col("page_id").alias("message_id"), links.alias("refs"))
+    rows = parts.select("message_id", "part_no", G.strip_tags(F.col("p")).alias("text")).join(
+        refs, "message_id").withColumn(
+        "refs", F.when(F.col("part_no") == 0, F.col("refs")).otherwise(
+            F.array().cast("array<struct<url:string,title:string>>")))
+    return summary_documents(rows, "message_id")

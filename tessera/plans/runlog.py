@@ -560,3 +560,24 @@ FROM e"""
 def a33_operating_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operating-point choice: < 1 % throttling, p95 within 1.5x of run 0, max TPM."""
     return runlog.operating_point(round_doubles(_metrics(spark, sf_dir)), 0)
+
+
+A24_SQL = "WITH " + REQUEST_LOG_CTE + """
+SELECT run_id, sequence,
+       CASE WHEN CAST(retry_after AS VARCHAR) IS NOT NULL
+            THEN CASE WHEN TRY_CAST(CAST(retry_after AS VARCHAR) AS DOUBLE) IS NOT NULL
+                      THEN greatest(TRY_CAST(CAST(retry_after AS VARCHAR) AS DOUBLE), 0.0) END
+       END AS retry_after_seconds,
+       CAST(NULL AS VARCHAR) AS error_code, left(error_message, 500) AS error_message
+FROM request_log WHERE status_code = 429"""
+
+
+@register("a24_retry_and_errors", A24_SQL)
+def a24_retry_and_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A24 + A25 on every throttled row: the seconds header normalised (no ms
+    header is recorded) and code/message from the (non-JSON) error body."""
+    log = log_of(spark, sf_dir).where(F.col("status_code") == 429)
+    out = log.withColumn("retry_after_seconds", runlog.retry_after_seconds(
+        F.lit(None).cast("string"), F.col("retry_after").cast("string")))
+    out = runlog.error_metadata(out.withColumnRenamed("error_message", "_body"), "_body")
+    return out.select("run_id", "sequence", "retry_after_seconds", "error_code", "error_message")
