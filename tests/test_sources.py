@@ -118,3 +118,38 @@ def test_sinks(spark, tmp_path):
         "message_id string, part_no int, text string, refs array<struct<url:string,title:string>>")
     doc = sinks.summary_documents(parts).first()["document"]
     assert doc == "first\n\nsecond\n\n## References\n- [T1](u1)\n- [T2](u2)"
+
+
+def test_more_readers(spark, tmp_path):
+    write(tmp_path / "spans.jsonl", [json.dumps({"name": "run", "trace_id": "t", "span_id": "a"}),
+                                     json.dumps({"name": "request", "trace_id": "t", "span_id": "b",
+                                                 "parent_span_id": "a"})])
+    root, reqs = files.read_spans(spark, str(tmp_path / "spans.jsonl"), "run")
+    assert root.count() == 1 and reqs.collect()[0]["parent_span_id"] == "a"
+    write(tmp_path / "cohort" / "s.csv", ["PATIENT_ID,CANCER_STAGE,TUMOR_SIZE_CM,DIAGNOSIS_DATE,"
+                                          "TREATMENT_RECEIVED", "1,Stage_I,2.5,2024-01-05,Surgery"])
+    write(tmp_path / "cohort" / "notes.txt", ["ignored"])
+    r = files.read_cohort_csv(spark, str(tmp_path / "cohort"), files.COHORT_SYMPTOMS).collect()
+    assert len(r) == 1 and str(r[0]["DIAGNOSIS_DATE"]) == "2024-01-05"
+    write(tmp_path / "corpus" / "hr.md", ["# HR", "", "Policy text"])
+    docs = files.read_corpus(spark, str(tmp_path / "corpus")).collect()
+    assert docs[0]["name"] == "hr.md" and docs[0]["text"].startswith("# HR\n")
+    write(tmp_path / "eval.jsonl", [json.dumps({"query": "q", "response": "r", "latency": 1.5})])
+    ev = files.read_eval_rows(spark, str(tmp_path / "eval.jsonl")).collect()[0]
+    assert ev["query"] == "q" and ev["latency"] == 1.5 and ev["ground_truth"] is None
+
+
+def test_more_writers(spark, tmp_path):
+    resp = spark.createDataFrame([(2, None), (1, None), (3, ("429", "slow"))],
+                                 "seq long, error struct<code:string,message:string>")
+    sinks.write_responses(resp, str(tmp_path / "out"), ["seq"])
+    seqs = []
+    for f in sorted((tmp_path / "out" / "status=ok").glob("part-*.json")):
+        seqs += [json.loads(line)["seq"] for line in f.read_text().splitlines() if line]
+    assert seqs == [1, 2]
+    assert spark.read.json(str(tmp_path / "out" / "status=error")).count() == 1
+    lines = spark.createDataFrame([("a/b.jsonl", "x")], "source_file string, input string")
+    sinks.write_inputs_by_source(lines, str(tmp_path / "inputs"))
+    assert (tmp_path / "inputs" / "source_file=a%2Fb.jsonl").exists()
+    sinks.write_eval_dataset(lines, str(tmp_path / "ds"))
+    assert spark.read.json(str(tmp_path / "ds")).count() == 1
