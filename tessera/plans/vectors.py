@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import vectors as V
-from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
 from tessera.sources.tables import drifted_route, table, vector_route
 
