@@ -35,7 +35,8 @@ SELECT * FROM (
 def g1_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed-order redaction over whole documents with per-rule hit counts;
     documents with at least one hit."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(
+        G.may_need_redaction(F.col("text")))
     names = [n for n, _, _ in G.REDACTION_RULES]
     out = G.redact_frame(docs, "text").select("doc_id", *names, "redacted")
     total = None
