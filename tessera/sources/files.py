@@ -48,13 +48,27 @@ COHORT_SYMPTOMS = ("PATIENT_ID INT, CANCER_STAGE STRING, TUMOR_SIZE_CM DOUBLE, D
                    "TREATMENT_RECEIVED STRING")
 
 
-def file_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """Every line of every matching file (recursive): file, line_no (1-based), value."""
-    raw = (spark.read.option("recursiveFileLookup", True)
-           .option("pathGlobFilter", glob).text(path, wholetext=True)
-           .select(F.col("_metadata.file_path").alias("file"), "value"))
-    return raw.select("file", F.posexplode(F.split("value", "\n", -1)).alias("i", "line")).select(
-        "file", (F.col("i") + 1).alias("line_no"), F.col("line"))
+def file_lines(spark: SparkSession, path: str, glob: str, whole_files: bool = False) -> DataFrame:
+    """Every line of every matching file (recursive): file, line_no (1-based), line.
+
+    Files are read line by line (splittable, so a huge file is spread over many
+    tasks); exact line numbers come from a distributed rank over
+    (file, split start, position in split). `whole_files=True` reads each file
+    as one row instead (only for small files).
+    """
+    from tessera.functions.ordered import rank_within
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    if whole_files:
+        raw = reader.text(path, wholetext=True).select(
+            F.col("_metadata.file_path").alias("file"), "value")
+        return raw.select("file", F.posexplode(F.split("value", "\n", -1)).alias("i", "line")
+                          ).select("file", (F.col("i") + 1).alias("line_no"), F.col("line"))
+    raw = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("line"))
+    ranked = rank_within(raw, ["file"], ["_block", "_pos"])
+    return ranked.select("file", (F.col("_rank") + 1).alias("line_no"), "line")
 
 
 def _vtype(v: Column) -> Column:

@@ -153,3 +153,18 @@ def test_more_writers(spark, tmp_path):
     assert (tmp_path / "inputs" / "source_file=a%2Fb.jsonl").exists()
     sinks.write_eval_dataset(lines, str(tmp_path / "ds"))
     assert spark.read.json(str(tmp_path / "ds")).count() == 1
+
+
+def test_line_numbers_exact_when_files_split(spark, tmp_path):
+    lines = [json.dumps({"n": i, "pad": "x" * (i % 37)}) for i in range(3000)]
+    write(tmp_path / "big" / "a.jsonl", lines)
+    write(tmp_path / "big" / "b.jsonl", lines[:50])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = files.file_lines(spark, str(tmp_path / "big"), "*.jsonl").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for r in got:
+        assert json.loads(r["line"])["n"] == r["line_no"] - 1
+    assert len(got) == 3050
