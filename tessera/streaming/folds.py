@@ -76,48 +76,47 @@ def assemble_messages(events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_deltas"))
 
 
-def _fold_events(sid: int, seqs, types, data) -> list[tuple]:
-    out, buf, msg, bnd = [], [], 0, 0
-    for seq, et, dat in sorted(zip(seqs, types, data), key=lambda x: x[0]):
+def _assemble_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+    sid = int(key[0])
+    bnd, msg, data = state.get if state.exists else (0, 0, [])
+    data = list(data)
+    if state.hasTimedOut:
+        state.remove()
+        if data:
+            yield pd.DataFrame([(sid, msg, "".join(data), len(data))],
+                               columns=["stream_id", "message_no", "text", "n_deltas"])
+        return
+    rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
+    out, done = [], False
+    for et, dat in zip(rows["event_type"], rows["data"]):
         if et == DELTA:
-            if not buf:
+            if not data:
                 msg = bnd
-            buf.append("" if dat is None else dat)
+            data.append("" if dat is None else str(dat))
         else:
-            if buf:
-                out.append((sid, msg, "".join(buf), len(buf)))
-                buf = []
+            if data:
+                out.append((sid, msg, "".join(data), len(data)))
+                data = []
             bnd += 1
-    if buf:
-        out.append((sid, msg, "".join(buf), len(buf)))
-    return out
-
-
-def _assemble_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-    sid = int(key[0])
-    seqs, types, data = (list(x) for x in state.get) if state.exists else ([], [], [])
-    if not state.hasTimedOut:
-        for p in pdfs:
-            seqs += [int(x) for x in p["seq"]]
-            types += list(p["event_type"])
-            data += [None if x is None else str(x) for x in p["data"]]
-    if state.hasTimedOut or DONE in types:
-        out = _fold_events(sid, seqs, types, data)
+            done = done or et == DONE
+    if done and not data:
         state.remove()
-        if out:
-            yield pd.DataFrame(out, columns=["stream_id", "message_no", "text", "n_deltas"])
-        return
-    state.update((seqs, types, data))
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 10 * 60 * 1000)
+    else:
+        state.update((bnd, msg, data))
+        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 10 * 60 * 1000)
+    if out:
+        yield pd.DataFrame(out, columns=["stream_id", "message_no", "text", "n_deltas"])
 
 
 def assemble_messages_stream(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """W1 stream: per-stream state buffers events (any arrival order) until the
-    stream's [DONE], then emits its messages in `seq` order; an abandoned stream
-    is emitted when the watermark passes its timeout. State holds one stream."""
+    """W1 stream: per-stream state holds only the open message (its deltas) and
+    the boundary count; any non-delta event flushes it. Rows of a micro-batch are
+    ordered by `seq`; events of one stream are expected in stream order across
+    micro-batches (as an event stream delivers them). An abandoned stream's open
+    message is flushed when the watermark passes its timeout."""
     return events.withWatermark("ts", watermark).groupBy("stream_id").applyInPandasWithState(
         _assemble_state, MESSAGE_SCHEMA,
-        "seqs array<long>, types array<string>, data array<string>", "append",
+        "boundaries long, msg long, data array<string>", "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
