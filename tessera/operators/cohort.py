@@ -137,19 +137,8 @@ def knn_exact(points: DataFrame, id_col: str, coords: Sequence[str], k: int) ->
 
 def local_outlier_factor(points: DataFrame, id_col: str, coords: Sequence[str], k: int = 5
                          ) -> DataFrame:
-    """T5: LOF (Breunig et al. 2000) with MinPts = k; duplicates guarded (null)."""
-    nb = knn_exact(points, id_col, coords, k)
-    kd = nb.select("p", "kdist").distinct()
-    rd = nb.join(kd.select(F.col("p").alias("o"), F.col("kdist").alias("kdist_o")), "o").select(
-        "p", "o", F.greatest("kdist_o", "d").alias("reach"))
-    lrd = rd.groupBy("p").agg(F.avg("reach").alias("_ar")).select(
-        "p", F.try_divide(F.lit(1.0), F.when(F.col("_ar") > 0, F.col("_ar"))).alias("lrd"))
-    lo = nb.select("p", "o").join(lrd.select(F.col("p").alias("o"), F.col("lrd").alias("lrd_o")),
-                                  "o").groupBy("p").agg(F.avg("lrd_o").alias("_m"))
-    out = lo.join(lrd, "p").select(F.col("p").alias(id_col), "lrd",
-                                   F.try_divide(F.col("_m"), F.col("lrd")).alias("lof"))
-    return out.join(kd.select(F.col("p").alias(id_col), "kdist"), id_col).withColumn(
-        "outlier", F.coalesce(F.col("lof") > OUTLIER_LOF, F.lit(False)))
+    """T5: LOF (Breunig et al. 2000) with MinPts = k; see `lof_adaptive`."""
+    return lof_adaptive(points, id_col, coords, k)
 
 
 def rank_features(df: DataFrame, cols: Sequence[str], top: int = 2) -> DataFrame:
@@ -238,3 +227,102 @@ def guideline_lookup(patients: DataFrame, sections: DataFrame) -> DataFrame:
     sm = sec.select("title", F.explode("mentions").alias("reason"))
     by_risk = rf.join(sm, "reason").select("PATIENT_ID", "reason", "stage", "title")
     return by_stage.unionByName(by_risk)
+
+
+def lof_adaptive(points: DataFrame, id_col: str, coords: Sequence[str], k: int = 5,
+                 cell_cap: int | None = None, levels: int = 8) -> DataFrame:
+    """T5 at scale: exact LOF where dense regions never pair all their points.
+
+    * Exact duplicates collapse into one weighted location (multiplicity), so a
+      pile of identical points costs one row, not its square.
+    * Each location searches on the finest grid level (cell side halves per
+      level) whose cell holds at most `cell_cap` points, and only the rings it
+      needs there; a ring r at side s guarantees every point within r*s.
+    Results equal the textbook definition with duplicates counted as points;
+    a location whose k-distance is 0 has an undefined LOF (null).
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(points.sparkSession)
+    dims = list(coords)
+    cap = cell_cap or 4 * (k + 1)
+    locs = points.groupBy(*dims).agg(F.min(id_col).alias("_loc"), F.count(F.lit(1)).alias("_m"))
+    locs = locs.persist(StorageLevel.MEMORY_AND_DISK)
+    st = locs.agg(F.sum("_m").alias("n"), *[F.min(c).alias(f"lo_{c}") for c in dims],
+                  *[F.max(c).alias(f"hi_{c}") for c in dims]).first()
+    if st["n"] <= k:
+        raise ValueError("need more points than k")
+    spans = [max(st[f"hi_{c}"] - st[f"lo_{c}"], 1e-12) for c in dims]
+    s0 = max((math.prod(spans) * 2 * k / st["n"]) ** (1.0 / len(dims)), max(spans) / 1e6)
+    lv = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_l")
+    grid = locs.select("_loc", "_m", *dims, lv)
+    for i, c in enumerate(dims):
+        grid = grid.withColumn(f"_g{i}", F.floor((F.col(c) - F.lit(st[f"lo_{c}"])) / (
+            F.lit(s0) / F.pow(F.lit(2.0), F.col("_l")))).cast("long"))
+    gcols = [f"_g{i}" for i in range(len(dims))]
+    occ = grid.groupBy("_l", *gcols).agg(F.sum("_m").alias("_occ"))
+    lvl = grid.join(occ, ["_l", *gcols]).groupBy("_loc").agg(
+        F.coalesce(F.min(F.when(F.col("_occ") <= cap, F.col("_l"))), F.lit(levels)).alias("_lev"))
+    index = grid.persist(StorageLevel.MEMORY_AND_DISK)
+    probe0 = index.join(lvl, "_loc").where(F.col("_l") == F.col("_lev")).drop("_lev")
+    pending = probe0.select("_loc", "_m", "_l", *dims, *gcols).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def dist() -> Column:
+        acc = None
+        for c in dims:
+            t = (F.col(f"p.{c}") - F.col(f"o.{c}")) * (F.col(f"p.{c}") - F.col(f"o.{c}"))
+            acc = t if acc is None else acc + t
+        return F.sqrt(acc)
+
+    results = []
+    ring, max_ring = 1, int(max(math.ceil(s / s0) for s in spans) * 2 ** levels) + 1
+    while True:
+        offs = F.sequence(F.lit(-ring), F.lit(ring))
+        pr = pending
+        for i in range(len(dims)):
+            pr = pr.withColumn(f"_o{i}", F.explode(offs)).withColumn(
+                f"_h{i}", F.col(f"_g{i}") + F.col(f"_o{i}")).drop(f"_o{i}")
+        p, o = pr.alias("p"), index.alias("o")
+        cond = F.col("p._l") == F.col("o._l")
+        for i in range(len(dims)):
+            cond = cond & (F.col(f"p._h{i}") == F.col(f"o._g{i}"))
+        others = p.join(o, cond & (F.col("p._loc") != F.col("o._loc"))).select(
+            F.col("p._loc").alias("p"), F.col("p._l").alias("lev"), F.col("o._loc").alias("o"),
+            dist().alias("d"), F.col("o._m").alias("w"))
+        selfs = pending.where(F.col("_m") > 1).select(
+            F.col("_loc").alias("p"), F.col("_l").alias("lev"), F.col("_loc").alias("o"),
+            F.lit(0.0).alias("d"), (F.col("_m") - 1).alias("w"))
+        cand = others.unionByName(selfs).persist(StorageLevel.MEMORY_AND_DISK)
+        wcum = Window.partitionBy("p").orderBy("d", "o").rowsBetween(Window.unboundedPreceding, 0)
+        kth = cand.withColumn("_cum", F.sum("w").over(wcum)).where(
+            (F.col("_cum") >= k) & (F.col("_cum") - F.col("w") < k)).select(
+            "p", "lev", F.col("d").alias("kdist"))
+        side = F.lit(s0) / F.pow(F.lit(2.0), F.col("lev"))
+        ok = kth.where(F.col("kdist") <= side * ring) if ring < max_ring else kth
+        res = cand.join(ok.drop("lev"), "p").where(F.col("d") <= F.col("kdist")).drop("lev")
+        results.append(res.checkpoint())
+        pending = pending.join(ok.select(F.col("p").alias("_loc")), "_loc", "left_anti").checkpoint()
+        cand.unpersist()
+        if ring >= max_ring or pending.count() == 0:
+            break
+        ring = min(ring * 2, max_ring)
+    nb = results[0]
+    for r in results[1:]:
+        nb = nb.unionByName(r)
+    kd = nb.select("p", "kdist").distinct()
+    rd = nb.join(kd.select(F.col("p").alias("o"), F.col("kdist").alias("kdist_o")), "o").withColumn(
+        "reach", F.greatest("kdist_o", "d"))
+    lrd = rd.groupBy("p").agg((F.sum("w") / F.sum(F.col("w") * F.col("reach"))).alias("lrd"),
+                              F.sum(F.col("w") * F.col("reach")).alias("_sr"))
+    lrd = lrd.select("p", F.when(F.col("_sr") > 0, F.col("lrd")).alias("lrd"))
+    lo = nb.join(lrd.select(F.col("p").alias("o"), F.col("lrd").alias("lrd_o")), "o").groupBy("p").agg(
+        (F.sum(F.col("w") * F.col("lrd_o")) / F.sum("w")).alias("_m"),
+        F.count_if(F.col("lrd_o").isNull()).alias("_undef"))
+    out = lo.join(lrd, "p").join(kd, "p").select(
+        F.col("p").alias("_loc"), "kdist", "lrd",
+        F.when((F.col("_undef") == 0) & F.col("lrd").isNotNull(),
+               F.try_divide(F.col("_m"), F.col("lrd"))).alias("lof"))
+    back = points.join(locs.select(*dims, "_loc"), dims)
+    res = back.join(out, "_loc").select(id_col, "kdist", "lrd", "lof").withColumn(
+        "outlier", F.coalesce(F.col("lof") > OUTLIER_LOF, F.lit(False)))
+    index.unpersist()
+    return res
