@@ -2,9 +2,8 @@
 feature ranking, deviations, group distributions, domain checks.
 
 Column statistics are single aggregates whose few scalars are applied as
-literals (no cross join). LOF neighbours come from grid cells: every point only
-meets points of nearby cells, a ring is widened only for points whose k-th
-candidate is farther than the ring guarantees, so the result is the exact kNN.
+literals (no cross join). LOF neighbours come from density-adaptive grid cells
+(see `lof_adaptive`): the result is the exact kNN without pairing dense regions.
 """
 
 from __future__ import annotations
@@ -71,70 +70,6 @@ def zscores(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame
     return out
 
 
-def _cell(c: Column, lo: float, size: float) -> Column:
-    return F.floor((c - F.lit(lo)) / F.lit(size)).cast("long")
-
-
-def knn_exact(points: DataFrame, id_col: str, coords: Sequence[str], k: int) -> DataFrame:
-    """Exact k-nearest neighbours (Euclidean) with ties: rows (p, o, d) for every
-    o within p's k-distance, plus `kdist`. Candidates come from grid cells."""
-    dims = list(coords)
-    st = points.agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"lo_{c}") for c in dims],
-                    *[F.max(c).alias(f"hi_{c}") for c in dims]).first()
-    n = st["n"]
-    if n <= k:
-        raise ValueError("need more points than k")
-    spans = [max(st[f"hi_{c}"] - st[f"lo_{c}"], 1e-12) for c in dims]
-    vol = math.prod(spans)
-    size = (vol * 2 * k / n) ** (1.0 / len(dims))
-    size = max(size, max(spans) / 1e6)
-    cells = points.select(id_col, *dims, *[_cell(F.col(c), st[f"lo_{c}"], size).alias(f"_g{i}")
-                                           for i, c in enumerate(dims)])
-    max_ring = int(max(math.ceil(s / size) for s in spans)) + 1
-
-    def dist(a: str, b: str) -> Column:
-        acc = None
-        for c in dims:
-            t = (F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) * (F.col(f"{a}.{c}") - F.col(f"{b}.{c}"))
-            acc = t if acc is None else acc + t
-        return F.sqrt(acc)
-
-    ensure_checkpoint_dir(points.sparkSession)
-    cells = cells.checkpoint()
-    pending = cells
-    results = []
-    ring = 1
-    while True:
-        # Only the still-unresolved points are spread over their neighbour cells.
-        offs = F.sequence(F.lit(-ring), F.lit(ring))
-        probe = pending
-        for i in range(len(dims)):
-            probe = probe.withColumn(f"_o{i}", F.explode(offs)).withColumn(
-                f"_h{i}", F.col(f"_g{i}") + F.col(f"_o{i}")).drop(f"_o{i}")
-        p, o = probe.alias("p"), cells.alias("o")
-        cond = None
-        for i in range(len(dims)):
-            c = F.col(f"p._h{i}") == F.col(f"o._g{i}")
-            cond = c if cond is None else (cond & c)
-        cand = p.join(o, cond & (F.col(f"p.{id_col}") != F.col(f"o.{id_col}"))).select(
-            F.col(f"p.{id_col}").alias("p"), F.col(f"o.{id_col}").alias("o"),
-            dist("p", "o").alias("d")).persist()
-        w = Window.partitionBy("p").orderBy("d", "o")
-        kth = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == k).select(
-            "p", F.col("d").alias("kdist"))
-        ok = kth.where(F.col("kdist") <= F.lit(ring * size)) if ring < max_ring else kth
-        results.append(cand.join(ok, "p").where(F.col("d") <= F.col("kdist")).checkpoint())
-        pending = pending.join(ok.select(F.col("p").alias(id_col)), id_col, "left_anti").checkpoint()
-        cand.unpersist()
-        if ring >= max_ring or pending.count() == 0:
-            break
-        ring = min(ring * 2, max_ring)
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
-
-
 def local_outlier_factor(points: DataFrame, id_col: str, coords: Sequence[str], k: int = 5
                          ) -> DataFrame:
     """T5: LOF (Breunig et al. 2000) with MinPts = k; see `lof_adaptive`."""
