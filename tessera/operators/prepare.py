@@ -193,3 +193,17 @@ def reject_report(validated: DataFrame) -> DataFrame:
 __all__ = ["normalise_typed", "validate_requests", "explode_inputs", "settings_key",
            "duplicate_inputs", "input_ceiling", "oversized_inputs", "shape_violations",
            "fan_out", "reject_report", "join_small"]
+
+
+def first_over_ceiling(requests: DataFrame, order_cols: Sequence[str], ceiling: int = MAX_BATCH_INPUTS
+                       ) -> DataFrame:
+    """The request at which the running input total first exceeds the
+    ceiling (empty when it never does). The running total is a distributed
+    range scan over the request order, not a single-partition window."""
+    from tessera.functions.ordered import running_sum_within
+    r = requests.withColumn("_all", F.lit(0))
+    cs = running_sum_within(r, ["_all"], list(order_cols), "input_count", "running_inputs")
+    over = cs.where(F.col("running_inputs") > ceiling)
+    first = over.agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_o"))
+    return over.join(first, F.struct(*[F.col(c) for c in order_cols]) == F.col("_o")).drop(
+        "_o", "_all")

@@ -414,3 +414,25 @@ def operating_point(metrics: DataFrame, control, max_throttle: float = 0.01,
                        elig.alias("eligible"))
     best = m.where("eligible").agg(F.max_by(key, "accepted_tpm").alias("_best")).first()["_best"]
     return m.withColumn("chosen", F.coalesce(F.col(key) == F.lit(best), F.lit(False)))
+
+
+def span_tree(spans: DataFrame) -> DataFrame:
+    """Each child span joined to its parent (equi-join on trace and span id)
+    with both durations, and per root span the share of its time covered by its
+    direct children. Spans: trace_id, span_id, parent_span_id, start/end nanos."""
+    s = spans.select("trace_id", "span_id", "parent_span_id", "name",
+                     ((F.col("end_time_unix_nano") - F.col("start_time_unix_nano")) / 1e6).alias(
+                         "duration_ms"))
+    parent = s.select("trace_id", F.col("span_id").alias("parent_span_id"),
+                      F.col("name").alias("parent_name"),
+                      F.col("duration_ms").alias("parent_duration_ms"),
+                      F.col("parent_span_id").alias("_grand"))
+    children = s.where(F.col("parent_span_id").isNotNull()).join(
+        parent, ["trace_id", "parent_span_id"], "left")
+    roots = children.where(F.col("_grand").isNull() & F.col("parent_name").isNotNull()).groupBy(
+        "trace_id", "parent_span_id", "parent_name", "parent_duration_ms").agg(
+        F.count(F.lit(1)).alias("children"), F.sum("duration_ms").alias("child_ms")).withColumn(
+        "coverage", F.when(F.col("parent_duration_ms") > 0,
+                           F.col("child_ms") / F.col("parent_duration_ms")))
+    return roots.withColumnRenamed("parent_span_id", "root_span_id").withColumnRenamed(
+        "parent_name", "root_name").withColumnRenamed("parent_duration_ms", "root_duration_ms")

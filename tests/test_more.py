@@ -72,3 +72,25 @@ def test_freshness_specs():
     assert freshness_window("Week", now) == (dt.datetime(2024, 5, 3, 12, 0), now)
     lo, hi = freshness_window("2024-01-01..2024-01-31")
     assert lo == dt.datetime(2024, 1, 1) and hi.day == 31 and hi.hour == 23
+
+
+def test_span_tree(spark):
+    from tessera.operators import runlog
+    spans = spark.createDataFrame([
+        ("t", "root", None, "run", 0, 10_000_000),
+        ("t", "a", "root", "request", 0, 4_000_000),
+        ("t", "b", "root", "request", 4_000_000, 9_000_000),
+        ("t", "c", "a", "http", 0, 1_000_000)],
+        "trace_id string, span_id string, parent_span_id string, name string, "
+        "start_time_unix_nano long, end_time_unix_nano long")
+    r = runlog.span_tree(spans).collect()
+    assert len(r) == 1 and r[0]["root_span_id"] == "root" and r[0]["children"] == 2
+    assert r[0]["coverage"] == 0.9
+
+
+def test_first_request_over_ceiling(spark):
+    from tessera.operators import prepare
+    df = spark.createDataFrame([(i, 10) for i in range(100)], "pos long, input_count long")
+    got = prepare.first_over_ceiling(df, ["pos"], 255).collect()
+    assert [(r["pos"], r["running_inputs"]) for r in got] == [(25, 260)]
+    assert prepare.first_over_ceiling(df, ["pos"], 5000).count() == 0
