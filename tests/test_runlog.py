@@ -152,3 +152,14 @@ def test_rolling_counts_range_frame(spark):
                                "k string, id long, t long")
     got = {r["id"]: r["window_count"] for r in rolling_counts(df, ["k"], "t", 15, "id").collect()}
     assert got == {1: 1, 2: 3, 3: 3, 4: 1}  # (10, 25] excludes the t=10 peers
+
+
+def test_approx_percentiles_opt_in(spark):
+    rows = [("r", i, 0.0, i / 1000.0, 1, 1, 1, 200) for i in range(1, 1001)]
+    meas = spark.createDataFrame(rows, "run_id string, sequence long, started_seconds double, "
+                                 "completed_seconds double, input_count long, estimated_tokens long, "
+                                 "prompt_tokens long, status_code int")
+    ex = runlog.run_metrics(meas).collect()[0]
+    ap = runlog.run_metrics(meas, exact=False).collect()[0]
+    assert ex["request_latency_p50_ms"] == pytest.approx(500.5)
+    assert ap["request_latency_p50_ms"] == pytest.approx(500.5, abs=2.0)
