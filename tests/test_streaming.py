@@ -61,3 +61,15 @@ def test_new_content_stream_equals_batch(spark, sf_small, tmp_path):
     s = spark.readStream.schema(conv.schema).parquet(str(src))
     base = run_available_now(folds.new_content_stream(s), "w8test")
     assert {tuple(r) for r in spark.read.parquet(f"{base}/out").collect()} == batch
+
+
+def test_tumbling_rates_stream_equals_batch(spark, sf_small):
+    from tessera.streaming import windows
+    batch = {tuple(r) for r in windows.tumbling_rates(
+        request_log(table(spark, sf_small, "events"))).collect()}
+    s = windows.tumbling_rates(request_log(stream_table(spark, sf_small, "events")))
+    q = (s.writeStream.format("memory").queryName("w4_test").outputMode("complete")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {tuple(r) for r in spark.table("w4_test").collect()}
+    assert got == batch
