@@ -111,9 +111,11 @@ def completeness(inputs: DataFrame, outputs: DataFrame, id_col: str = "input_id"
 
 
 def run_counters(source_lines: DataFrame, responses: DataFrame) -> DataFrame:
-    """Source lines, requests, inputs, failed requests (one row)."""
+    """Source lines, requests, inputs, failed requests (one row): two one-row
+    aggregates stacked and folded, no join."""
     r = responses.agg(F.count(F.lit(1)).alias("requests"),
                       F.sum("input_count").cast("long").alias("inputs"),
                       F.count_if(F.col("error").isNotNull()).alias("failed"))
     s = source_lines.agg(F.count(F.lit(1)).alias("source_lines"))
-    return s.withColumn("_k", F.lit(1)).join(r.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    both = s.unionByName(r, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("source_lines", "requests", "inputs", "failed")])

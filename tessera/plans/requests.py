@@ -279,3 +279,67 @@ def e6_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, resp = embedded_chunks(spark, sf_dir)
     outs = correlate.correlate(resp)
     return correlate.completeness(items, outs)
+
+
+def array_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array request per document: its chunk ids and texts in chunk order
+    (collect_list is bounded by one document's chunks)."""
+    ch = document_chunks(table(spark, sf_dir, "documents"), WORDS_PER_CHUNK)
+    g = ch.groupBy("doc_id").agg(F.sort_array(F.collect_list(
+        F.struct("chunk_no", "input_id", "text"))).alias("_c"))
+    return g.select("doc_id", F.col("_c.input_id").alias("input_ids"),
+                    F.col("_c.text").alias("texts"))
+
+
+P12_SQL = "WITH " + chunks_cte(WORDS_PER_CHUNK) + """
+SELECT doc_id, CAST(chunk_no AS INTEGER) AS input_pos, input_id FROM chunks"""
+
+
+@register("p12_unpack_inputs", P12_SQL)
+def p12_unpack_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array requests unpacked to one row per logical input (strict parallel zip)."""
+    return prepare.explode_inputs(array_requests(spark, sf_dir), ["doc_id"]).select(
+        "doc_id", "input_pos", "input_id")
+
+
+P11_SQL = "WITH " + chunks_cte(WORDS_PER_CHUNK) + """
+SELECT doc_id, CAST(count(*) AS INTEGER) AS input_count, CAST(0 AS BIGINT) AS estimated_tokens
+FROM chunks GROUP BY doc_id"""
+
+
+@register("p11_passthrough", P11_SQL)
+def p11_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packing mode `none`: every array request passes as is, 0 estimated tokens."""
+    return packing.passthrough_requests(array_requests(spark, sf_dir)).select(
+        "doc_id", "input_count", "estimated_tokens")
+
+
+P8_SQL = "WITH " + chunks_cte(WORDS_PER_CHUNK) + """
+SELECT model, 'float' AS encoding_format, "user", CAST(count(*) AS BIGINT) AS inputs
+FROM chunks GROUP BY ALL"""
+
+
+@register("p8_settings_groups", P8_SQL)
+def p8_settings_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs per settings group (null-safe key; absent encoding means float)."""
+    ch = document_chunks(table(spark, sf_dir, "documents"), WORDS_PER_CHUNK)
+    g = ch.groupBy(prepare.settings_key().alias("k")).agg(F.count(F.lit(1)).alias("inputs"))
+    return g.select(F.get_json_object("k", "$.model").alias("model"),
+                    F.get_json_object("k", "$.encoding_format").alias("encoding_format"),
+                    F.get_json_object("k", "$.user").alias("user"), "inputs")
+
+
+E4_SQL = P14_SQL.split("\nSELECT model, CAST(count(*)")[0] + """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM chunks) AS source_lines,
+       CAST(count(*) AS BIGINT) AS requests, CAST(sum(input_count) AS BIGINT) AS inputs,
+       CAST(0 AS BIGINT) AS failed
+FROM req"""
+
+
+@register("e4_run_counters", E4_SQL)
+def e4_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run counters of the dry-run embed: source lines, requests, inputs, failures."""
+    from tessera.operators import correlate
+    lines = validated_chunks(spark, sf_dir)
+    _, resp = embedded_chunks(spark, sf_dir)
+    return correlate.run_counters(lines, resp)
