@@ -343,3 +343,40 @@ def e4_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = validated_chunks(spark, sf_dir)
     _, resp = embedded_chunks(spark, sf_dir)
     return correlate.run_counters(lines, resp)
+
+
+_J11_WALK = P9_SQL.split("\nSELECT i.model")[0]
+J11_SQL = _J11_WALK + f""",
+tok AS (SELECT i.model, i."user", w.batch_no, count(*) AS size
+        FROM walk w JOIN items i ON i.model = w.model AND i."user" = w."user" AND i.rn = w.rn
+        GROUP BY ALL),
+itm AS (SELECT model, "user", (rn - 1) // {MAX_INPUTS} AS batch_no, count(*) AS size
+        FROM items GROUP BY ALL),
+j AS (SELECT coalesce(a.model, b.model) AS model, coalesce(a."user", b."user") AS "user",
+             a.size AS sa, b.size AS sb
+      FROM tok a FULL OUTER JOIN itm b
+        ON a.model = b.model AND a."user" = b."user" AND a.batch_no = b.batch_no)
+SELECT model, "user", CAST(count(sa) AS BIGINT) AS token_requests,
+       CAST(count(sb) AS BIGINT) AS item_requests,
+       bool_and(coalesce(sa = sb, false)) AS identical_batching
+FROM j GROUP BY ALL"""
+
+
+@register("j11_batch_shapes", J11_SQL)
+def j11_batch_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same-batch-shape test between two packings of the same inputs (token and
+    item ceilings vs item ceiling only): ordered batch sizes compared per group
+    by an outer join on the batch number."""
+    items = packable_chunks(spark, sf_dir)
+    tok = packing.assign_batches(items, "settings", ["doc_id", "chunk_no"], "tokens",
+                                 MAX_INPUTS, MAX_TOKENS)
+    itm = packing.assign_batches(items, "settings", ["doc_id", "chunk_no"], "tokens",
+                                 MAX_INPUTS, None)
+
+    def sizes(a: DataFrame, name: str) -> DataFrame:
+        return a.groupBy("model", "user", packing.BATCH).agg(F.count(F.lit(1)).alias(name))
+    j = sizes(tok, "sa").join(sizes(itm, "sb"), ["model", "user", packing.BATCH], "full_outer")
+    return j.groupBy("model", "user").agg(
+        F.count("sa").alias("token_requests"), F.count("sb").alias("item_requests"),
+        F.bool_and(F.coalesce(F.col("sa") == F.col("sb"), F.lit(False))).alias(
+            "identical_batching"))

@@ -581,3 +581,26 @@ def a24_retry_and_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string"), F.col("retry_after").cast("string")))
     out = runlog.error_metadata(out.withColumnRenamed("error_message", "_body"), "_body")
     return out.select("run_id", "sequence", "retry_after_seconds", "error_code", "error_message")
+
+
+A8_SQL = "WITH " + REQUEST_LOG_CTE + """,
+h AS (SELECT 'remaining_requests' AS header, remaining_requests AS v FROM request_log
+      UNION ALL SELECT 'remaining_tokens', remaining_tokens FROM request_log)
+SELECT header, CAST(count(TRY_CAST(v AS DOUBLE)) AS BIGINT) AS numeric_values,
+       CAST(count(v) - count(TRY_CAST(v AS DOUBLE)) AS BIGINT) AS non_numeric_values,
+       min(TRY_CAST(v AS DOUBLE)) AS minimum, max(TRY_CAST(v AS DOUBLE)) AS maximum
+FROM h GROUP BY header"""
+
+
+@register("a8_numeric_coercion", A8_SQL)
+def a8_numeric_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lenient numeric coercion of the string rate-limit headers."""
+    log = log_of(spark, sf_dir)
+    long = log.select(F.explode(F.array(
+        F.struct(F.lit("remaining_requests").alias("header"), F.col("remaining_requests").alias("v")),
+        F.struct(F.lit("remaining_tokens").alias("header"), F.col("remaining_tokens").alias("v")),
+    )).alias("h")).select("h.header", "h.v").withColumn("n", runlog.lenient_number(F.col("v")))
+    return long.groupBy("header").agg(
+        F.count("n").alias("numeric_values"),
+        (F.count("v") - F.count("n")).alias("non_numeric_values"),
+        F.min("n").alias("minimum"), F.max("n").alias("maximum"))
