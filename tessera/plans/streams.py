@@ -105,14 +105,45 @@ def w8_new_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.new_content(conv).select("conv_id", "turn")
 
 
-@register("w3_breaker_trips")
+W3_WINDOW_US = 6 * 3600 * 1_000_000
+W3_OPEN_US = 3600 * 1_000_000
+W3_SQL = "WITH RECURSIVE " + REQUEST_LOG_CTE + f""",
+t AS (SELECT backend_id, start_us, retry_after,
+             row_number() OVER (PARTITION BY backend_id ORDER BY start_us, sequence) AS rn
+      FROM request_log WHERE status_code = 429),
+walk AS (
+  SELECT backend_id, rn, start_us AS t, [start_us] AS recent, CAST(-1 AS BIGINT) AS open_until,
+         false AS trip, 1 AS throttles, retry_after
+  FROM t WHERE rn = 1
+  UNION ALL
+  SELECT w.backend_id, x.rn, x.start_us,
+    CASE WHEN x.start_us < w.open_until THEN w.recent
+         WHEN len(list_filter(w.recent, lambda r: r > x.start_us - {W3_WINDOW_US})) + 1 >= 3
+           THEN []
+         ELSE list_append(list_filter(w.recent, lambda r: r > x.start_us - {W3_WINDOW_US}),
+                          x.start_us) END,
+    CASE WHEN x.start_us < w.open_until THEN w.open_until
+         WHEN len(list_filter(w.recent, lambda r: r > x.start_us - {W3_WINDOW_US})) + 1 >= 3
+           THEN x.start_us + CASE WHEN x.retry_after IS NULL THEN {W3_OPEN_US}
+                  ELSE greatest({W3_OPEN_US}, CAST(trunc(x.retry_after * 1e6) AS BIGINT)) END
+         ELSE w.open_until END,
+    x.start_us >= w.open_until
+      AND len(list_filter(w.recent, lambda r: r > x.start_us - {W3_WINDOW_US})) + 1 >= 3,
+    len(list_filter(w.recent, lambda r: r > x.start_us - {W3_WINDOW_US})) + 1,
+    x.retry_after
+  FROM walk w JOIN t x ON x.backend_id = w.backend_id AND x.rn = w.rn + 1
+)
+SELECT backend_id, t AS opened_us, open_until AS closes_us, CAST(throttles AS BIGINT) AS throttles
+FROM walk WHERE trip"""
+
+
+@register("w3_breaker_trips", W3_SQL)
 def w3_breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured Streaming job: breaker state per backend over the 429 stream."""
     log = request_log(stream_table(spark, sf_dir, "events"))
     # The adapter's clock is sparse (about one 429 per backend per hour), so the
     # registered job uses a 6 h trip window and a 1 h open period.
-    base = run_available_now(folds.breaker_trips_stream(log, 6 * 3600 * 1_000_000,
-                                                        3600 * 1_000_000), "breaker")
+    base = run_available_now(folds.breaker_trips_stream(log, W3_WINDOW_US, W3_OPEN_US), "breaker")
     return spark.read.parquet(f"{base}/out")
 
 
