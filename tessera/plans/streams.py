@@ -11,7 +11,7 @@ from tessera.operators import prepare
 from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
 from tessera.plans.runlog import log_of
-from tessera.plans.sqlparts import REQUEST_LOG_CTE
+from tessera.plans.sqlparts import MODEL_CASE, REQUEST_LOG_CTE
 from tessera.sources.tables import document_requests, request_log, table
 from tessera.streaming import folds, windows
 from tessera.streaming.runner import run_available_now, stream_table
@@ -147,7 +147,13 @@ def w3_breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
-@register("w7_request_ingest")
+W7_SQL = f"""
+SELECT doc_id, 'doc-' || doc_id AS input_id, {MODEL_CASE} AS model, source AS "user",
+       true AS accepted, CAST(NULL AS VARCHAR) AS error, 1 AS input_count
+FROM documents WHERE length(text) > 0"""
+
+
+@register("w7_request_ingest", W7_SQL)
 def w7_request_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured Streaming job: incremental request ingest with validation and
     in-watermark dedupe; accepted rows are returned."""
