@@ -26,8 +26,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Checkpoint files of unreferenced frames are removed by the context cleaner.
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
