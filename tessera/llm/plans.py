@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import read
 from tessera.llm.katz import katz_scores
+from tessera.llm.mixing import mixed_documents
+from tessera.llm.urls import judge
+from tessera.llm.warc import archived
 
 QUERIES = {}
 ORACLES = {}
@@ -19,3 +23,23 @@ def query(fn):
 @query
 def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled pages: those whose id has a row in `labels`; low quality or toxic means block."""
+    labels = read(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block")
+        .when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), "allow").alias("verdict"))
+    return judge(read(spark, sf_dir, "pages"), labels)
+
+
+@query
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(read(spark, sf_dir, "pages"), min_bytes=0)
+
+
+@query
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_documents(read(spark, sf_dir, "documents"))
