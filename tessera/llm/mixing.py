@@ -8,7 +8,8 @@ MAX_PATTERNS patterns, checked); documents are then selected in a seeded order:
 the running size of a pattern in hash order, from per-bucket sums and a sort
 inside each bucket, so no sort is global and no bucket grows with a hot source.
 What a whole-document cut leaves open is closed, in FILLS rounds, by the document
-whose size comes nearest to the rest without exceeding it (else nearest at all).
+whose size comes nearest to the rest without exceeding it (else, and in the last
+round, nearest at all).
 
 Edge cases: null or empty text has size 0 and nothing is taken of it; a null
 source is a source of its own, ordered last; repeated rows share their hash and
@@ -32,7 +33,7 @@ RATIO = 1.5
 REPEATS = 2
 MAX_PATTERNS = 100_000
 ROWS_PER_BUCKET = 20_000
-FILLS = 3
+FILLS = 4
 
 
 def n_words(text: Column) -> Column:
@@ -161,7 +162,8 @@ def mix(docs: DataFrame, key: Sequence[str], weights: Sequence[float] = WEIGHTS,
                     .drop("before", "b"), f"{scratch(spark)}/placed").join(plan, "pattern")
     whole = [F.col("upto") <= F.col("quota")[t] for t in range(repeats)]
     chosen = [{} for _ in range(repeats)]
-    for _ in range(FILLS):
+    for round_ in range(FILLS):
+        last = round_ == FILLS - 1
         taken = _with_uses(placed, chosen, whole)
         rest = taken.groupBy("pattern").agg(*[
             (F.first("quota")[t] - F.coalesce(F.sum(F.when(F.col(f"use{t}"), F.col("size"))), F.lit(0))).alias(f"rest{t}")
@@ -170,7 +172,7 @@ def mix(docs: DataFrame, key: Sequence[str], weights: Sequence[float] = WEIGHTS,
         near = [F.abs(F.col("size") - F.col(f"rest{t}")) for t in range(repeats)]
         fills = open_.groupBy("pattern").agg(*[
             F.min(F.when(~F.col(f"use{t}") & (near[t] < F.col(f"rest{t}")),
-                         F.struct((F.col("size") > F.col(f"rest{t}")).alias("over"), near[t].alias("d"), "h"))).alias(f"fill{t}")
+                         F.struct((F.lit(not last) & (F.col("size") > F.col(f"rest{t}"))).alias("over"), near[t].alias("d"), "h"))).alias(f"fill{t}")
             for t in range(repeats)]).collect()
         for r in fills:
             for t in range(repeats):

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read
 from tessera.llm.katz import katz_scores
 from tessera.llm.mixing import mixed_documents
+from tessera.llm.quality import quality_scores
+from tessera.llm.toxicity import toxicity_scores
 from tessera.llm.urls import judge
 from tessera.llm.warc import archived
 
@@ -43,3 +45,13 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
