@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import read
+from tessera.llm.decontaminate import leaks
+from tessera.llm.forest import nearest
 from tessera.llm.katz import katz_scores
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.quality import quality_scores
@@ -55,3 +57,14 @@ def op3_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
