@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read
 from tessera.llm.decontaminate import leaks
 from tessera.llm.forest import nearest
+from tessera.llm.html import main_text
 from tessera.llm.katz import katz_scores
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.quality import quality_scores
@@ -68,3 +69,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+@query
+def op6_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read(spark, sf_dir, "pages"))
