@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +45,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30)
         if np.abs(step).max() < 1e-8:
             break
     return w
+
+
+def scored(documents: DataFrame, score, threshold: float, folds: int) -> DataFrame:
+    """doc_id, held_out, score, predicted (1 if score >= threshold) of every document, in one pass over the texts."""
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
+
+    def run(batches):
+        for b in batches:
+            s = score(b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held"), pa.array(s, pa.float64()),
+                                              pa.array((s >= threshold).astype(np.int32))], schema=schema)
+
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out(F.col("doc_id"), folds).alias("held"))
+    return docs.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+
+
+def filtered(documents: DataFrame, score, keep) -> DataFrame:
+    """The rows whose score satisfies `keep`, with all their columns, in one pass and without a shuffle."""
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(keep(score(b.column("text"))), pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -11,6 +11,7 @@ from tessera.llm.forest import nearest
 from tessera.llm.html import main_text
 from tessera.llm.katz import katz_scores
 from tessera.llm.mixing import mixed_documents
+from tessera.llm.parity import jaccard_components
 from tessera.llm.quality import quality_scores
 from tessera.llm.toxicity import toxicity_scores
 from tessera.llm.urls import judge
@@ -74,3 +75,8 @@ def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read(spark, sf_dir, "pages"))
+
+
+@query
+def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import held_out
-from tessera.llm.learning import labelled_sample, sigmoid, unlabelled_sample
+from tessera.llm.learning import filtered, labelled_sample, scored, sigmoid, unlabelled_sample
 
 POSITIVES, UNLABELLED = 6000, 8000
 BINS, STEPS, RATE, RIDGE = 10, 400, 0.1, 1e-3
@@ -114,25 +114,29 @@ def _collected(sample: DataFrame) -> np.ndarray:
     return np.array(got.column("x").to_pylist(), float).reshape(got.num_rows, -1)
 
 
-def quality_scores(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
+def scorer(documents: DataFrame, labels: DataFrame, folds: int = FOLDS):
+    """Learns, and returns a function from a column of texts (in a task) to their scores."""
     prior = class_prior(labels, folds)
     positive = _collected(labelled_sample(documents, labels, F.col("quality") == 1, folds, POSITIVES))
     unlabelled = _collected(unlabelled_sample(documents, UNLABELLED))
     model = fit(positive, unlabelled, prior) if len(positive) and len(unlabelled) else None
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
-    def score(batches):
+    def score(texts) -> np.ndarray:
         m = shared.value
-        for b in batches:
-            if m is None or not b.num_rows:
-                s = np.full(b.num_rows, prior)
-            else:
-                x = np.array([features(t.as_py()) for t in b.column("text")])
-                s = sigmoid(_sum(m["weights"], binned(x, m["cuts"])))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held"), pa.array(s),
-                                              pa.array((s >= threshold).astype(np.int32))], schema=schema)
-
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out(F.col("doc_id"), folds).alias("held"))
-    return docs.mapInArrow(score, "doc_id bigint, held_out boolean, score double, predicted int")
+        if m is None or not len(texts):
+            return np.full(len(texts), prior)
+        x = np.array([features(t.as_py()) for t in texts])
+        return sigmoid(_sum(m["weights"], binned(x, m["cuts"])))
+
+    return score
+
+
+def quality_scores(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    return scored(documents, scorer(documents, labels, folds), threshold, folds)
+
+
+def good_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS) -> DataFrame:
+    """The rows predicted to be of good quality, all columns."""
+    return filtered(documents, scorer(documents, labels, folds), lambda s: s >= threshold)

@@ -29,8 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, words
-from tessera.llm.learning import labelled_sample, logistic, sigmoid
+from tessera.llm.common import words
+from tessera.llm.learning import filtered, labelled_sample, logistic, scored, sigmoid
 
 TOXIC, ORDINARY = 1500, 4000
 GRAM = 5
@@ -130,24 +130,30 @@ def _word_sets(sample: DataFrame) -> list[set]:
     return [set(w.split(b"\n")) - {b""} for w in got.column("words").to_pylist()]
 
 
-def toxicity_scores(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
+def scorer(documents: DataFrame, labels: DataFrame, folds: int = FOLDS):
+    """Learns, and returns a function from a column of texts (in a task) to their scores."""
     model = fit(_word_sets(labelled_sample(documents, labels, F.col("toxic") == 1, folds, TOXIC)),
                 _word_sets(labelled_sample(documents, labels, F.col("toxic") == 0, folds, ORDINARY)))
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
+    held = {}                                                 # one pair of compressors a Python worker
 
-    def score(batches):
+    def score(texts) -> np.ndarray:
         m = shared.value
-        margins = Margins(m["toxic"], m["ordinary"]) if m else None
-        for b in batches:
-            if m and b.num_rows:
-                x = np.array([measures(set(words(t.as_py())), margins, m["win"]) for t in b.column("text")])
-                s = sigmoid(np.c_[np.ones(len(x)), x] @ m["weights"])
-            else:
-                s = np.zeros(b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held"), pa.array(s),
-                                              pa.array((s >= threshold).astype(np.int32))], schema=schema)
-
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out(F.col("doc_id"), folds).alias("held"))
-    return docs.mapInArrow(score, "doc_id bigint, held_out boolean, score double, predicted int")
+        if m is None or not len(texts):
+            return np.zeros(len(texts))
+        if "margins" not in held:
+            held["margins"] = Margins(m["toxic"], m["ordinary"])
+        x = np.array([measures(set(words(t.as_py())), held["margins"], m["win"]) for t in texts])
+        return sigmoid(np.c_[np.ones(len(x)), x] @ m["weights"])
+
+    return score
+
+
+def toxicity_scores(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    return scored(documents, scorer(documents, labels, folds), threshold, folds)
+
+
+def harmless_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS) -> DataFrame:
+    """The rows that are not predicted to be toxic, all columns."""
+    return filtered(documents, scorer(documents, labels, folds), lambda s: s < threshold)
