@@ -17,9 +17,10 @@ Documents that share a key are candidates: all pairs of a small group; of a larg
 one the pairs with its smallest class, which joins groups of copies without pairing
 them up. Candidates whose short sketches differ by more than D are dropped, the rest
 are verified on the texts. After connected components, larger groups whose members
-are not yet one component are searched once more across components, in chunks, with
-the short sketches compared inside the task; so no link between different components
-is missed and no group is paired out.
+are not yet one component are searched again across components, in chunks, with the
+short sketches compared inside the task: each component but a group's largest offers
+its nearest pairs, four times as many in each round, until none is left untested. So
+no link between different components is missed and no group is paired out.
 
 Shingles are compared by 64-bit and sets by 128-bit hashes.
 
@@ -49,9 +50,9 @@ SKETCH = 1 << 40
 SHORT = 512               # bits of the short sketch
 PAIRED = 32               # classes in a group whose pairs are all taken
 CHUNK = 2000              # classes compared with as many in one task
-CHARS_PER_BUCKET = 24e6
-BLOCK_KEYS, BLOCK_DOCS = 1_500_000, 20_000
-CACHED = 400_000
+CHARS_PER_BUCKET = 12e6
+BLOCK_KEYS, BLOCK_DOCS = 600_000, 10_000
+CACHED = 150_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -326,35 +327,43 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def across(groups: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that share a larger group but no component, near by size and short sketch."""
+def across(groups: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, limit: int) -> DataFrame:
+    """Pairs (a, b, more) of classes that share a larger group but no component, near by size and short sketch:
+    for each component of a group but its largest, the `limit` nearest by the sketches; `more` tells that some
+    component has further ones."""
     spread = (groups.select("key", F.explode("group").alias("class")).join(classes, "class")
               .join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")))
-    mixed_keys = (spread.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
-                  .where("lo <> hi").select("key", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")))
-    rows = (spread.join(mixed_keys, "key").withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    several = (spread.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
+               .where("lo <> hi").select("key", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")))
+    rows = (spread.join(several, "key").withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
             .withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("key", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "c", "class", "n", "root", "sketch"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
 
     def run(key, t):
         _, lo, hi = (k.as_py() for k in key)
         col = lambda x: t.column(x).to_numpy()
         name, n, root, chunk = col("class"), col("n"), col("root"), col("c")
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(name), -1)
-        left, right = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
-        out = []
-        for i in left:
-            j = right[(right > i) if lo == hi else slice(None)]
-            j = j[(root[j] != root[i]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))]
+        found, size = np.unique(root, return_counts=True)
+        best: dict[int, list] = {}
+        for i in np.flatnonzero(root != found[np.argmax(size)]):
+            j = np.flatnonzero((root != root[i]) & ((chunk != chunk[i]) if lo != hi else True)
+                               & (100 * np.minimum(n[i], n) >= percent * np.maximum(n[i], n)))
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            ok = apart <= (n[i] + n[j]) * (100 - percent) // (100 + percent)
+            j, apart = j[ok], apart[ok]
             if len(j):
-                apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                j = j[apart <= (n[i] + n[j]) * (100 - percent) // (100 + percent)]
-                out.append(np.stack([np.minimum(name[i], name[j]), np.maximum(name[i], name[j])], axis=1))
-        p = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table([pa.array(p[:, 0]), pa.array(p[:, 1])], schema=schema)
+                first = np.lexsort((name[j], apart))[:limit + 1]
+                best.setdefault(int(root[i]), []).extend(
+                    (int(apart[x]), min(int(name[i]), int(name[j[x]])), max(int(name[i]), int(name[j[x]]))) for x in first)
+        pairs = {p[1:] for rows in best.values() for p in sorted(rows)[:limit]}
+        more = any(len(set(rows)) > limit for rows in best.values())
+        return pa.table([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()),
+                         pa.array([more] * len(pairs), pa.bool_())], schema=schema)
 
-    return rows.groupBy("key", "lo", "hi").applyInArrow(run, "a bigint, b bigint").distinct()
+    return (rows.groupBy("key", "lo", "hi").applyInArrow(run, "a bigint, b bigint, more boolean")
+            .groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE, paired: int = PAIRED) -> DataFrame:
@@ -377,9 +386,17 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     edges = stored(verified(pairs, classes, documents, percent, width).union(same_id), f"{folder}/edges")
     roots = components(edges)
     groups = found.where("a is null").select("key", "group")
-    more = stored(across(groups, classes, roots, percent).join(pairs, ["a", "b"], "left_anti"), f"{folder}/across")
-    if not more.isEmpty():
-        roots = components(stored(verified(more, classes, documents, percent, width).union(edges), f"{folder}/all-edges"))
+    tested, limit = pairs, 1
+    while True:
+        near = stored(across(groups, classes, roots, percent, limit), f"{folder}/across{limit}")
+        more = near.where("more").limit(1).count()
+        new = stored(near.select("a", "b").join(tested, ["a", "b"], "left_anti"), f"{folder}/new{limit}")
+        if not new.isEmpty():
+            edges = stored(verified(new, classes, documents, percent, width).union(edges), f"{folder}/edges{limit}")
+            tested, roots = tested.union(new), components(edges)
+        elif not more:
+            break
+        limit *= 4
     rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
         "digest", F.coalesce("root", "id").alias("root"))
     return (docs.join(rooted, "digest", "left")
