@@ -8,15 +8,16 @@ For sizes a and b, Jaccard >= t bounds that by D = (a + b) (1 - t) / (1 + t).
 Pigeonhole join: sizes fall into bands whose ends differ by the factor 1 / t, so that
 linked documents lie in one band or in neighbours. For each band the sketch is cut
 into D + 1 + E segments; D differing bits leave E + 1 of the first D + 1 + E segments
-equal, so a document sends a key for that many. Up to E segments with at most one
-bit may be left out (one common shingle says nothing), as one more always remains; a
-document with more of them sends them all. Keys travel packed, by hash bucket; equal
+equal, so a document looks at that many and sends keys for all but the E with the fewest bits
+(ordered by bits, then key: of the E + 1 equal segments the last in that order is
+among the E first of neither document). Empty segments and those with one common
+shingle say little and are left out that way. Keys travel packed, by hash bucket; equal
 sets count as one class everywhere.
 
 Documents that share a key are candidates: all pairs of a small group; of a larger
 one the pairs with its smallest class, which joins groups of copies without pairing
-them up. Candidates whose short sketches differ by more than D are dropped, the rest
-are verified on the texts. After connected components, larger groups whose members
+them up. Candidates whose short sketches (in the buckets: folded to 64 bits) differ by more
+than D are dropped, the rest are verified on the texts. After connected components, larger groups whose members
 are not yet one component are searched again across components, in chunks, with the
 short sketches compared inside the task: each component but a group's largest offers
 its nearest pairs, four times as many in each round, until none is left untested. So
@@ -47,7 +48,8 @@ from tessera.llm.common import buckets, scratch, stored, words
 SHINGLE = 4
 PERCENT = 85
 SKETCH = 1 << 40
-SHORT = 512               # bits of the short sketch
+SHORT = 512               # bits of a short sketch, at least; twice the size of the set, up to a power of two
+SPARE = 0.25              # further segments, as a share of those that the pigeonhole needs
 PAIRED = 32               # classes in a group whose pairs are all taken
 CHUNK = 2000              # classes compared with as many in one task
 CHARS_PER_BUCKET = 12e6
@@ -100,8 +102,24 @@ def positions(s: np.ndarray) -> np.ndarray:
     return p
 
 
-def short_sketch(p: np.ndarray) -> bytes:
-    return np.packbits(np.bincount((mixed(p) % np.uint64(SHORT)).astype(np.int64), minlength=SHORT) & 1).tobytes()
+def short_sketch(p: np.ndarray, n: int) -> bytes:
+    size = max(SHORT, 1 << (2 * n - 1).bit_length()) if n else SHORT
+    return np.packbits(np.bincount((mixed(p) % np.uint64(size)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Hamming distance of two short sketches, the longer folded to the shorter."""
+    if len(x) != len(y):
+        n = min(len(x), len(y))
+        x, y = (np.bitwise_xor.reduce(np.frombuffer(z, np.uint64).reshape(-1, n // 8), axis=0) for z in (x, y))
+    else:
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def folded(sketch: bytes) -> int:
+    """A short sketch folded to 64 bits: still a parity sketch, with one bit a shingle."""
+    return int(np.bitwise_xor.reduce(np.frombuffer(sketch, np.int64)))
 
 
 class Bands:
@@ -122,7 +140,7 @@ class Bands:
 
     def spare(self, band: int) -> int:
         d = self.most(self.first[band + 1] - 1, self.first[band + 1] - 1)
-        return math.ceil(0.15 * (d + 1)) if d >= 3 else 0
+        return math.ceil(SPARE * (d + 1))
 
     def edges(self, band: int) -> np.ndarray:
         """Ends of the segments of a band's sketches."""
@@ -151,14 +169,13 @@ class Bands:
             else:
                 sums = np.zeros(some, np.uint64)
             key = mixed(sums + mixed(np.arange(some, dtype=np.uint64) * ODD + np.uint64(band), 5))
-            weak = count <= 1
-            out.append(key[~weak] if weak.sum() <= spare else key)
+            out.append(key[np.lexsort((key, count))[spare:]])
         return np.concatenate(out)
 
 
-SENT = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("classes", pa.binary()), ("sizes", pa.binary()),
-                  ("ids", pa.binary()), ("known", pa.binary()), ("digests", pa.binary()), ("sketches", pa.binary())])
-SENT_DDL = "bucket int, keys binary, classes binary, sizes binary, ids binary, known binary, digests binary, sketches binary"
+SENT = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("classes", pa.binary()), ("sizes", pa.binary()), ("folds", pa.binary()),
+                  ("ids", pa.binary()), ("known", pa.binary()), ("digests", pa.binary()), ("sketches", pa.list_(pa.binary()))])
+SENT_DDL = "bucket int, keys binary, classes binary, sizes binary, folds binary, ids binary, known binary, digests binary, sketches array<binary>"
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
@@ -179,14 +196,15 @@ def sketched(documents: DataFrame, percent: int, width: int, n_buckets: int) ->
                 c = np.repeat(np.array([x[1] for x in keys], np.int64), lengths)
                 s = np.repeat(np.array([x[2] for x in keys], np.int32), lengths)
                 b = (k % np.uint64(n_buckets)).astype(np.int32)
+                f = np.repeat(np.array([x[3] for x in keys], np.int64), lengths)
                 order = np.argsort(b.astype(np.uint16) if n_buckets < 65536 else b, kind="stable")
-                k, c, s = k[order], c[order], s[order]
+                k, c, s, f = k[order], c[order], s[order], f[order]
                 cuts = np.searchsorted(b[order], np.arange(n_buckets + 1))
-                out += [(i, k[x:y].tobytes(), c[x:y].tobytes(), s[x:y].tobytes(), None, None, None, None)
+                out += [(i, k[x:y].tobytes(), c[x:y].tobytes(), s[x:y].tobytes(), f[x:y].tobytes(), None, None, None, None)
                         for i, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-            out.append((None, None, None, np.array([d[2] for d in docs], np.int32).tobytes(),
+            out.append((None, None, None, np.array([d[2] for d in docs], np.int32).tobytes(), None,
                         np.array([d[0] or 0 for d in docs], np.int64).tobytes(), np.array([d[0] is not None for d in docs]).tobytes(),
-                        b"".join(d[1] for d in docs), b"".join(d[3] for d in docs)))
+                        b"".join(d[1] for d in docs), [d[3] for d in docs]))
             for x in (keys, docs, seen):
                 x.clear()
             return _rows(SENT, out)
@@ -195,10 +213,10 @@ def sketched(documents: DataFrame, percent: int, width: int, n_buckets: int) ->
             for i, text in zip(batch.column("doc_id"), batch.column("text")):
                 i, s = i.as_py(), shingles(text.as_py(), hashes, width)
                 p, d = positions(s), digest(s)
-                docs.append((i, d, len(s), short_sketch(p)))
+                docs.append((i, d, len(s), short_sketch(p, len(s))))
                 if len(s) and i is not None and d not in seen:
                     seen.add(d)
-                    keys.append((bands.keys(p, len(s)), int.from_bytes(d[:8], "little", signed=True), len(s)))
+                    keys.append((bands.keys(p, len(s)), int.from_bytes(d[:8], "little", signed=True), len(s), folded(docs[-1][3])))
                     n += len(keys[-1][0])
                 if n >= BLOCK_KEYS or len(docs) >= BLOCK_DOCS:
                     yield flush()
@@ -220,7 +238,7 @@ def members(table: DataFrame) -> DataFrame:
                 cut = lambda x, w: [x[i:i + w] for i in range(0, len(x), w)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, mask=~known), pa.array(np.frombuffer(r["sizes"], np.int32).astype(np.int64)),
-                     pa.array(cut(r["digests"], 16), pa.binary()), pa.array(cut(r["sketches"], SHORT // 8), pa.binary())], schema=schema)
+                     pa.array(cut(r["digests"], 16), pa.binary()), pa.array(r["sketches"], pa.binary())], schema=schema)
 
     return (table.where("bucket is null").select("sizes", "ids", "known", "digests", "sketches")
             .mapInArrow(run, "doc_id bigint, n bigint, digest binary, sketch binary"))
@@ -233,17 +251,20 @@ FOUND_DDL = "a bigint, b bigint, key bigint, group array<bigint>"
 def candidates(table: DataFrame, percent: int, paired: int) -> DataFrame:
     """Rows (a, b): pairs of classes; rows (key, group): the classes of a larger group."""
     def run(key, packed):
-        parts = [(np.frombuffer(k.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int64), np.frombuffer(s.as_py(), np.int32))
-                 for k, c, s in zip(packed.column("keys"), packed.column("classes"), packed.column("sizes"))]
-        k, c, s = (np.concatenate(x) for x in zip(*parts))
+        kinds = {"keys": np.uint64, "classes": np.int64, "sizes": np.int32, "folds": np.uint64}
+        k, c, s, f = (np.concatenate([np.frombuffer(x.as_py(), kind) for x in packed.column(name)]) for name, kind in kinds.items())
         order = np.lexsort((c, k))
-        k, c, s = k[order], c[order], s[order]
+        k, c, s, f = k[order], c[order], s[order], f[order]
         new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
-        k, c, s = k[new], c[new], s[new].astype(np.int64)
+        k, c, s, f = k[new], c[new], s[new].astype(np.int64), f[new]
         start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         size = np.diff(np.r_[start, len(k)])
         pairs, groups = [], []
-        near = lambda x, y: 100 * np.minimum(s[x], s[y]) >= percent * np.maximum(s[x], s[y])
+
+        def near(x, y):
+            return ((100 * np.minimum(s[x], s[y]) >= percent * np.maximum(s[x], s[y]))
+                    & (np.bitwise_count(f[x] ^ f[y]) <= (s[x] + s[y]) * (100 - percent) // (100 + percent)))
+
         for g in np.unique(size[(size > 1) & (size <= paired)]):
             i, j = np.triu_indices(g, 1)
             first = start[size == g]
@@ -260,7 +281,7 @@ def candidates(table: DataFrame, percent: int, paired: int) -> DataFrame:
                                            pa.nulls(len(p), FOUND.field("group").type)], schema=FOUND)]
         return pa.Table.from_batches(out + [_rows(FOUND, groups)])
 
-    return (table.where("bucket is not null").select("bucket", "keys", "classes", "sizes")
+    return (table.where("bucket is not null").select("bucket", "keys", "classes", "sizes", "folds")
             .groupBy("bucket").applyInArrow(run, FOUND_DDL))
 
 
@@ -276,10 +297,8 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sketch_a", "sketch_b"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            n = b.column("n_a").to_numpy() + b.column("n_b").to_numpy()
-            ok = pa.array(apart <= n * bands[0] // bands[1])
+            most = (b.column("n_a").to_numpy() + b.column("n_b").to_numpy()) * bands[0] // bands[1]
+            ok = pa.array([apart(x, y) <= d for x, y, d in zip(b.column("sketch_a").to_pylist(), b.column("sketch_b").to_pylist(), most.tolist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(f.name) for f in schema], schema=schema).filter(ok)
 
     left = both.select("id_a", "id_b", "n_a", "n_b", "sketch_a", "sketch_b", "digest_a", "digest_b").mapInArrow(
@@ -344,19 +363,21 @@ def across(groups: DataFrame, classes: DataFrame, roots: DataFrame, percent: int
         _, lo, hi = (k.as_py() for k in key)
         col = lambda x: t.column(x).to_numpy()
         name, n, root, chunk = col("class"), col("n"), col("root"), col("c")
-        bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(name), -1)
+        sketches = [np.frombuffer(x, np.uint64) for x in t.column("sketch").to_pylist()]
+        least = min(map(len, sketches))
+        bits = np.stack([np.bitwise_xor.reduce(x.reshape(-1, least), axis=0) for x in sketches])
         found, size = np.unique(root, return_counts=True)
         best: dict[int, list] = {}
         for i in np.flatnonzero(root != found[np.argmax(size)]):
             j = np.flatnonzero((root != root[i]) & ((chunk != chunk[i]) if lo != hi else True)
                                & (100 * np.minimum(n[i], n) >= percent * np.maximum(n[i], n)))
-            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            ok = apart <= (n[i] + n[j]) * (100 - percent) // (100 + percent)
-            j, apart = j[ok], apart[ok]
+            far = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            ok = far <= (n[i] + n[j]) * (100 - percent) // (100 + percent)
+            j, far = j[ok], far[ok]
             if len(j):
-                first = np.lexsort((name[j], apart))[:limit + 1]
+                first = np.lexsort((name[j], far))[:limit + 1]
                 best.setdefault(int(root[i]), []).extend(
-                    (int(apart[x]), min(int(name[i]), int(name[j[x]])), max(int(name[i]), int(name[j[x]]))) for x in first)
+                    (int(far[x]), min(int(name[i]), int(name[j[x]])), max(int(name[i]), int(name[j[x]]))) for x in first)
         pairs = {p[1:] for rows in best.values() for p in sorted(rows)[:limit]}
         more = any(len(set(rows)) > limit for rows in best.values())
         return pa.table([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()),

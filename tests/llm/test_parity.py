@@ -53,7 +53,7 @@ def result(df):
 
 
 def test_components_equal_all_pairs(spark):
-    for seed, percent, width, paired in ((1, 85, 4, 32), (2, 85, 4, 1), (3, 80, 5, 2)):
+    for seed, percent, width, paired in ((1, 85, 4, 1), (3, 80, 5, 32)):
         rows = texts(seed)
         docs = spark.createDataFrame(rows, "doc_id bigint, text string")
         assert result(jaccard_components(docs, percent, width, paired)) == brute(rows, percent, width), seed
