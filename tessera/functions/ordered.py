@@ -23,31 +23,31 @@ MID = "_mid"
 RANK = "_rank"
 COUNT = "_n"
 
-# Small side tables (one row per partition and key) are broadcast only below
-# this many rows; above it the join is a plain shuffle join.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
 def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 60     # estimates from here on stand for "unknown" (products of joins)
 
 
 def num_partitions(df: DataFrame, requested: int | None = None) -> int:
     """Range partitions for an ordered scan: the estimated input size over 128 MB,
-    at least the default parallelism, at most `spark.sql.shuffle.partitions`."""
+    at least the default parallelism; `spark.sql.shuffle.partitions` if the size is unknown."""
     if requested:
         return int(requested)
     spark = df.sparkSession
-    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    default = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
     try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        # Joins are estimated as products; no scan here grows its input more than eightfold.
+        est = min(int(str(plan.stats().sizeInBytes())), 8 * read)
         floor_ = max(spark.sparkContext.defaultParallelism, 1)
-        return int(min(cap, max(floor_, -(-est // TARGET_PARTITION_BYTES))))
+        return default if est >= UNKNOWN_BYTES else int(max(floor_, -(-est // TARGET_PARTITION_BYTES)))
     except Exception:  # noqa: BLE001 - statistics unavailable: use the configured count
-        return cap
+        return default
 
 
 def range_sorted(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str | Column],
@@ -79,19 +79,19 @@ def range_sorted(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[st
     return out
 
 
-def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-               limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join a derived side table, broadcasting it only when its row count is small."""
-    if small.count() <= limit:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a derived side table on equal keys, null equal to null. Whether it is
+    broadcast is left to Spark, which knows its size in bytes."""
+    side = small.withColumnsRenamed({c: f"_side_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_side_{c}")) for c in on]
+    return big.join(side, same, how).drop(*[f"_side_{c}" for c in on])
 
 
 def rank_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str | Column],
                 partitions: int | None = None) -> DataFrame:
     """Add `_rank` (0-based position inside the key, by order) and `_n` (key size).
 
-    Key columns must be non-null. No task ever holds more than one partition.
+    Null keys form a group of their own. No task ever holds more than one partition.
     """
     keys = list(key_cols)
     x = range_sorted(df, keys, order_cols, partitions)

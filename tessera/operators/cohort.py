@@ -112,12 +112,14 @@ def domain_violations(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> Dat
 
 
 def side_by_side(df: DataFrame, id_col: str, ids: Sequence, cols: Sequence[str]) -> DataFrame:
-    """Features of a few entities as columns (unpivot then pivot on the id)."""
+    """Features of two entities side by side: feature, left_value, right_value."""
     long = df.where(F.col(id_col).isin(*ids)).select(
         id_col, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"),
                                              F.col(c).cast("string").alias("value")) for c in cols])
                           ).alias("s")).select(id_col, "s.feature", "s.value")
-    return long.groupBy("feature").pivot(id_col, list(ids)).agg(F.first("value"))
+    return long.groupBy("feature").agg(
+        F.max(F.when(F.col(id_col) == ids[0], F.col("value"))).alias("left_value"),
+        F.max(F.when(F.col(id_col) == ids[1], F.col("value"))).alias("right_value"))
 
 
 def scatter_table(df: DataFrame, id_col: str, x: str, y: str, flag: Column, target: Column,

@@ -250,8 +250,9 @@ def peak_window(log: DataFrame, window_us: int, key: str = "run_id",
 
 def request_spacing(log: DataFrame, offset_col: str, key: str = "run_id",
                     order_col: str = "sequence") -> DataFrame:
-    """Differences of consecutive start offsets in log order, negatives dropped."""
-    prev = previous_within(log.select(key, order_col, offset_col), [key], [order_col], offset_col)
+    """Differences of consecutive known start offsets in log order, negatives dropped."""
+    given = log.select(key, order_col, offset_col).where(F.col(offset_col).isNotNull())
+    prev = previous_within(given, [key], [order_col], offset_col)
     d = prev.select(key, (F.col(offset_col) - F.col("_prev")).alias("_d")).where(F.col("_d") >= 0)
     return d.groupBy(key).agg(F.avg("_d").alias("spacing_mean"), F.min("_d").alias("spacing_min"),
                               F.max("_d").alias("spacing_max"))
@@ -395,15 +396,15 @@ def load_report(log: DataFrame, key: str = "run_id") -> DataFrame:
 
 
 def experiment_deltas(metrics: DataFrame, control, key: str = "run_id") -> DataFrame:
-    """Request reduction, throughput increase and throttle percentage of
+    """A28 (null where the control's metric is zero): request reduction, throughput increase and throttle percentage of
     every run against a control run (the control's metrics are one row)."""
     c = metrics.where(F.col(key) == control).first()
     if c is None:
         raise ValueError(f"control {control!r} not found")
     return metrics.select(
         key,
-        (1 - F.col("attempted_requests") / F.lit(c["attempted_requests"])).alias("request_reduction"),
-        (F.col("accepted_tpm") / F.lit(c["accepted_tpm"]) - 1).alias("tpm_increase"),
+        (1 - F.try_divide(F.col("attempted_requests"), F.lit(c["attempted_requests"]))).alias("request_reduction"),
+        (F.try_divide(F.col("accepted_tpm"), F.lit(c["accepted_tpm"])) - 1).alias("tpm_increase"),
         (F.col("throttle_rate") * 100).alias("throttle_pct"))
 
 

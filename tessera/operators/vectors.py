@@ -60,11 +60,11 @@ def first_vectors(route: DataFrame, id_col: str = "input_id", pos_col: str = "po
 
 def route_summary(route: DataFrame, label: str, expected_dim: int | None = None,
                   id_col: str = "input_id") -> DataFrame:
-    """One row of validation facts per route."""
+    """One row of validation facts per route; duplicate_ids counts the extra occurrences."""
     firsts = first_vectors(route, id_col)
     return firsts.agg(
         F.count(F.lit(1)).alias("vectors"),
-        F.count_if(F.col("occurrences") > 1).alias("duplicate_ids"),
+        F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("bigint").alias("duplicate_ids"),
         F.sort_array(F.collect_set(F.size("embedding"))).alias("dimensions"),
         F.sort_array(F.collect_set("model")).alias("models"),
         F.count_if(~all_finite(F.col("embedding"))).alias("nonfinite"),

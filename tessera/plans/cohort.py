@@ -289,15 +289,16 @@ def t7_scatter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 T11_SQL = "WITH " + COHORT_CTE + """,
-top2 AS (SELECT c_custkey FROM ci ORDER BY open_total DESC, c_custkey LIMIT 2),
-t AS (SELECT ci.* FROM ci JOIN top2 USING (c_custkey)),
+top2 AS (SELECT c_custkey, row_number() OVER (ORDER BY open_total DESC, c_custkey) AS side FROM ci),
+t AS (SELECT ci.*, side FROM ci JOIN top2 USING (c_custkey) WHERE side <= 2),
 l AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS k, 'c_mktsegment' AS feature, c_mktsegment AS value FROM t
-  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM t
-  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'open_orders',
-    CAST(CAST(open_orders AS BIGINT) AS VARCHAR) FROM t
+  SELECT side, 'c_mktsegment' AS feature, c_mktsegment AS value FROM t
+  UNION ALL SELECT side, 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM t
+  UNION ALL SELECT side, 'open_orders', CAST(CAST(open_orders AS BIGINT) AS VARCHAR) FROM t
 )
-PIVOT l ON k USING first(value) GROUP BY feature"""
+SELECT feature, max(CASE WHEN side = 1 THEN value END) AS left_value,
+       max(CASE WHEN side = 2 THEN value END) AS right_value
+FROM l GROUP BY feature"""
 
 
 @register("t11_side_by_side", T11_SQL)

@@ -123,7 +123,7 @@ r AS (SELECT 'baseline' AS label, * FROM base UNION ALL SELECT 'candidate', * FR
 f AS (SELECT label, input_id, count(*) AS occ, arg_min(embedding, pos) AS embedding,
              arg_min(model, pos) AS model FROM r GROUP BY ALL)
 SELECT label, CAST(count(*) AS BIGINT) AS vectors,
-       CAST(count(*) FILTER (WHERE occ > 1) AS BIGINT) AS duplicate_ids,
+       CAST(coalesce(sum(occ - 1), 0) AS BIGINT) AS duplicate_ids,
        CAST(list_sort(list(DISTINCT len(embedding))) AS INTEGER[]) AS dimensions,
        list_sort(list(DISTINCT model)) AS models,
        CAST(count(*) FILTER (WHERE NOT list_bool_and(list_transform(embedding,

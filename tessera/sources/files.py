@@ -162,7 +162,7 @@ def load_route(spark: SparkSession, path: str, label: str) -> dict[str, DataFram
     vectors = ok.select("_rec", "model", F.posexplode("data").alias("_i", "d")).select(
         F.col("d.input_id").alias("input_id"), F.col("d.index").alias("index"),
         F.col("d.embedding").alias("embedding"), "model",
-        (F.col("_rec") * 100000 + F.col("_i")).alias("pos"))
+        F.struct("_rec", "_i").alias("pos"))
     return {
         "vectors": vectors.withColumn("label", F.lit(label)),
         "errors": raw.where(F.col("error").isNotNull()).select("input_ids", "error"),
@@ -248,4 +248,6 @@ def failure_trace(spark: SparkSession, path: str, pattern: str, log_lines: int =
            .select(F.col("_metadata.file_path").alias("file"), "value")
            .where(F.col("value").rlike(pattern))
            .select("file", F.expr(f"right(value, {txt_chars})").alias("trace")))
-    return tail.unionByName(txt).orderBy("file").limit(files)
+    # Text files come first, then logs, each by name.
+    return (txt.withColumn("_kind", F.lit(0)).unionByName(tail.withColumn("_kind", F.lit(1)))
+            .orderBy("_kind", "file").limit(files).drop("_kind"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -188,15 +188,27 @@ def new_content_stream(messages: DataFrame) -> DataFrame:
 
 
 def ingest_requests(stream: DataFrame, validate, base_sink: str | None = None):
-    """Validated request stream, deduplicated by input_id within a one-hour
-    (processing-time) watermark; `foreachBatch` writes accepted and rejected rows."""
-    v = validate(stream).withColumn("ingest_ts", F.current_timestamp()).withWatermark(
-        "ingest_ts", "1 hour").dropDuplicatesWithinWatermark(["input_id"])
+    """Validated request stream. Every row reaches the sink: rejected rows as they
+    are, accepted ones once per input_id and the repeats of an id as rejects with a
+    reason. `foreachBatch` keeps the ids accepted so far in a table of the sink and
+    writes each micro-batch to a folder of its own, which a replay overwrites."""
+    v = validate(stream)
 
     def write(batch: DataFrame, epoch: int, base: str) -> None:
-        batch = batch.drop("ingest_ts")
-        batch.where("accepted").write.mode("append").parquet(f"{base}/accepted")
-        batch.where("NOT accepted").write.mode("append").parquet(f"{base}/rejected")
+        spark, out = batch.sparkSession, f"{base}/rows/epoch={epoch}"
+        nth = F.row_number().over(Window.partitionBy("input_id").orderBy(*[c for c in ("doc_id", "model") if c in batch.columns]))
+        good = batch.where("accepted").withColumn("_nth", nth)
+        if epoch:
+            before = (spark.read.option("basePath", f"{base}/rows").parquet(f"{base}/rows")
+                      .where((F.col("epoch") < epoch) & F.col("accepted")).select("input_id").distinct()
+                      .withColumn("_known", F.lit(True)))
+            good = good.join(before, "input_id", "left")
+        else:
+            good = good.withColumn("_known", F.lit(None).cast("boolean"))
+        repeat = (F.col("_nth") > 1) | F.coalesce(F.col("_known"), F.lit(False))
+        good = good.withColumn("error", F.when(repeat, "duplicate input_id").otherwise(F.col("error"))).withColumn(
+            "accepted", ~repeat).select(*batch.columns)
+        good.unionByName(batch.where("NOT accepted OR accepted IS NULL")).write.mode("overwrite").parquet(out)
     return v, write
 
 

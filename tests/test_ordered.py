@@ -48,3 +48,12 @@ def test_previous_within_carries_across_partitions(spark):
         for i, v in seq:
             assert got[(k, i)] == prev
             prev = f"s{v}-{i}"
+
+
+def test_null_keys_keep_their_rows(spark):
+    from tessera.functions.ordered import rank_within, running_sum_within
+    rows = [(None, 1, 5), (None, 2, 7), ("a", 1, 3)]
+    df = spark.createDataFrame(rows, "k string, o int, v bigint")
+    assert sorted((r["k"] or "", r["o"], r["_rank"]) for r in rank_within(df, ["k"], ["o"]).collect()) == [
+        ("", 1, 0), ("", 2, 1), ("a", 1, 0)]
+    assert running_sum_within(df, ["k"], ["o"], "v", "s").count() == 3

@@ -73,3 +73,18 @@ def test_tumbling_rates_stream_equals_batch(spark, sf_small):
     q.awaitTermination()
     got = {tuple(r) for r in spark.table("w4_test").collect()}
     assert got == batch
+
+
+def test_ingest_keeps_every_row(spark, tmp_path):
+    from tessera.streaming.folds import ingest_requests
+    schema = "doc_id bigint, input_id string, model string, accepted boolean, error string"
+    _, write = ingest_requests(spark.createDataFrame([], schema), lambda s: s)
+    first = [(1, "a", "m", True, None), (2, "a", "m", True, None), (3, None, "m", False, "bad"), (4, None, "m", False, "bad")]
+    second = [(5, "a", "m", True, None), (6, "b", "m", True, None)]
+    base = str(tmp_path)
+    for epoch, rows in ((0, first), (1, second), (1, second)):      # the second batch is replayed
+        write(spark.createDataFrame(rows, schema), epoch, base)
+    got = {r["doc_id"]: (r["accepted"], r["error"]) for r in spark.read.parquet(f"{base}/rows").collect()}
+    assert spark.read.parquet(f"{base}/rows").count() == 6
+    assert got == {1: (True, None), 2: (False, "duplicate input_id"), 3: (False, "bad"), 4: (False, "bad"),
+                   5: (False, "duplicate input_id"), 6: (True, None)}
