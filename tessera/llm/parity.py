@@ -20,7 +20,7 @@ them up. Candidates whose short sketches (in the buckets: folded to 64 bits) dif
 than D are dropped, the rest are verified on the texts. After connected components, larger groups whose members
 are not yet one component are searched again across components, in chunks, with the
 short sketches compared inside the task: each component but a group's largest offers
-its nearest pairs, four times as many in each round, until none is left untested. So
+its nearest pairs, eight times as many in each round, until none is left untested. So
 no link between different components is missed and no group is paired out.
 
 Shingles are compared by 64-bit and sets by 128-bit hashes.
@@ -417,7 +417,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
             tested, roots = tested.union(new), components(edges)
         elif not more:
             break
-        limit *= 4
+        limit *= 8
     rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
         "digest", F.coalesce("root", "id").alias("root"))
     return (docs.join(rooted, "digest", "left")
