@@ -111,7 +111,8 @@ def _collected(sample: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(x, pa.list_(pa.float64()))], schema=schema)
 
     got = sample.mapInArrow(rows, "doc_id bigint, x array<double>").toArrow().sort_by("doc_id")
-    return np.array(got.column("x").to_pylist(), float).reshape(got.num_rows, -1)
+    x = np.array(got.column("x").to_pylist(), float)
+    return x.reshape(got.num_rows, -1) if got.num_rows else np.zeros((0, 0))
 
 
 def scorer(documents: DataFrame, labels: DataFrame, folds: int = FOLDS):
