@@ -20,7 +20,7 @@ them up. Candidates whose short sketches (in the buckets: folded to 64 bits) dif
 than D are dropped, the rest are verified on the texts. After connected components, larger groups whose members
 are not yet one component are searched again across components, in chunks, with the
 short sketches compared inside the task: each component but a group's largest offers
-its nearest pairs, eight times as many in each round, until none is left untested. So
+its nearest pairs, 64 times as many in each round, until none is left untested. So
 no link between different components is missed and no group is paired out.
 
 Shingles are compared by 64-bit and sets by 128-bit hashes.
@@ -346,6 +346,20 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def merged(roots: DataFrame, edges: DataFrame, path: str) -> DataFrame:
+    """The components (node, root) after further edges: only the graph of the old roots is searched again."""
+    root = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    links = stored(edges.join(root("u"), "u", "left").join(root("v"), "v", "left")
+                   .select(F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v")).where("u <> v").distinct(), f"{path}links")
+    if links.isEmpty():
+        return roots
+    now = components(links)
+    renamed = (roots.join(now.select(F.col("node").alias("root"), F.col("root").alias("now")), "root", "left")
+               .select("node", F.coalesce("now", "root").alias("root")))
+    # Old roots are no nodes of `roots`, so no node comes twice.
+    return stored(renamed.union(now), f"{path}roots")
+
+
 def across(groups: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, limit: int) -> DataFrame:
     """Pairs (a, b, more) of classes that share a larger group but no component, near by size and short sketch:
     for each component of a group but its largest, the `limit` nearest by the sketches; `more` tells that some
@@ -412,12 +426,13 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
         near = stored(across(groups, classes, roots, percent, limit), f"{folder}/across{limit}")
         more = near.where("more").limit(1).count()
         new = stored(near.select("a", "b").join(tested, ["a", "b"], "left_anti"), f"{folder}/new{limit}")
+        now = roots
         if not new.isEmpty():
-            edges = stored(verified(new, classes, documents, percent, width).union(edges), f"{folder}/edges{limit}")
-            tested, roots = tested.union(new), components(edges)
-        elif not more:
+            tested, now = tested.union(new), merged(roots, verified(new, classes, documents, percent, width), f"{folder}/round{limit}")
+        done, roots = now is roots and not more, now
+        if done:
             break
-        limit *= 8
+        limit *= 64
     rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
         "digest", F.coalesce("root", "id").alias("root"))
     return (docs.join(rooted, "digest", "left")
