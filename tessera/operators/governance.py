@@ -54,8 +54,12 @@ INLINE_MARKER = "【[0-9]+:[0-9]+†[^】]*】"
 HTML_LINK = '<a href="([^"]*)">([^<]*)</a>'
 HEADING = "<h([1-6])[^>]*>(.*?)</h[1-6]>"
 TAG = "<[^>]+>"
-MD_IMAGE = "!\\[[^\\]]*\\]\\((?!data:)[^)]*\\)"
-HTML_IMAGE = "<img[^>]*>"
+MD_IMAGE = "!?\\[[^\\]]*\\]\\((?!data:)[^)]*\\)"
+HTML_IMAGE = "(?i)<img[^>]*>"
+# A paragraph ends at its end tag or at the next block tag: HTML lets pages leave the end tag out.
+PARAGRAPH = "(?i)<p(?:\\s[^>]*)?>"
+PARAGRAPH_TEXT = ("(?is)^(.*?)(?:</?(?:p|div|article|section|main|aside|nav|header|footer|form|table|t[dhr]|ul|ol|li|dl|"
+                  "blockquote|pre|h[1-6]|hr|body|html)(?:[\\s/][^>]*)?>|\\z)")
 
 
 def mask_guid(value: Column, keep: int = 4) -> Column:
@@ -197,12 +201,20 @@ def display_url(url: Column, api_host: str, display_host: str) -> Column:
 
 
 def strip_broken_images(text: Column, keep_http: bool = False) -> Column:
-    """Drop markdown images unless `data:` (or `http` when keep_http), and
+    """Drop markdown images and links unless `data:` (or `http` when keep_http), and
     every HTML <img> tag (the lookahead after `[^>]*` never protects data: images)."""
-    md = "!\\[[^\\]]*\\]\\((?!data:)(?!http)[^)]*\\)" if keep_http else MD_IMAGE
+    md = "!?\\[[^\\]]*\\]\\((?!data:)(?!http)[^)]*\\)" if keep_http else MD_IMAGE
     return F.regexp_replace(F.regexp_replace(text, md, ""), HTML_IMAGE, "")
 
 
+def paragraphs(html: Column) -> Column:
+    """Inner HTML of every paragraph, in page order; an array with one empty text where there is none."""
+    cut = F.split(F.coalesce(html, F.lit("")), PARAGRAPH, -1)
+    rest = F.transform(F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0))),
+                       lambda x: F.regexp_extract(x, PARAGRAPH_TEXT, 1))
+    return F.when(F.size(rest) > 0, rest).otherwise(F.array(F.lit("")))
+
+
 def headings(html: Column) -> Column:
     """C7 helper: heading tags of a page, in order."""
     return F.regexp_extract_all(html, F.lit(HEADING), 0)

@@ -68,6 +68,7 @@ def route_summary(route: DataFrame, label: str, expected_dim: int | None = None,
         F.sort_array(F.collect_set(F.size("embedding"))).alias("dimensions"),
         F.sort_array(F.collect_set("model")).alias("models"),
         F.count_if(~all_finite(F.col("embedding"))).alias("nonfinite"),
+        F.count_if(norm(F.col("embedding")) == 0).alias("zero_magnitude"),
     ).select(F.lit(label).alias("label"), "*").withColumn(
         "dimension_ok", (F.size("dimensions") == 1) & (
             F.lit(True) if expected_dim is None else (F.col("dimensions")[0] == expected_dim)))
@@ -169,16 +170,19 @@ def positional_pairs(left: DataFrame, right: DataFrame, key_cols: list[str]) ->
 
 
 def gate_issues(base_summary: DataFrame, cand_summary: DataFrame, comp: DataFrame,
-                sided: DataFrame, require_identical: bool = False) -> DataFrame:
-    """Issue rows in a fixed order; the comparison passes when there are none."""
+                sided: DataFrame, require_identical: bool = False, errors: DataFrame | None = None) -> DataFrame:
+    """Issue rows in a fixed order (`ord`); the comparison passes when there are none.
+    `errors` holds a row with its route's `label` for every failed record. A route without
+    vectors reports that alone."""
     s = base_summary.unionByName(cand_summary)
     route_issues = s.select(F.col("label"), F.explode(F.array(
         F.when(F.col("vectors") == 0, F.struct(F.lit(1).alias("ord"), F.lit("no vectors").alias(
             "issue"), F.lit(1).cast("long").alias("count"))),
         F.when(F.col("duplicate_ids") > 0, F.struct(F.lit(2).alias("ord"), F.lit("duplicate input_id").alias("issue"), (F.col("duplicate_ids").cast("long").alias("count")))),
-        F.when(~F.col("dimension_ok"), F.struct(F.lit(3).alias("ord"), F.lit("dimension mismatch").alias("issue"), (F.size("dimensions").cast("long").alias("count")))),
+        F.when((F.col("vectors") > 0) & ~F.col("dimension_ok"), F.struct(F.lit(3).alias("ord"), F.lit("dimension mismatch").alias("issue"), (F.size("dimensions").cast("long").alias("count")))),
         F.when(F.size("models") > 1, F.struct(F.lit(4).alias("ord"), F.lit("mixed models").alias("issue"), (F.size("models").cast("long").alias("count")))),
         F.when(F.col("nonfinite") > 0, F.struct(F.lit(5).alias("ord"), F.lit("non-finite values").alias("issue"), (F.col("nonfinite").cast("long").alias("count")))),
+        F.when(F.col("zero_magnitude") > 0, F.struct(F.lit(5).alias("ord"), F.lit("zero-magnitude vectors").alias("issue"), (F.col("zero_magnitude").cast("long").alias("count")))),
     )).alias("i")).where(F.col("i").isNotNull()).select(
         "label", F.col("i.ord").alias("ord"), F.col("i.issue").alias("issue"),
         F.col("i.count").alias("count"))
@@ -202,4 +206,7 @@ def gate_issues(base_summary: DataFrame, cand_summary: DataFrame, comp: DataFram
     )).alias("i")).where(F.col("i").isNotNull()).select(
         F.lit("both").alias("label"), F.col("i.ord").alias("ord"), F.col("i.issue").alias("issue"),
         F.col("i.count").alias("count"))
+    if errors is not None:
+        route_issues = errors.groupBy("label").agg(F.count(F.lit(1)).alias("count")).select(
+            "label", F.lit(0).alias("ord"), F.lit("error records").alias("issue"), "count").unionByName(route_issues)
     return route_issues.unionByName(set_issue).unionByName(comp_rows)

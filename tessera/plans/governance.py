@@ -184,10 +184,11 @@ def c7_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 K7_SQL = f"""
 WITH p AS (
-  SELECT page_id, regexp_extract_all(html, '<p>(.*?)</p>', 1) AS ps,
+  SELECT page_id, CASE WHEN len(cut) > 1 THEN list_transform(cut[2:], lambda x:
+                         regexp_extract(x, {_sql_lit(G.PARAGRAPH_TEXT)}, 1)) ELSE [''] END AS ps,
          regexp_extract_all(html, {_sql_lit(G.HTML_LINK)}, 1) AS u,
          regexp_extract_all(html, {_sql_lit(G.HTML_LINK)}, 2) AS t
-  FROM pages
+  FROM (SELECT *, regexp_split_to_array(coalesce(html, ''), {_sql_lit(G.PARAGRAPH)}) AS cut FROM pages)
 ),
 parts AS (SELECT page_id, i - 1 AS part_no, regexp_replace(ps[i], '<[^>]+>', '', 'g') AS text
           FROM (SELECT page_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM p)),
@@ -214,7 +215,7 @@ def k7_page_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.sources.sinks import summary_documents
     pages = table(spark, sf_dir, "pages")
     parts = pages.select(F.col("page_id").alias("message_id"), F.posexplode(
-        F.regexp_extract_all(F.col("html"), F.lit("<p>(.*?)</p>"), 1)).alias("part_no", "p"))
+        G.paragraphs(F.col("html"))).alias("part_no", "p"))
     links = G.extract_links(F.col("html"))
     refs = pages.select(F.col("page_id").alias("message_id"), links.alias("refs"))
     rows = parts.select("message_id", "part_no", G.strip_tags(F.col("p")).alias("text")).join(

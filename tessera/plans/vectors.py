@@ -128,6 +128,8 @@ SELECT label, CAST(count(*) AS BIGINT) AS vectors,
        list_sort(list(DISTINCT model)) AS models,
        CAST(count(*) FILTER (WHERE NOT list_bool_and(list_transform(embedding,
             lambda x: NOT isnan(x) AND NOT isinf(x)))) AS BIGINT) AS nonfinite,
+       CAST(count(*) FILTER (WHERE list_sum(list_transform(embedding, lambda x: x * x)) = 0)
+            AS BIGINT) AS zero_magnitude,
        count(DISTINCT len(embedding)) = 1 AND min(len(embedding)) = 64 AS dimension_ok
 FROM f GROUP BY label"""
 

@@ -152,20 +152,31 @@ def read_requests(spark: SparkSession, input_dir: str, expected_model: str | Non
 
 def load_route(spark: SparkSession, path: str, label: str) -> dict[str, DataFrame]:
     """Embedding output JSONL → vectors (one row per returned item, with a
-    global position for first-wins), error rows and batch sizes per record."""
-    raw = spark.read.schema(OUTPUT_SCHEMA).json(path).withColumn(
+    global position for first-wins), error rows, batch sizes per record, and rejects
+    (broken lines, and items without an id, with file and reason)."""
+    schema = T.StructType([*OUTPUT_SCHEMA.fields, T.StructField("_broken", T.StringType())])
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path).withColumn(
         "_rec", F.monotonically_increasing_id()).withColumn("_file", F.col("_metadata.file_path"))
     files = raw.select("_file").distinct().count()
     if files != 1:
         raise ValueError(f"{label}: expected exactly one output file, found {files}")
-    ok = raw.where(F.col("error").isNull())
-    vectors = ok.select("_rec", "model", F.posexplode("data").alias("_i", "d")).select(
+    ok = raw.where(F.col("error").isNull() & F.col("_broken").isNull())
+    items = ok.select("_file", "_rec", "model", F.posexplode("data").alias("_i", "d"))
+    no_id = F.coalesce(F.col("d.input_id"), F.lit("")) == ""
+    # Spark refuses a scan of the broken-line column alone, so the filter names another column.
+    broken = F.col("_broken").isNotNull() & (F.coalesce(F.length("model"), F.lit(0)) >= 0)
+    rejects = raw.where(broken).select(
+        F.col("_file").alias("file"), F.lit("invalid_json").alias("reason"), "model", F.col("_broken").alias("record")).unionByName(
+        items.where(no_id).select(F.col("_file").alias("file"), F.lit("missing_input_id").alias("reason"), "model",
+                                  F.to_json("d").alias("record")))
+    vectors = items.where(~no_id).select(
         F.col("d.input_id").alias("input_id"), F.col("d.index").alias("index"),
         F.col("d.embedding").alias("embedding"), "model",
         F.struct("_rec", "_i").alias("pos"))
     return {
         "vectors": vectors.withColumn("label", F.lit(label)),
-        "errors": raw.where(F.col("error").isNotNull()).select("input_ids", "error"),
+        "rejects": rejects.withColumn("label", F.lit(label)),
+        "errors": raw.where(F.col("error").isNotNull() & F.col("_broken").isNull()).select("input_ids", "error"),
         "batch_sizes": ok.select("_rec", F.size("data").alias("batch_size"),
                                  F.col("usage.prompt_tokens").alias("prompt_tokens")),
     }
@@ -189,10 +200,12 @@ def read_runs(spark: SparkSession, run_dirs: list[str]) -> tuple[DataFrame, Data
     return summaries, logs
 
 
-def read_spans(spark: SparkSession, path: str, root_name: str) -> tuple[DataFrame, DataFrame]:
-    """Span log → (root spans, request spans)."""
+def read_spans(spark: SparkSession, path: str, root_name: str,
+               request_name: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Span log → (root spans, request spans: those named `request_name`, by default all others)."""
     spans = spark.read.json(path)
-    return spans.where(F.col("name") == root_name), spans.where(F.col("name") != root_name)
+    name = F.col("name")
+    return spans.where(name == root_name), spans.where(name == request_name if request_name else name != root_name)
 
 
 def read_metric_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -221,8 +234,8 @@ def read_corpus(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame
 
 
 def read_eval_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Evaluation rows JSONL with the declared evaluation schema."""
-    return spark.read.schema("query STRING, ground_truth STRING, response STRING, "
+    """Evaluation rows JSONL with the declared evaluation schema; a broken line fails the job."""
+    return spark.read.option("mode", "FAILFAST").schema("query STRING, ground_truth STRING, response STRING, "
                              "context STRING, latency DOUBLE, response_length INT").json(path)
 
 

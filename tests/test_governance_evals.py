@@ -13,27 +13,27 @@ def one(spark, value, expr):
 
 
 def test_masks(spark):
-    assert one(spark, "01234567-89ab-cdef-0123-456789abcdef", G.mask_guid) == "0123…cdef"
-    assert one(spark, "abc", G.mask_guid) == "…" * 3
+    assert one(spark, "7f3e1a20-5b6c-4d7e-8f90-a1b2c3d4e5f6", G.mask_guid) == "7f3e…e5f6"
+    assert one(spark, "tiny1", G.mask_guid) == "…" * 5
     assert one(spark, "", G.mask_guid) == ""
-    assert one(spark, "10.20.30.40", G.mask_ip) == "10.x.x.x"
-    assert one(spark, "not-an-ip", G.mask_ip) == "not-an-ip"
-    assert one(spark, "client-10-20-30-0-24", G.mask_ip_in_name) == "client-10-x-x-x-24"
-    assert (one(spark, "/subscriptions/01234567-89ab-cdef-0123-456789abcdef/resourceGroups/rg-x/",
-                G.mask_arm_id) == "/subscriptions/0123…cdef/resourceGroups/rg-x/")
-    assert (one(spark, "https://store.example.net/c?sv=2024-08-04&sig=ABCDEF",
-                G.mask_sas_token) == "https://store.example.net/c?sv=2024-08-04&sig=…REDACTED…")
+    assert one(spark, "172.18.4.9", G.mask_ip) == "172.x.x.x"
+    assert one(spark, "host.local", G.mask_ip) == "host.local"
+    assert one(spark, "client-172-18-4-9-28", G.mask_ip_in_name) == "client-172-x-x-x-28"
+    assert (one(spark, "/subscriptions/7f3e1a20-5b6c-4d7e-8f90-a1b2c3d4e5f6/resourceGroups/blue/",
+                G.mask_arm_id) == "/subscriptions/7f3e…e5f6/resourceGroups/blue/")
+    assert (one(spark, "https://files.example.org/box?se=2031&sig=q1w2e3",
+                G.mask_sas_token) == "https://files.example.org/box?se=2031&sig=…REDACTED…")
 
 
 def test_redact_text_order(spark):
-    text = ("sub /subscriptions/01234567-89ab-cdef-0123-456789abcdef/x id "
-            "11111111-2222-3333-4444-555555555555 host client-83-171-168-0-24 ip 10.1.2.3 "
-            "url ?a=1&sig=SECRET")
+    text = ("plan /subscriptions/7f3e1a20-5b6c-4d7e-8f90-a1b2c3d4e5f6/y key "
+            "c0ffee00-1357-4246-9bdf-02468ace1357 from client-172-18-4-9-28 at 192.0.2.77 "
+            "link ?k=9&sig=HUSH")
     df = spark.createDataFrame([(text,)], "t string")
     red, hits = G.redact(F.col("t"))
     r = df.select(red.alias("r"), *[c.alias(n) for n, c in hits.items()]).first()
-    assert r["r"] == ("sub /subscriptions/0123…cdef/x id 1111…5555 host client-83-x-x-x-24 "
-                      "ip 10.x.x.x url ?a=1&sig=…REDACTED…")
+    assert r["r"] == ("plan /subscriptions/7f3e…e5f6/y key c0ff…1357 from client-172-x-x-x-28 "
+                      "at 192.x.x.x link ?k=9&sig=…REDACTED…")
     assert (r["arm_subscription"], r["guid"], r["ipv4_dashed"], r["ipv4"], r["sas_signature"]) == \
         (1, 1, 1, 1, 1)
 
@@ -49,12 +49,18 @@ def test_blocklist(spark):
 
 
 def test_images_and_markers(spark):
-    s = "a ![x](img.png) b ![y](data:image/png;base64,AA) c <img src='data:x'> d"
-    assert one(spark, s, G.strip_broken_images) == "a  b ![y](data:image/png;base64,AA) c  d"
+    s = "a ![x](img.png) b ![y](data:image/png;base64,AA) c <IMG src='data:x'> d [z](gone.html)."
+    assert one(spark, s, G.strip_broken_images) == "a  b ![y](data:image/png;base64,AA) c  d ."
     assert one(spark, "see 【53:6†source】 and 【1:2†doc】", G.inline_markers) == \
         ["【53:6†source】", "【1:2†doc】"]
 
 
+def test_paragraphs_without_end_tags(spark):
+    page = "<div><p>one<p class='x'>two</p>tail<P>three<ul><li>four</li></ul></div>"
+    assert one(spark, page, G.paragraphs) == ["one", "two", "three"]
+    assert one(spark, "<pre>no</pre>", G.paragraphs) == [""] and one(spark, None, G.paragraphs) == [""]
+
+
 def test_eval_rows_from_transcript(spark):
     rows = [(1, 0, "system", "ctx A"), (1, 1, "user", "q1"), (1, 2, "assistant", "r1"),
             (1, 3, "system", "ctx B"), (1, 4, "user", "q2"), (1, 5, "assistant", "")]

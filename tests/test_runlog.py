@@ -18,18 +18,18 @@ def py_percentile(values, p):
 
 
 def test_two_row_run_metrics(spark):
-    rows = [("r", 1, 0.0, 2.0, 80, 1000, 1000, 200), ("r", 2, 2.0, 4.0, 20, 400, 0, 429)]
+    rows = [("r", 1, 0.0, 1.5, 30, 700, 700, 200), ("r", 2, 1.5, 3.0, 50, 300, 0, 429)]
     meas = spark.createDataFrame(rows, "run_id string, sequence long, started_seconds double, "
                                  "completed_seconds double, input_count long, estimated_tokens long, "
                                  "prompt_tokens long, status_code int")
     m = runlog.run_metrics(meas, max_inputs=100, max_tokens=1200).collect()[0].asDict()
-    assert m["attempted_rpm"] == 30 and m["successful_rpm"] == 15
-    assert m["accepted_tpm"] == 15000
+    assert m["attempted_rpm"] == 40 and m["successful_rpm"] == 20
+    assert m["accepted_tpm"] == 14000
     assert m["success_rate"] == 0.5 and m["throttle_rate"] == 0.5
-    assert m["logical_inputs_per_minute"] == 1200
-    assert m["token_ceiling_fill_ratio"] == pytest.approx(1000 / 1200)
-    assert m["item_ceiling_fill_ratio"] == 0.5
-    assert m["request_latency_p95_ms"] == 2000
+    assert m["logical_inputs_per_minute"] == 600
+    assert m["token_ceiling_fill_ratio"] == pytest.approx(700 / 1200)
+    assert m["item_ceiling_fill_ratio"] == pytest.approx(0.4)
+    assert m["request_latency_p95_ms"] == 1500
 
 
 def test_empty_run_gets_zero_row(spark):
@@ -58,6 +58,7 @@ CASES = [
     (429, "", "0", "10", "rpm-likely"),
     (429, "", "5", "0", "tpm-likely"),
     (429, "", None, None, "unknown"),
+    (429, "", "0", "0", "unknown"),
 ]
 
 

@@ -63,6 +63,12 @@ def test_load_route_and_one_file_rule(spark, tmp_path):
     got = files.load_route(spark, str(tmp_path / "r1"), "base")
     assert got["vectors"].count() == 2 and got["errors"].count() == 1
     assert [r["batch_size"] for r in got["batch_sizes"].collect()] == [2]
+    assert got["rejects"].count() == 0
+    write(tmp_path / "r2" / "out.jsonl", [json.dumps(recs[0]), '{"model": "m", "data": [{"input_id"',
+                                          '{"model": "m", "data": [{"index": 0, "embedding": [1.0]}]}'])
+    bad = files.load_route(spark, str(tmp_path / "r2"), "base")
+    assert bad["vectors"].count() == 2 and bad["errors"].count() == 0
+    assert sorted(r["reason"] for r in bad["rejects"].collect()) == ["invalid_json", "missing_input_id"]
     write(tmp_path / "r1" / "other.jsonl", [json.dumps(recs[0])])
     with pytest.raises(ValueError):
         files.load_route(spark, str(tmp_path / "r1"), "base")

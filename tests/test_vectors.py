@@ -56,6 +56,18 @@ def test_duplicates_and_nan(spark):
     assert got.get("non-finite values") == 1
 
 
+def test_zero_vectors_and_error_records_are_issues(spark):
+    zero = [("a", [0.0] * 4)]
+    assert issues(spark, zero, zero) == {"zero-magnitude vectors": 1}
+    b = route(spark, zero)
+    empty = b.where("false")
+    failed = spark.createDataFrame([("b",), ("b",)], "label string")
+    comp = V.comparison(V.compare_pairs(empty, empty))
+    rows = V.gate_issues(V.route_summary(empty, "b", 4), V.route_summary(empty, "c", 4), comp, V.one_sided(empty, empty), errors=failed)
+    assert {(r["label"], r["issue"], r["count"]) for r in rows.collect()} == {
+        ("b", "error records", 2), ("b", "no vectors", 1), ("c", "no vectors", 1), ("both", "no shared input_id values", 1)}
+
+
 def test_first_vector_wins(spark):
     r = route(spark, [("a", vec(1)), ("a", vec(9))])
     assert V.first_vectors(r).collect()[0]["embedding"] == vec(1)
