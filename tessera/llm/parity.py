@@ -35,6 +35,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_right
 
 import numpy as np
@@ -43,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import buckets, scratch, stored, words
+from tessera.llm.common import buckets, scratch, stored
 
 SHINGLE = 4
 PERCENT = 85
@@ -52,10 +53,12 @@ SHORT = 512               # bits of a short sketch, at least; twice the size of
 SPARE = 0.25              # further segments, as a share of those that the pigeonhole needs
 PAIRED = 32               # classes in a group whose pairs are all taken
 CHUNK = 2000              # classes compared with as many in one task
-CHARS_PER_BUCKET = 12e6
-BLOCK_KEYS, BLOCK_DOCS = 600_000, 10_000
+CHARS_PER_BUCKET = 6e6
+BLOCK_KEYS, BLOCK_DOCS = 250_000, 5_000
+PIECE = 1 << 18             # bytes of a text split into words at a time
 CACHED = 150_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -74,12 +77,22 @@ class WordHashes(dict):
         return out
 
 
+def word_hashes(text: str | None, hashes: WordHashes) -> np.ndarray:
+    """Hashes of all words in order; a long text is split piece by piece, each ending at white space."""
+    b, at, out = (text or "").encode("utf-8", "surrogatepass").lower(), 0, [np.zeros(0, np.uint64)]
+    while at < len(b):
+        space = SPACE.search(b, at + PIECE)
+        end = space.start() if space else len(b)
+        out.append(np.fromiter(map(hashes.__getitem__, b[at:end].split()), np.uint64))
+        at = end
+    return np.concatenate(out)
+
+
 def shingles(text: str | None, hashes: WordHashes, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of a text."""
-    ws = words(text)
-    if not ws:
+    h = word_hashes(text, hashes)
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws))
     n = max(1, len(h) - width + 1)
     out = np.full(n, min(len(h), width), np.uint64)
     for i in range(min(width, len(h))):

@@ -2,6 +2,10 @@
 
 import random
 
+import numpy as np
+import xxhash
+
+from tessera.llm import parity
 from tessera.llm.parity import deduplicated, jaccard_components
 
 
@@ -59,6 +63,13 @@ def test_components_equal_all_pairs(spark):
         assert result(jaccard_components(docs, percent, width, paired)) == brute(rows, percent, width), seed
 
 
+def test_long_texts_are_split_whole():
+    text = "  ".join(random.Random(5).choice(("Ab", "é\u00a0x", "long" * 9)) for _ in range(60_000)) + "\n"
+    want = [xxhash.xxh3_64_intdigest(w) for w in text.encode().lower().split()]
+    assert len(text) > 3 * parity.PIECE
+    assert np.array_equal(parity.word_hashes(text, parity.WordHashes()), np.array(want, np.uint64))
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, long, "x"), (2, long + " end", "x"), (3, None, None), (4, "", "x"), (None, long, "x"), (5, "a b c d e f", "x"),
