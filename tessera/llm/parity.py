@@ -373,15 +373,22 @@ def merged(roots: DataFrame, edges: DataFrame, path: str) -> DataFrame:
     return stored(renamed.union(now), f"{path}roots")
 
 
-def across(groups: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, limit: int) -> DataFrame:
+def still_open(spread: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (key, class, id) of larger groups whose members are not one component, with root and the group's
+    number of chunks. Components only grow, so a group left out here stays settled."""
+    rooted = (spread.select("key", "class", "id").join(roots, F.col("id") == F.col("node"), "left")
+              .select("key", "class", "id", F.coalesce("root", "id").alias("root")))
+    several = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
+               .where("lo <> hi").select("key", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")))
+    return rooted.join(several, "key")
+
+
+def across(spread: DataFrame, classes: DataFrame, percent: int, limit: int) -> DataFrame:
     """Pairs (a, b, more) of classes that share a larger group but no component, near by size and short sketch:
-    for each component of a group but its largest, the `limit` nearest by the sketches; `more` tells that some
+    for each component of an open group but its largest, the `limit` nearest by the sketches; `more` tells that some
     component has further ones."""
-    spread = (groups.select("key", F.explode("group").alias("class")).join(classes, "class")
-              .join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")))
-    several = (spread.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
-               .where("lo <> hi").select("key", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")))
-    rows = (spread.join(several, "key").withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    rows = (spread.join(classes.select("class", "id", "n", "sketch"), ["class", "id"])
+            .withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
             .withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("key", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "c", "class", "n", "root", "sketch"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
@@ -433,10 +440,12 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     same_id = per.join(several, "doc_id").where("id <> lo").select(F.col("id").alias("u"), F.col("lo").alias("v"))
     edges = stored(verified(pairs, classes, documents, percent, width).union(same_id), f"{folder}/edges")
     roots = components(edges)
-    groups = found.where("a is null").select("key", "group")
+    spread = (found.where("a is null").select("key", F.explode("group").alias("class"))
+              .join(classes.select("class", "id"), "class"))
     tested, limit = pairs, 1
     while True:
-        near = stored(across(groups, classes, roots, percent, limit), f"{folder}/across{limit}")
+        spread = stored(still_open(spread, roots), f"{folder}/open{limit}")
+        near = stored(across(spread, classes, percent, limit), f"{folder}/across{limit}")
         more = near.where("more").limit(1).count()
         new = stored(near.select("a", "b").join(tested, ["a", "b"], "left_anti"), f"{folder}/new{limit}")
         now = roots
