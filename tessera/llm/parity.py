@@ -17,7 +17,8 @@ sets count as one class everywhere.
 Documents that share a key are candidates: all pairs of a small group; of a larger
 one the pairs with its smallest class, which joins groups of copies without pairing
 them up. Candidates whose short sketches (in the buckets: folded to 64 bits) differ by more
-than D are dropped, the rest are verified on the texts. After connected components, larger groups whose members
+than D are dropped, the rest are verified on the texts: first each class with its
+smallest candidate, then the pairs that still lie in different components. After connected components, larger groups whose members
 are not yet one component are searched again across components, in chunks, with the
 short sketches compared inside the task: each component but a group's largest offers
 its nearest pairs, 64 times as many in each round, until none is left untested. So
@@ -433,13 +434,22 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
                      .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
                      .mapInArrow(_named, "digest binary, id bigint, n bigint, sketch binary, class bigint"), f"{folder}/classes")
     found = stored(candidates(table, percent, paired), f"{folder}/candidates")
-    pairs = found.where("a is not null").select("a", "b").distinct()
+    pairs = stored(found.where("a is not null").select("a", "b").distinct(), f"{folder}/pairs")
     # Rows with one id are one document: its classes are linked.
     per = docs.where("n > 0 and doc_id is not null").join(classes.select("digest", "id"), "digest").select("doc_id", "id")
     several = per.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
     same_id = per.join(several, "doc_id").where("id <> lo").select(F.col("id").alias("u"), F.col("lo").alias("v"))
-    edges = stored(verified(pairs, classes, documents, percent, width).union(same_id), f"{folder}/edges")
+    # First each class with its smallest candidate; then only the pairs that this left in different components.
+    first = pairs.groupBy("b").agg(F.min("a").alias("a"))
+    edges = stored(verified(first, classes, documents, percent, width).union(same_id), f"{folder}/edges")
     roots = components(edges)
+    by_class = stored(classes.join(roots, F.col("id") == F.col("node"), "left").select("class", F.coalesce("root", "id").alias("root")),
+                      f"{folder}/by_class")
+    side = lambda x: by_class.select(F.col("class").alias(x), F.col("root").alias(f"root_{x}"))
+    rest = stored(pairs.join(side("a"), "a").join(side("b"), "b").where("root_a <> root_b").select("a", "b")
+                  .join(first.select("a", "b"), ["a", "b"], "left_anti"), f"{folder}/rest")
+    if not rest.isEmpty():
+        roots = merged(roots, verified(rest, classes, documents, percent, width), f"{folder}/rest_")
     spread = (found.where("a is null").select("key", F.explode("group").alias("class"))
               .join(classes.select("class", "id"), "class"))
     tested, limit = pairs, 1
