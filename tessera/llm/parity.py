@@ -177,7 +177,7 @@ class Bands:
             at = np.searchsorted(p, edges[:some + 1])
             count = np.diff(at)
             if len(z):
-                sums = np.bitwise_xor.reduceat(np.append(z, np.uint64(0)), np.minimum(at[:-1], len(z)))
+                sums = np.bitwise_xor.reduceat(np.append(z[:at[-1]], np.uint64(0)), at[:-1])
                 sums = np.where(count > 0, sums, np.uint64(0))
             else:
                 sums = np.zeros(some, np.uint64)

@@ -81,3 +81,20 @@ def test_edge_cases(spark):
     assert [r["doc_id"] for r in kept] == [1, 3, 4, 5, None]
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert jaccard_components(empty).count() == 0
+
+
+def test_linked_sets_of_all_small_sizes_share_a_key():
+    """Every size pair of 10 to 60 shingles, one set within the other or both reaching out, at exactly the most differing shingles."""
+    r = np.random.default_rng(7)
+    for percent in (80, 85):
+        bands = parity.Bands(percent)
+        for a in range(10, 61):
+            for b in range(a, 61):
+                same = next((k for k in range(1, a + 1) if 100 * k >= percent * (a + b - k)), None)
+                if same is None:
+                    continue
+                for _ in range(4):
+                    s = r.integers(0, 1 << 64, a + b - same, dtype=np.uint64)
+                    x, y = s[:a], s[a - same:]
+                    keys = [bands.keys(parity.positions(np.unique(z)), len(z)) for z in (x, y)]
+                    assert len(y) == b and np.intersect1d(*keys).size, (percent, a, b)
