@@ -9,7 +9,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html, mixing, warc
+from tessera.llm import decontaminate, html, katz, mixing, warc
 from tessera.llm.katz import katz_scores
 from tessera.llm.urls import judge
 
@@ -84,3 +84,43 @@ def test_mixing_targets(spark):
     got = mixing.mixed_documents(docs).groupBy("target").agg(F.sum("taken").alias("t"), F.max(F.col("taken") / F.col("size")).alias("m")).collect()
     assert len(got) >= 2 and all(r["m"] <= 2 for r in got)
     assert abs(sum(r["t"] for r in got) / 6300 - 1) < 0.02
+
+
+def test_katz_counts_bigrams_of_every_word(spark, monkeypatch):
+    """Against the definition; with few hot words nearly all go through the buckets."""
+    r = random.Random(4)
+    some = [f"w{i}" for i in range(60)] + ["x" * 90]
+    rows = [(i, " ".join(some[int(61 * r.random() ** 2)] for _ in range(r.randint(0, 40)))) for i in range(150)] + [(900, None), (None, "w1 new w2")]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
+    toks = {i: (t or "").split() + [None] for i, t in rows}
+    c1, c2 = Counter(), Counter()
+    for i, ws in toks.items():
+        if not held(i):
+            c1.update(ws)
+            c2.update(zip(["<s>"] + ws, ws))
+    ends, n = c1.pop(None), sum(c1.values()) + sum(not held(i) for i in toks)
+    d1, d2 = (katz.good_turing([0] + [sum(x == k for x in c.values()) for k in range(1, 7)]) for c in (c1, c2))
+    d = lambda c, t: c * (t[c] if c <= 5 else 1.0)
+    p = {w: d(c, d1) / (n + 1) for w, c in c1.items()} | {None: ends / (n + 1)}
+    unknown = 1 - sum(p.values())
+
+    def prob(h, w):
+        after = {b: c for (a, b), c in c2.items() if a == h}
+        if not after:
+            return p.get(w, unknown)
+        seen = sum(after.values())
+        s = sum(d(c, d2) for c in after.values()) / seen
+        norm = seen / (seen + 1) if s >= 1 - 1e-12 else 1.0
+        if w in after:
+            return d(after[w], d2) * norm / seen
+        return (1 - s * norm) / (1 - sum(p[x] for x in after)) * p.get(w, unknown)
+
+    want = {i: sum(math.log10(prob(h, w)) for h, w in zip(["<s>"] + ws, ws)) for i, ws in toks.items()}
+    assert abs(sum(prob("w3", w) for w in [*p, "new"]) - 1) < 1e-9
+    for hot in (8, 1 << 17):
+        monkeypatch.setattr(katz, "HOT_WORDS", hot)
+        got = katz_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert len(got) == len(rows)
+        for g in got:
+            assert abs(g["score"] - want[g["doc_id"]]) < 1e-6, (hot, g)
+            assert g["n_known"] == sum(w is None or w in c1 for w in toks[g["doc_id"]])
