@@ -124,3 +124,19 @@ def test_katz_counts_bigrams_of_every_word(spark, monkeypatch):
         for g in got:
             assert abs(g["score"] - want[g["doc_id"]]) < 1e-6, (hot, g)
             assert g["n_known"] == sum(w is None or w in c1 for w in toks[g["doc_id"]])
+
+
+def test_url_rules_are_mined_from_all_parts_and_counts(spark):
+    """Deep, digit-bearing and query signals, each on 10 of 3,000 labelled URLs; the last pages are not labelled."""
+    plain = [f"https://h{i}.com/x{i % 50}/{i}" + (f"?page={i % 7}" if i % 2 else "") for i in range(2960)]
+    bad = [f"https://b{i}.com/a/b/c/d/casino/{i}" for i in range(10)]
+    bad += [f"https://c{i}.com/casino777/{i}" for i in range(10)]
+    bad += [f"https://d{i}.com/x1/{i}?page=1&ref=spam" for i in range(10)]
+    bad += [f"https://n{i}.a.b.c.d.e.f.g.deep{i % 2}.com/x1/{i}" for i in range(10)]
+    new = ["https://z.com/q/w/e/r/casino/", "https://z.com/casino777", "https://z.com/y?ref=spam#f", "https://n.a.z.com/x1/9", "https://z.com/x1/5?page=1"]
+    pages = spark.createDataFrame(list(enumerate(plain + bad + new)), "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, "allow" if i < 2960 else "block") for i in range(3000)], "page_id bigint, verdict string")
+    got = {r["page_id"]: r for r in judge(pages, labels, rules=()).collect()}
+    assert len(got) == 3005 and [got[i]["verdict"] for i in range(3000, 3005)] == ["block"] * 4 + ["allow"]
+    assert all(got[i]["verdict"] == ("allow" if i < 2960 else "block") for i in range(3000))
+    assert "p:casino" in got[3000]["mined_rule"].split()
