@@ -274,11 +274,12 @@ FROM chunk_tokens WHERE length(text) > 0 AND tokens <= {MAX_TOKENS}"""
 
 @register("e6_completeness", E6_SQL)
 def e6_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every packed input returned exactly once, nothing extra (anti-joins both ways)."""
+    """Every accepted input returned exactly once, nothing extra (anti-joins both ways);
+    chunks over the token ceiling, which are not packed, count as missing."""
     from tessera.operators import correlate
-    items, resp = embedded_chunks(spark, sf_dir)
+    _, resp = embedded_chunks(spark, sf_dir)
     outs = correlate.correlate(resp)
-    return correlate.completeness(items, outs)
+    return correlate.completeness(validated_chunks(spark, sf_dir).where("accepted"), outs)
 
 
 def array_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

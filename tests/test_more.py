@@ -94,3 +94,12 @@ def test_first_request_over_ceiling(spark):
     got = prepare.first_over_ceiling(df, ["pos"], 255).collect()
     assert [(r["pos"], r["running_inputs"]) for r in got] == [(25, 260)]
     assert prepare.first_over_ceiling(df, ["pos"], 5000).count() == 0
+
+
+def test_completeness_counts_chunks_over_the_token_ceiling(spark, tmp_path):
+    from tessera.plans.requests import MAX_TOKENS, e6_completeness
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    rows = [(1, "one two three", "en", "a"), (2, "x" * (4 * MAX_TOKENS + 1), "en", "a"), (3, "four", "de", "b")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert tuple(e6_completeness(spark, str(tmp_path)).first()) == (3, 2, 1, 0, 0)
