@@ -10,6 +10,7 @@ from tessera.llm.decontaminate import leaks
 from tessera.llm.forest import nearest
 from tessera.llm.html import main_text
 from tessera.llm.katz import katz_scores
+from tessera.llm.manifest import manifest
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.parity import jaccard_components
 from tessera.llm.quality import quality_scores
@@ -80,3 +81,9 @@ def op6_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(read(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
