@@ -13,6 +13,7 @@ from tessera.llm.katz import katz_scores
 from tessera.llm.manifest import manifest
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.parity import jaccard_components
+from tessera.llm.pieces import encoded
 from tessera.llm.quality import quality_scores
 from tessera.llm.toxicity import toxicity_scores
 from tessera.llm.urls import judge
@@ -83,6 +84,14 @@ def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
 
 
+@query
+def op12_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return encoded(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(read(spark, sf_dir, "documents")).select(
