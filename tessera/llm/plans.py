@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.ordered import join_small
 from tessera.llm.common import read
 from tessera.llm.decontaminate import leaks
 from tessera.llm.forest import nearest
@@ -15,6 +16,7 @@ from tessera.llm.mixing import mixed_documents
 from tessera.llm.parity import jaccard_components
 from tessera.llm.pieces import encoded
 from tessera.llm.quality import quality_scores
+from tessera.llm.repair import digests, repair
 from tessera.llm.toxicity import toxicity_scores
 from tessera.llm.urls import judge
 from tessera.llm.warc import archived
@@ -96,3 +98,10 @@ def op12_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(read(spark, sf_dir, "documents")).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, pieces = repair(read(spark, sf_dir, "conversations"))
+    return join_small(report, digests(pieces), ["conv_id"]).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
