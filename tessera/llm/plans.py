@@ -13,6 +13,7 @@ from tessera.llm.html import main_text
 from tessera.llm.katz import katz_scores
 from tessera.llm.manifest import manifest
 from tessera.llm.mixing import mixed_documents
+from tessera.llm.oracles import ORACLES  # noqa: F401 - read by the driver contract
 from tessera.llm.parity import jaccard_components
 from tessera.llm.pieces import encoded
 from tessera.llm.quality import quality_scores
@@ -22,7 +23,6 @@ from tessera.llm.urls import judge
 from tessera.llm.warc import archived
 
 QUERIES = {}
-ORACLES = {}
 
 
 def query(fn):
