@@ -24,15 +24,15 @@ are kept; an empty table gives no rows; other columns of the input are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: Stretches remembered by a worker, the longest of them, and remembered pair tests.
-REMEMBERED, LONGEST, PAIRS = 1 << 18, 128, 1 << 18
+REMEMBERED, LONGEST, PAIRS = 1 << 19, 64, 1 << 20
 #: Bytes of text that are encoded before their rows are handed on.
 BATCH_BYTES = 4 << 20
 
@@ -99,24 +99,36 @@ class Tables:
 
 
 class Encoder:
-    """Ids of texts as packed 32-bit integers."""
+    """Ids of texts as packed 32-bit integers. Tokens are numbered: those of the vocabulary, then characters outside it."""
 
     def __init__(self, tables: Tables):
         import ahocorasick
         from sentencepiece import SentencePieceProcessor
 
         self.tables, self.library = tables, SentencePieceProcessor(model_proto=tables.model)
+        self.names = [p for p in tables.ids if len(p) == 1 or p in tables.splits]
+        self.numbers = {p: i for i, p in enumerate(self.names)}
+        self.sizes = array("i", map(len, self.names))
+        self.packs = [array("i", [tables.ids[p]]).tobytes() for p in self.names]
         self.automaton = ahocorasick.Automaton()
-        for p in tables.ids:
-            if len(p) == 1 or p in tables.splits:
-                self.automaton.add_word(p, p)
-        if len(self.automaton):
+        for p, i in self.numbers.items():
+            self.automaton.add_word(p, i)
+        if self.names:
             self.automaton.make_automaton()
         self.stretches = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.compatible = lru_cache(PAIRS)(self._compatible)
+        self.pairs: dict[int, bool] = {}
         self.known = _Known(self)
 
-    def _compatible(self, a: str, b: str) -> bool:
+    def number(self, char: str) -> int:
+        """The number of a single character; outside the vocabulary it stands for its byte tokens."""
+        if char not in self.numbers:
+            self.numbers[char] = len(self.names)
+            self.names.append(char)
+            self.sizes.append(1)
+            self.packs.append(array("i", [self.tables.bytes[b] for b in char.encode()]).tobytes())
+        return self.numbers[char]
+
+    def compatible(self, a: str, b: str) -> bool:
         """Whether merging the characters of two tokens on their own leaves exactly these two."""
         ranks, splits = self.tables.ranks, self.tables.splits
         if a in self.tables.irregular or b in self.tables.irregular:
@@ -133,37 +145,43 @@ class Encoder:
             else:
                 return True
 
-    def tokens(self, text: str) -> list[str]:
-        """Tokens of a normalised stretch by its prefix table."""
-        n, fits = len(text), self.compatible
-        last: list[str | None] = [None] * (n + 1)
-        filled = 0                               # prefixes up to this length have their last token
-        for end, token in self.automaton.iter(text) if len(self.automaton) else ():
-            end += 1
-            while filled < end - 1:              # no token fitted there: a character outside the vocabulary
-                filled += 1
-                last[filled] = last[filled] or text[filled - 1]
-            if last[end] is None:
-                start = end - len(token)
-                if not start or fits(last[start], token):
-                    last[end] = token
-        out, at = [], n
-        while at:
-            token = last[at] or text[at - 1]
-            out.append(token)
-            at -= len(token)
-        return out[::-1]
+    def remember(self, a: int, b: int, key: int) -> bool:
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        self.pairs[key] = fits = self.compatible(self.names[a], self.names[b])
+        return fits
+
+    def tokens(self, text: str) -> list[int]:
+        """Numbers of the tokens of a normalised stretch, by its prefix table."""
+        sizes, known = self.sizes, self.pairs.get
+        last: list[int] = [0] * len(text)        # the last token of the prefix that ends at a place
+        place = 0                                # the next place to settle; the automaton lists matches by their end
+        for end, token in self.automaton.iter(text) if self.numbers else ():
+            if end < place:
+                continue
+            while place < end:                   # no token ends there: a character outside the vocabulary
+                last[place] = self.number(text[place])
+                place += 1
+            start = end - sizes[token]
+            if start >= 0:
+                before = last[start]
+                key = before << 32 | token
+                fits = known(key)
+                if not (self.remember(before, token, key) if fits is None else fits):
+                    continue
+            last[end] = token
+            place = end + 1
+        for place in range(place, len(text)):
+            last[place] = self.number(text[place])
+        out, at = [], len(text) - 1
+        while at >= 0:
+            out.append(last[at])
+            at -= sizes[last[at]]
+        out.reverse()
+        return out
 
     def packed(self, stretch: str) -> bytes:
-        import numpy as np
-        ids, spare = self.tables.ids, self.tables.bytes
-        out = []
-        for t in self.tokens(stretch):
-            if t in ids:
-                out.append(ids[t])
-            else:
-                out.extend(spare[b] for b in t.encode())
-        return np.array(out, np.int32).tobytes()
+        return b"".join([self.packs[t] for t in self.tokens(stretch)])
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a whole text."""
