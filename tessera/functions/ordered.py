@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.session import ensure_checkpoint_dir
 
@@ -108,65 +110,155 @@ def rank_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str
         "_offset", "_mid0")
 
 
-def exact_percentiles(df: DataFrame, key_cols: Sequence[str], value_col: str,
-                      percents: Mapping[str, float], partitions: int | None = None) -> DataFrame:
-    """Exact linearly interpolated percentiles per key, at position (n-1)*p/100.
+BUCKETS = 1024              # buckets an open value range is cut into
+GATHERED = 4096             # values of a range that are gathered and sorted in one cell
+
+
+def _open_rows(long: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values that lie in one of the open ranges of their key and measure (ranges of one key
+    and measure are equal or disjoint, so no value comes twice)."""
+    side = ranges.select(*[F.col(c).alias(f"_r_{c}") for c in (*keys, "_m")], "_lo", "_hi").distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
+    same += [F.col("_m") == F.col("_r__m"), F.col("_v").between(F.col("_lo"), F.col("_hi"))]
+    return long.join(side, same).select(*keys, "_m", "_lo", "_hi", "_v")
+
+
+def _magnitude(c: str) -> Column:
+    """Sign and power of two of a number, in its order."""
+    v = F.col(c)
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * (F.floor(F.log2(F.abs(v))) + 1100)).cast("long")
+
+
+def exact_quantiles(df: DataFrame, key_cols: Sequence[str],
+                    measures: Mapping[str, tuple[str | Column, Mapping[str, float]]]) -> DataFrame:
+    """Exact linearly interpolated percentiles of several columns per key, at (n-1)*p/100.
 
-    Equal to sorting each key's values and interpolating between the two
-    neighbours, but the sort is a distributed range sort: only the (at most
-    two per percentile) rows at the needed ranks reach the final aggregate.
-    Null values are ignored; keys with no values are absent from the result.
+    Selection by counting, without a sort: the value range of every wanted rank is cut into
+    buckets, the rows of each are counted, and the bucket that holds the rank is the next
+    range, bounded by its own least and greatest value. After two or three passes (at
+    most some fourteen, for any values) a range holds few values or one. All measures and percentiles share the passes; rows never
+    move, only counts do. `measures`: name -> (column, {output column: percent}). Null and
+    non-finite values are ignored; keys without a value are absent.
     """
     keys = list(key_cols)
-    base = df.select(*keys, F.col(value_col).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull())
-    ranked = rank_within(base, keys, ["_v"], partitions)
-    pos = {}
-    for name, p in percents.items():
-        if p < 0 or p > 100:
+    items = list(measures.values())
+    for _, percents in items:
+        if any(p < 0 or p > 100 for p in percents.values()):
             raise ValueError("percent must be between 0 and 100")
-        position = (F.col(COUNT) - 1) * F.lit(p) / F.lit(100)
-        lo = F.floor(position)
-        hi = F.least(lo + 1, F.col(COUNT) - 1)
-        pos[name] = (position, lo, hi)
-    wanted = None
-    for _, lo, hi in pos.values():
-        cond = (F.col(RANK) == lo) | (F.col(RANK) == hi)
-        wanted = cond if wanted is None else (wanted | cond)
-    picked = ranked.where(wanted)
+    value = [(F.col(c) if isinstance(c, str) else c).cast("double") for c, _ in items]
+    if len(items) == 1:
+        long = df.select(*keys, F.lit(0).alias("_m"), value[0].alias("_v"))
+    else:
+        long = df.select(*keys, F.explode(F.array(*[
+            F.struct(F.lit(i).alias("_m"), v.alias("_v")) for i, v in enumerate(value)])).alias("_s")).select(*keys, "_s.*")
+    long = long.where(F.col("_v").between(-1.7976931348623157e308, 1.7976931348623157e308))
+
+    def at(percent: float) -> Column:
+        return (F.col("_total") - 1) * F.lit(float(percent)) / F.lit(100)
+
+    ranks = None
+    for i, (_, percents) in enumerate(items):
+        lows = [F.floor(at(p)) for p in percents.values()]
+        own = F.array(*lows, *[F.least(r + 1, F.col("_total") - 1) for r in lows])
+        ranks = F.when(F.col("_m") == i, own) if ranks is None else ranks.when(F.col("_m") == i, own)
+    ensure_checkpoint_dir(df.sparkSession)
+    targets = (long.groupBy(*keys, "_m").agg(F.count(F.lit(1)).alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+               .withColumn("_r", F.explode(F.array_distinct(ranks)))
+               .select(*keys, "_m", "_total", "_r", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.col("_total").alias("_size"))
+               .checkpoint())
+    by_magnitude = False
+    while True:
+        open_ = targets.where(F.col("_lo") < F.col("_hi"))
+        largest = open_.agg(F.max("_size")).head()[0]
+        if largest is None:
+            found = targets.withColumn("_value", F.col("_lo"))
+            break
+        rows = _open_rows(long, open_, keys)
+        bounds = [*keys, "_m", "_lo", "_hi"]
+        if largest <= GATHERED:
+            cells = rows.groupBy(*bounds).agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+            picked = join_small(open_, cells, bounds).withColumn("_value", F.get("_vs", F.col("_r") - F.col("_below"))).drop("_vs")
+            found = targets.where(F.col("_lo") >= F.col("_hi")).withColumn("_value", F.col("_lo")).unionByName(picked)
+            break
+        share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
+        if by_magnitude:        # every other pass: powers of two, so that widely spread values part as well
+            bucket = F.when(_magnitude("_lo") != _magnitude("_hi"), _magnitude("_v")).otherwise(bucket)
+        by_magnitude = not by_magnitude
+        counts = (rows.withColumn("_b", bucket)
+                  .groupBy(*bounds, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")))
+        before = F.sum("_c").over(Window.partitionBy(*bounds).orderBy("_b")) - F.col("_c")    # at most some 4,000 rows a range
+        inside = F.col("_r") - F.col("_below") - F.col("_before")
+        narrowed = (join_small(open_, counts.withColumn("_before", before), bounds)
+                    .where((inside >= 0) & (inside < F.col("_c")))
+                    .select(*keys, "_m", "_total", "_r", F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"),
+                            (F.col("_below") + F.col("_before")).alias("_below"), F.col("_c").alias("_size")))
+        targets = targets.where(F.col("_lo") >= F.col("_hi")).unionByName(narrowed).checkpoint()
     aggs = []
-    for name, (position, lo, hi) in pos.items():
-        lo_v = F.max(F.when(F.col(RANK) == lo, F.col("_v")))
-        hi_v = F.max(F.when(F.col(RANK) == hi, F.col("_v")))
-        frac = F.first(position - lo)
-        aggs.append((lo_v + (hi_v - lo_v) * frac).alias(name))
-    return picked.groupBy(*keys).agg(*aggs)
+    for i, (_, percents) in enumerate(items):
+        for name, p in percents.items():
+            low = F.floor(at(p))
+            lo_v = F.max(F.when((F.col("_m") == i) & (F.col("_r") == low), F.col("_value")))
+            hi_v = F.max(F.when((F.col("_m") == i) & (F.col("_r") == F.least(low + 1, F.col("_total") - 1)), F.col("_value")))
+            part = F.max(F.when(F.col("_m") == i, at(p) - low))
+            aggs.append((lo_v + (hi_v - lo_v) * part).alias(name))
+    return found.groupBy(*keys).agg(*aggs)
 
 
-def _local_cumsum(keys: list[str], value_col: str, out_col: str, op: str = "sum"):
+def exact_percentiles(df: DataFrame, key_cols: Sequence[str], value_col: str,
+                      percents: Mapping[str, float]) -> DataFrame:
+    """Exact percentiles of one column (see `exact_quantiles`)."""
+    return exact_quantiles(df, key_cols, {value_col: (value_col, percents)})
+
+
+def _changes(batch, keys: list[str]):
+    """True where a row's key differs from the row before it in the batch (null equals null);
+    compared in Arrow, so integers and nulls stay what they are."""
     import numpy as np
+    import pyarrow.compute as pc
+    new = np.zeros(batch.num_rows, dtype=bool)
+    for k in keys:
+        a, b = batch.column(k)[1:], batch.column(k)[:-1]
+        equal = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        new[1:] |= ~equal.to_numpy(zero_copy_only=False)
+    return new
+
+
+def _key_at(batch, keys: list[str], i: int) -> tuple:
+    return tuple(batch.column(k)[i].as_py() for k in keys)
+
+
+def _with(batch, schema, *arrays):
+    """The batch with further columns, under the output schema."""
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*batch.columns, *arrays], schema)], schema=schema)
+
+
+def _local_cumsum(keys: list[str], value_col: str, schema, op: str = "sum"):
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
     def run(batches):
         last_key, carry = None, 0
-        for pdf in batches:
-            if not len(pdf):
+        for b in batches:
+            if not b.num_rows:
                 continue
-            kf = pdf[keys].astype(object).apply(tuple, axis=1) if len(keys) > 1 else pdf[keys[0]]
-            kv = kf.to_numpy(dtype=object)
-            new_seg = np.ones(len(pdf), dtype=bool)
-            new_seg[1:] = kv[1:] != kv[:-1]
-            seg = np.cumsum(new_seg)
-            vals = pdf[value_col].fillna(0).astype("int64")
+            new = _changes(b, keys)
+            going_on = last_key is not None and _key_at(b, keys, 0) == last_key
+            seg = np.cumsum(new)
+            vals = pd.Series(pc.fill_null(b.column(value_col).cast(pa.int64()), 0).to_numpy(zero_copy_only=False))
             if op == "sum":
                 cs = vals.groupby(seg).cumsum().to_numpy()
-                if kv[0] == last_key:
-                    cs[seg == 1] += carry
+                if going_on:
+                    cs[seg == 0] += carry
             else:
                 cs = vals.groupby(seg).cummax().to_numpy()
-                if kv[0] == last_key:
-                    cs[seg == 1] = np.maximum(cs[seg == 1], carry)
-            last_key, carry = kv[-1], int(cs[-1])
-            yield pdf.assign(**{out_col: cs})
+                if going_on:
+                    cs[seg == 0] = np.maximum(cs[seg == 0], carry)
+            last_key, carry = _key_at(b, keys, b.num_rows - 1), int(cs[-1])
+            yield _with(b, schema, pa.array(cs, pa.int64()))
     return run
 
 
@@ -177,7 +269,6 @@ def running_sum_within(df: DataFrame, key_cols: Sequence[str], order_cols: Seque
     Partition-local sums run in one streaming pass over the range-sorted
     partitions; the per-(partition, key) totals are combined into offsets.
     """
-    from pyspark.sql import types as T
     keys = list(key_cols)
     x = range_sorted(df, keys, order_cols, partitions)
     per_part = x.groupBy(PART, *keys).agg(F.sum(value_col).cast("long").alias("_s_local"))
@@ -186,7 +277,7 @@ def running_sum_within(df: DataFrame, key_cols: Sequence[str], order_cols: Seque
         F.sum("_s_local").over(Window.partitionBy(*keys).orderBy(PART)) - F.col("_s_local"),
     ).drop("_s_local")
     schema = T.StructType(x.schema.fields + [T.StructField(out_col, T.LongType())])
-    local = x.mapInPandas(_local_cumsum(keys, value_col, out_col), schema)
+    local = x.mapInArrow(_local_cumsum(keys, value_col, to_arrow_schema(schema)), schema)
     out = join_small(local, per_part, [PART, *keys])
     return out.withColumn(out_col, F.col(out_col) + F.col("_offset")).drop("_offset", PART, MID)
 
@@ -194,7 +285,6 @@ def running_sum_within(df: DataFrame, key_cols: Sequence[str], order_cols: Seque
 def running_max_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str | Column],
                        value_col: str, out_col: str, partitions: int | None = None) -> DataFrame:
     """Inclusive running maximum of an integer column in (key, order) order."""
-    from pyspark.sql import types as T
     keys = list(key_cols)
     x = range_sorted(df, keys, order_cols, partitions)
     per_part = x.groupBy(PART, *keys).agg(F.max(value_col).cast("long").alias("_m_local"))
@@ -204,60 +294,132 @@ def running_max_within(df: DataFrame, key_cols: Sequence[str], order_cols: Seque
             Window.unboundedPreceding, -1)),
     ).drop("_m_local")
     schema = T.StructType(x.schema.fields + [T.StructField(out_col, T.LongType())])
-    local = x.mapInPandas(_local_cumsum(keys, value_col, out_col, "max"), schema)
+    local = x.mapInArrow(_local_cumsum(keys, value_col, to_arrow_schema(schema), "max"), schema)
     out = join_small(local, per_part, [PART, *keys])
     return out.withColumn(out_col, F.greatest(F.col(out_col), F.col("_carry"))).drop(
         "_carry", PART, MID)
 
 
+def _window_sums(keys: list[str], width: int, schema):
+    """Per range partition: window sums over its own rows; rows of the first key whose window
+    begins before the partition's first row are marked open."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def closed(held, first: bool):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        t = rows.column("_t").to_numpy()
+        total = np.concatenate([[0], np.cumsum(pc.fill_null(rows.column("_w"), 0).to_numpy())])
+        sums = total[np.searchsorted(t, t, "right")] - total[np.searchsorted(t, t - width, "right")]
+        waits = (t - width < t[0]) if first else np.zeros(len(t), dtype=bool)
+        for b in rows.append_column("_sum", pa.array(sums, pa.int64())).append_column("_open", pa.array(waits)).to_batches():
+            yield _with(b, schema)
+
+    def run(batches):
+        held, key, first = [], None, True
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cuts = [0, *np.flatnonzero(_changes(b, keys)).tolist(), b.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                own = _key_at(b, keys, lo)
+                if held and own != key:
+                    yield from closed(held, first)
+                    held, first = [], False
+                key = own
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield from closed(held, first)
+    return run
+
+
 def rolling_counts(df: DataFrame, key_cols: Sequence[str], time_col: str, width: int,
                    id_col: str, weight_col: str | None = None,
                    partitions: int | None = None) -> DataFrame:
     """For every row: sum of weights (default: count) of rows of the same key whose
     integer time lies in (t - width, t] (RANGE frame, peers included).
 
-    Rows carry no partner lists: the count is a difference of two running sums
-    read at probe points t and t - width, so no pairs are ever formed.
+    Rows are dealt out once by ranges of (key, time), equal times together. A partition sums
+    its own rows; only rows within `width` of a partition's start, if its first key began
+    earlier, meet the tail of that width from the partitions before it, however many it
+    spans. Rows without a time take no part.
     """
     keys = list(key_cols)
     w = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
-    real = df.select(*keys, F.col(time_col).cast("long").alias("_t"), F.lit(0).alias("_probe"),
-                     w.alias("_one"), F.col(id_col).alias("_id"), F.lit(0).alias("_side"))
-    hi = df.select(*keys, F.col(time_col).cast("long").alias("_t"), F.lit(1).alias("_probe"),
-                   F.lit(0).cast("long").alias("_one"), F.col(id_col).alias("_id"),
-                   F.lit(1).alias("_side"))
-    lo = df.select(*keys, (F.col(time_col).cast("long") - F.lit(width)).alias("_t"),
-                   F.lit(1).alias("_probe"), F.lit(0).cast("long").alias("_one"),
-                   F.col(id_col).alias("_id"), F.lit(2).alias("_side"))
-    u = real.unionByName(hi).unionByName(lo)
-    cs = running_sum_within(u, keys, ["_t", "_probe", "_id", "_side"], "_one", "_c", partitions)
-    his = cs.where(F.col("_side") == 1).select(*keys, "_id", F.col("_c").alias("_hi"))
-    los = cs.where(F.col("_side") == 2).select(*keys, "_id", F.col("_c").alias("_lo"))
-    counts = his.join(los, [*keys, "_id"]).select(
-        *keys, F.col("_id").alias(id_col), (F.col("_hi") - F.col("_lo")).alias("window_count"))
-    return counts
-
-
-def _local_prev(keys: list[str], value_col: str):
+    rows = df.where(F.col(time_col).isNotNull()).select(
+        *keys, F.col(id_col).alias("_id"), F.col(time_col).cast("long").alias("_t"), w.alias("_w"))
+    x = range_sorted(rows, keys, ["_t"], partitions)
+    schema = T.StructType([*x.schema.fields, T.StructField("_sum", T.LongType()), T.StructField("_open", T.BooleanType())])
+    local = x.mapInArrow(_window_sums(keys, width, to_arrow_schema(schema)), schema)
+
+    # First key and time of every partition: one row each. Those whose key ends the partition before go on.
+    edge = lambda f: f(F.struct(MID, *keys, "_t"))
+    edges = sorted((r.asDict(True) for r in x.groupBy(PART).agg(edge(F.min).alias("a"), edge(F.max).alias("z")).collect()), key=lambda r: r[PART])
+    going_on = {}
+    for before, here in zip(edges, edges[1:]):
+        key = tuple(here["a"][k] for k in keys)
+        if key == tuple(before["z"][k] for k in keys):
+            going_on.setdefault(key, []).append((here[PART], here["a"]["_t"]))
+    done = local.where(~F.col("_open") | ~F.col(PART).isin([p for v in going_on.values() for p, _ in v]))
+    out = [*keys, F.col("_id").alias(id_col), F.col("_sum").alias("window_count")]
+    if not going_on:
+        return done.select(*out)
+    waiting = local.where(F.col("_open") & F.col(PART).isin([p for v in going_on.values() for p, _ in v]))
+    tail_schema = T.StructType([T.StructField(c, T.LongType()) for c in (PART, "_t", "_w")])
+
+    def tails(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cuts = [0, *np.flatnonzero(_changes(b, keys)).tolist(), b.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                later = going_on.get(_key_at(b, keys, lo))
+                if not later:
+                    continue
+                parts, starts = np.array([p for p, _ in later]), np.array([t for _, t in later])
+                t, own = b.column("_t").to_numpy()[lo:hi], b.column(PART).to_numpy()[lo:hi]
+                weights = pc.fill_null(b.column("_w"), 0).to_numpy()[lo:hi]
+                a, z = np.searchsorted(parts, own, "right"), np.searchsorted(starts, t + width, "left")
+                for i in np.flatnonzero(z > a).tolist():
+                    n = z[i] - a[i]
+                    yield pa.RecordBatch.from_arrays([pa.array(parts[a[i]:z[i]].astype(np.int64)), pa.array(np.full(n, t[i])),
+                                                      pa.array(np.full(n, weights[i]))], names=tail_schema.names)
+
+    def fixed(_, left, right):
+        import numpy as np
+        import pyarrow as pa
+        right = right.sort_by("_t")
+        t = right.column("_t").to_numpy()
+        total = np.concatenate([[0], np.cumsum(right.column("_w").to_numpy())])
+        more = total[-1] - total[np.searchsorted(t, left.column("_t").to_numpy() - width, "right")]
+        at = left.schema.get_field_index("_sum")
+        return left.set_column(at, "_sum", pa.array(left.column("_sum").to_numpy() + more, pa.int64()))
+
+    tail = x.mapInArrow(tails, tail_schema).groupBy(PART, "_t").agg(F.sum("_w").alias("_w"))
+    fixed_rows = waiting.groupBy(PART).cogroup(tail.groupBy(PART)).applyInArrow(fixed, waiting.schema)
+    return done.select(*out).unionByName(fixed_rows.select(*out))
+
+
+def _local_prev(keys: list[str], value_col: str, schema):
     import numpy as np
+    import pyarrow as pa
 
     def run(batches):
-        last_key, last_val, seen = None, None, False
-        for pdf in batches:
-            if not len(pdf):
+        last_key, last_val = None, None
+        for b in batches:
+            if not b.num_rows:
                 continue
-            kf = pdf[keys].astype(object).apply(tuple, axis=1) if len(keys) > 1 else pdf[keys[0]]
-            kv = kf.to_numpy(dtype=object)
-            vals = pdf[value_col].to_numpy(dtype=object)
-            prev = np.empty(len(pdf), dtype=object)
-            prev[1:] = vals[:-1]
-            prev[0] = last_val
-            same = np.ones(len(pdf), dtype=bool)
-            same[1:] = kv[1:] == kv[:-1]
-            same[0] = seen and kv[0] == last_key
-            prev[~same] = None
-            last_key, last_val, seen = kv[-1], vals[-1], True
-            yield pdf.assign(_prev=prev, _first_local=~same)
+            vals = b.column(value_col)
+            new = _changes(b, keys)
+            new[0] = last_key is None or _key_at(b, keys, 0) != last_key
+            before = pa.concat_arrays([pa.array([last_val], vals.type), vals[:-1]])
+            prev = before.take(pa.array(np.arange(len(vals)), mask=new))
+            last_key, last_val = _key_at(b, keys, b.num_rows - 1), vals[-1].as_py()
+            yield _with(b, schema, prev, pa.array(new))
     return run
 
 
@@ -265,13 +427,12 @@ def previous_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence
                     value_col: str, partitions: int | None = None) -> DataFrame:
     """Add `_prev`: the value of the previous row of the same key in order (like
     `lag`), computed per range partition plus a small boundary table."""
-    from pyspark.sql import types as T
     keys = list(key_cols)
     x = range_sorted(df, keys, order_cols, partitions)
     vtype = x.schema[value_col].dataType
     schema = T.StructType(x.schema.fields + [T.StructField("_prev", vtype),
                                              T.StructField("_first_local", T.BooleanType())])
-    local = x.mapInPandas(_local_prev(keys, value_col), schema)
+    local = x.mapInArrow(_local_prev(keys, value_col, to_arrow_schema(schema)), schema)
     # Last value of each (partition, key), shifted to the next partition holding the key.
     lasts = x.groupBy(PART, *keys).agg(
         F.max_by(F.col(value_col), F.col(MID)).alias("_last_v"))
