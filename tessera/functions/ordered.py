@@ -11,9 +11,10 @@ passes see the same partitions even if an executor is lost in between.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -111,7 +112,7 @@ def rank_within(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str
 
 
 BUCKETS = 1024              # buckets an open value range is cut into
-GATHERED = 4096             # values of a range that are gathered and sorted in one cell
+GATHERED = 65_536           # values of a range that are gathered and sorted in one cell
 
 
 def _open_rows(long: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -124,19 +125,19 @@ def _open_rows(long: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def _magnitude(c: str) -> Column:
-    """Sign and power of two of a number, in its order."""
+    """Sign and eighth power of two of a number, in its order."""
     v = F.col(c)
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * (F.floor(F.log2(F.abs(v))) + 1100)).cast("long")
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * (F.floor(F.log2(F.abs(v)) * 8) + 8800)).cast("long")
 
 
 def exact_quantiles(df: DataFrame, key_cols: Sequence[str],
                     measures: Mapping[str, tuple[str | Column, Mapping[str, float]]]) -> DataFrame:
     """Exact linearly interpolated percentiles of several columns per key, at (n-1)*p/100.
 
-    Selection by counting, without a sort: the value range of every wanted rank is cut into
-    buckets, the rows of each are counted, and the bucket that holds the rank is the next
-    range, bounded by its own least and greatest value. After two or three passes (at
-    most some fourteen, for any values) a range holds few values or one. All measures and percentiles share the passes; rows never
+    Selection by counting, without a sort: rows are counted by magnitude, the bucket that
+    holds a wanted rank, bounded by its own least and greatest value, is cut into equal
+    widths and counted again, until its few values can be gathered: two or three passes, at
+    most seven for any values. All measures and percentiles share the passes; rows never
     move, only counts do. `measures`: name -> (column, {output column: percent}). Null and
     non-finite values are ignored; keys without a value are absent.
     """
@@ -161,15 +162,27 @@ def exact_quantiles(df: DataFrame, key_cols: Sequence[str],
         lows = [F.floor(at(p)) for p in percents.values()]
         own = F.array(*lows, *[F.least(r + 1, F.col("_total") - 1) for r in lows])
         ranks = F.when(F.col("_m") == i, own) if ranks is None else ranks.when(F.col("_m") == i, own)
-    ensure_checkpoint_dir(df.sparkSession)
-    targets = (long.groupBy(*keys, "_m").agg(F.count(F.lit(1)).alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-               .withColumn("_r", F.explode(F.array_distinct(ranks)))
-               .select(*keys, "_m", "_total", "_r", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.col("_total").alias("_size"))
-               .checkpoint())
-    by_magnitude = False
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quantiles-{uuid.uuid4().hex}"
+
+    def kept(state: DataFrame, n: int) -> tuple[DataFrame, int | None]:
+        """The ranks and their ranges, a few rows a key, written down between passes; and the largest open range."""
+        seen = Observation()
+        size = F.when(F.col("_lo") < F.col("_hi"), F.col("_size"))
+        state.observe(seen, F.max(size).alias("largest")).write.parquet(f"{folder}/{n}")
+        return df.sparkSession.read.schema(state.schema).parquet(f"{folder}/{n}"), seen.get["largest"]
+
+    count = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")]
+    state = ["_m", "_total", "_r", F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi")]
+    by_bucket = Window.partitionBy(*keys, "_m")             # at most some 34,000 rows a key and column
+    first = (long.groupBy(*keys, "_m", _magnitude("_v").alias("_b")).agg(*count)
+             .withColumn("_total", F.sum("_c").over(by_bucket))
+             .withColumn("_below", F.sum("_c").over(by_bucket.orderBy("_b")) - F.col("_c"))
+             .withColumn("_r", F.explode(F.array_distinct(ranks)))
+             .where((F.col("_r") >= F.col("_below")) & (F.col("_r") < F.col("_below") + F.col("_c"))))
+    targets, largest = kept(first.select(*keys, *state, "_below", F.col("_c").alias("_size")), 0)
+    n = 0
     while True:
         open_ = targets.where(F.col("_lo") < F.col("_hi"))
-        largest = open_.agg(F.max("_size")).head()[0]
         if largest is None:
             found = targets.withColumn("_value", F.col("_lo"))
             break
@@ -181,19 +194,15 @@ def exact_quantiles(df: DataFrame, key_cols: Sequence[str],
             found = targets.where(F.col("_lo") >= F.col("_hi")).withColumn("_value", F.col("_lo")).unionByName(picked)
             break
         share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
-        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
-        if by_magnitude:        # every other pass: powers of two, so that widely spread values part as well
-            bucket = F.when(_magnitude("_lo") != _magnitude("_hi"), _magnitude("_v")).otherwise(bucket)
-        by_magnitude = not by_magnitude
-        counts = (rows.withColumn("_b", bucket)
-                  .groupBy(*bounds, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")))
-        before = F.sum("_c").over(Window.partitionBy(*bounds).orderBy("_b")) - F.col("_c")    # at most some 4,000 rows a range
+        counts = (rows.withColumn("_b", F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)))
+                  .groupBy(*bounds, "_b").agg(*count))
+        before = F.sum("_c").over(Window.partitionBy(*bounds).orderBy("_b")) - F.col("_c")    # at most BUCKETS rows a range
         inside = F.col("_r") - F.col("_below") - F.col("_before")
         narrowed = (join_small(open_, counts.withColumn("_before", before), bounds)
                     .where((inside >= 0) & (inside < F.col("_c")))
-                    .select(*keys, "_m", "_total", "_r", F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"),
-                            (F.col("_below") + F.col("_before")).alias("_below"), F.col("_c").alias("_size")))
-        targets = targets.where(F.col("_lo") >= F.col("_hi")).unionByName(narrowed).checkpoint()
+                    .select(*keys, *state, (F.col("_below") + F.col("_before")).alias("_below"), F.col("_c").alias("_size")))
+        n += 1
+        targets, largest = kept(targets.where(F.col("_lo") >= F.col("_hi")).unionByName(narrowed), n)
     aggs = []
     for i, (_, percents) in enumerate(items):
         for name, p in percents.items():

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.ordered import (exact_percentiles, join_small, previous_within,
+from tessera.functions.ordered import (exact_percentiles, exact_quantiles, join_small, previous_within,
                                        rank_within, rolling_counts)
 
 # HTTP statuses and metric naming.
@@ -272,17 +272,17 @@ def run_analysis(log: DataFrame, key: str = "run_id") -> DataFrame:
     ).withColumn("success_rate", F.round(F.col("successful_requests") / F.col("request_count"), 6))
 
 
-def five_numbers(log: DataFrame, value_col: str, name: str, where: Column | None = None,
+def five_numbers(log: DataFrame, measures: dict[str, tuple[str, Column | None]],
                  key: str = "run_id") -> DataFrame:
-    """A15 helper: min, mean, p50, p95, max of a column (optionally filtered)."""
-    src = log if where is None else log.where(where)
-    src = src.where(F.col(value_col).isNotNull())
-    basic = src.groupBy(key).agg(F.min(value_col).cast("double").alias(f"{name}_min"),
-                                 F.avg(value_col).alias(f"{name}_mean"),
-                                 F.max(value_col).cast("double").alias(f"{name}_max"),
-                                 F.sum(value_col).cast("double").alias(f"{name}_total"))
-    pct = exact_percentiles(src, [key], value_col, {f"{name}_p50": 50, f"{name}_p95": 95})
-    return basic.join(pct, key, "left")
+    """A15 helper: min, mean, p50, p95, max and total of several columns, each over the rows
+    of its own condition (None: all). One aggregate, and one set of percentile passes."""
+    aggs, wanted = [], {}
+    for name, (col, where) in measures.items():
+        v = F.col(col) if where is None else F.when(where, F.col(col))
+        aggs += [F.min(v).cast("double").alias(f"{name}_min"), F.avg(v).alias(f"{name}_mean"),
+                 F.max(v).cast("double").alias(f"{name}_max"), F.sum(v).cast("double").alias(f"{name}_total")]
+        wanted[name] = (v, {f"{name}_p50": 50, f"{name}_p95": 95})
+    return join_small(log.groupBy(key).agg(*aggs), exact_quantiles(log, [key], wanted), [key], "left")
 
 
 def steady_state_rate(log: DataFrame, offset_col: str, key: str = "run_id") -> DataFrame:

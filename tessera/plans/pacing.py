@@ -144,6 +144,28 @@ def q11_window_allowance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.where(F.col("window_count") > allowance).withColumn("allowance", F.lit(allowance))
 
 
+ALLOWANCE_TPM = 40.0
+Q11_TOKENS_SQL = "WITH " + REQUEST_LOG_CTE + f""",
+c AS (
+  SELECT backend_id, sequence,
+         sum(estimated_tokens) OVER (PARTITION BY backend_id ORDER BY start_us
+           RANGE BETWEEN {ALLOWANCE_WINDOW_S * 1_000_000 - 1} PRECEDING AND CURRENT ROW) AS n
+  FROM request_log
+)
+SELECT backend_id, sequence, CAST(n AS BIGINT) AS window_tokens,
+       {ALLOWANCE_TPM} * {ALLOWANCE_WINDOW_S} / 60 AS allowance
+FROM c WHERE n > {ALLOWANCE_TPM} * {ALLOWANCE_WINDOW_S} / 60"""
+
+
+@register("q11_token_allowance", Q11_TOKENS_SQL)
+def q11_token_allowance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at which a backend's rolling-window tokens exceed TPM * w / 60."""
+    allowance = ALLOWANCE_TPM * ALLOWANCE_WINDOW_S / 60
+    c = rolling_counts(log_of(spark, sf_dir), ["backend_id"], "start_us", ALLOWANCE_WINDOW_S * 1_000_000,
+                       "sequence", "estimated_tokens").withColumnRenamed("window_count", "window_tokens")
+    return c.where(F.col("window_tokens") > allowance).withColumn("allowance", F.lit(allowance))
+
+
 Q12_SQL = "WITH " + REQUEST_LOG_CTE + f""",
 r AS (
   SELECT run_id, count(*) AS requests, sum(input_count) AS inputs, sum(prompt_tokens) AS tokens,

@@ -282,10 +282,8 @@ FROM e LEFT JOIN a USING (run_id) LEFT JOIN i USING (run_id)"""
 def _batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = log_of(spark, sf_dir)
     ok = F.col("status_code") == 200
-    e = runlog.five_numbers(log, "estimated_tokens", "estimated")
-    a = runlog.five_numbers(log, "prompt_tokens", "actual", ok)
-    i = runlog.five_numbers(log, "input_count", "inputs", ok)
-    return e.join(a, "run_id", "left").join(i, "run_id", "left")
+    return runlog.five_numbers(log, {"estimated": ("estimated_tokens", None), "actual": ("prompt_tokens", ok),
+                                     "inputs": ("input_count", ok)})
 
 
 @register("a15_batch_stats", A15_SQL)
