@@ -9,13 +9,15 @@ helpers in `tessera.functions.ordered`, so one hot run never lands in one task.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.ordered import (exact_percentiles, exact_quantiles, join_small, previous_within,
-                                       rank_within, rolling_counts)
+                                       rank_within, rolling_counts, running_max_within)
+from tessera.session import ensure_checkpoint_dir
 
 # HTTP statuses and metric naming.
 SUCCESS = 200
@@ -424,23 +426,73 @@ def operating_point(metrics: DataFrame, control, max_throttle: float = 0.01,
     return m.withColumn("chosen", F.coalesce(F.col(key) == F.lit(best), F.lit(False)))
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def span_roots(spans: DataFrame) -> DataFrame:
+    """trace_id, span_id, root_span_id, depth of every span, at any depth.
+
+    Pointer jumping: each round a span takes over the ancestor of its ancestor, so the
+    distance covered doubles and a chain of a million spans takes twenty rounds. A span
+    whose parent is unknown is a root. A round that settles no span leaves only those on or
+    below a cycle of parents: they have no root (null).
+    """
+    folder = f"{ensure_checkpoint_dir(spans.sparkSession).rstrip('/')}/spans-{uuid.uuid4().hex}"
+    ids = spans.select("trace_id", "span_id", "parent_span_id").dropDuplicates(["trace_id", "span_id"])
+    known = ids.select("trace_id", F.col("span_id").alias("parent_span_id"), F.lit(True).alias("_known"))
+    at = ids.join(known, ["trace_id", "parent_span_id"], "left").select(
+        "trace_id", "span_id", F.when(F.col("_known"), F.col("parent_span_id")).alias("_up"),
+        F.when(F.col("_known"), 1).otherwise(0).cast("long").alias("depth"))
+    # _up: an ancestor `depth` steps above; null once the span itself is a root. _top: reached a root.
+    at = _stored(at.withColumn("_root", F.when(F.col("_up").isNull(), F.col("span_id"))), f"{folder}/0")
+    n = left = 0
+    while True:
+        open_ = at.where(F.col("_root").isNull())
+        before, left = left, open_.count()
+        if left in (0, before):
+            break
+        n += 1
+        above = at.select("trace_id", F.col("span_id").alias("_up"), F.col("_up").alias("_next"),
+                          F.col("_root").alias("_found"), F.col("depth").alias("_more"))
+        moved = open_.join(above, ["trace_id", "_up"]).select(
+            "trace_id", "span_id", F.coalesce("_next", "_up").alias("_up"), (F.col("depth") + F.col("_more")).alias("depth"),
+            F.col("_found").alias("_root"))
+        at = _stored(at.where(F.col("_root").isNotNull()).unionByName(moved), f"{folder}/{n}")
+    return at.select("trace_id", "span_id", F.col("_root").alias("root_span_id"),
+                     F.when(F.col("_root").isNotNull(), F.col("depth")).alias("depth"))
+
+
+def span_links(spans: DataFrame) -> DataFrame:
+    """Every span with its duration, its parent's name and duration, its root and depth."""
+    s = spans.select("trace_id", "span_id", "parent_span_id", "name", "start_time_unix_nano", "end_time_unix_nano",
+                     ((F.col("end_time_unix_nano") - F.col("start_time_unix_nano")) / 1e6).alias("duration_ms"))
+    parent = s.select("trace_id", F.col("span_id").alias("parent_span_id"), F.col("name").alias("parent_name"),
+                      F.col("duration_ms").alias("parent_duration_ms")).dropDuplicates(["trace_id", "parent_span_id"])
+    return s.join(parent, ["trace_id", "parent_span_id"], "left").join(span_roots(spans), ["trace_id", "span_id"])
+
+
 def span_tree(spans: DataFrame) -> DataFrame:
-    """Each child span joined to its parent (equi-join on trace and span id)
-    with both durations, and per root span the share of its time covered by its
-    direct children. Spans: trace_id, span_id, parent_span_id, start/end nanos."""
-    s = spans.select("trace_id", "span_id", "parent_span_id", "name",
-                     ((F.col("end_time_unix_nano") - F.col("start_time_unix_nano")) / 1e6).alias(
-                         "duration_ms"))
-    parent = s.select("trace_id", F.col("span_id").alias("parent_span_id"),
-                      F.col("name").alias("parent_name"),
-                      F.col("duration_ms").alias("parent_duration_ms"),
-                      F.col("parent_span_id").alias("_grand"))
-    children = s.where(F.col("parent_span_id").isNotNull()).join(
-        parent, ["trace_id", "parent_span_id"], "left")
-    roots = children.where(F.col("_grand").isNull() & F.col("parent_name").isNotNull()).groupBy(
-        "trace_id", "parent_span_id", "parent_name", "parent_duration_ms").agg(
-        F.count(F.lit(1)).alias("children"), F.sum("duration_ms").alias("child_ms")).withColumn(
-        "coverage", F.when(F.col("parent_duration_ms") > 0,
-                           F.col("child_ms") / F.col("parent_duration_ms")))
-    return roots.withColumnRenamed("parent_span_id", "root_span_id").withColumnRenamed(
-        "parent_name", "root_name").withColumnRenamed("parent_duration_ms", "root_duration_ms")
+    """Per root with descendants, their number, greatest depth, and the share of the root's
+    time that they cover: the length of the union of their intervals, cut to the root's, so
+    overlapping and nested spans count once. The union comes from a running latest end over
+    range-sorted spans, so a root with very many descendants is spread over many tasks.
+    Spans: trace_id, span_id, parent_span_id, name, start/end nanos."""
+    tree = span_links(spans)
+    roots = tree.where(F.col("depth") == 0).select(
+        "trace_id", F.col("span_id").alias("root_span_id"), F.col("name").alias("root_name"),
+        F.col("duration_ms").alias("root_duration_ms"), F.col("start_time_unix_nano").alias("_a"), F.col("end_time_unix_nano").alias("_z")
+    ).dropDuplicates(["trace_id", "root_span_id"])
+    below = tree.where(F.col("depth") > 0).select("trace_id", "root_span_id", "span_id", "depth", "duration_ms",
+                                                  "start_time_unix_nano", "end_time_unix_nano").join(roots, ["trace_id", "root_span_id"])
+    cut = below.withColumn("_s", F.least(F.greatest("start_time_unix_nano", "_a"), F.col("_z"))).withColumn(
+        "_e", F.greatest(F.least("end_time_unix_nano", "_z"), F.col("_s")))
+    keys = ["trace_id", "root_span_id"]
+    ends = running_max_within(cut, keys, ["_s", "_e", "span_id"], "_e", "_latest")
+    before = previous_within(ends, keys, ["_s", "_e", "span_id"], "_latest")
+    new = F.greatest(F.col("_e") - F.greatest(F.col("_s"), F.coalesce("_prev", F.col("_s"))), F.lit(0))
+    return before.groupBy(*keys, "root_name", "root_duration_ms").agg(
+        F.count(F.lit(1)).alias("descendants"), F.max("depth").alias("max_depth"), F.sum("duration_ms").alias("child_ms"),
+        (F.sum(new) / 1e6).alias("covered_ms")).withColumn(
+        "coverage", F.when(F.col("root_duration_ms") > 0, F.col("covered_ms") / F.col("root_duration_ms")))

@@ -9,7 +9,8 @@ from tessera.operators import runlog
 from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import REQUEST_LOG_CTE
-from tessera.sources.tables import measurements, request_log, table
+from tessera.sources.tables import (ROOT_MINUTES, TRACE_SPANS, event_spans, measurements,
+                                    request_log, table)
 
 MAX_INPUTS = 16
 MAX_TOKENS = 4096
@@ -602,3 +603,40 @@ def a8_numeric_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("n").alias("numeric_values"),
         (F.count("v") - F.count("n")).alias("non_numeric_values"),
         F.min("n").alias("minimum"), F.max("n").alias("maximum"))
+
+
+A31_SQL = f"""
+WITH RECURSIVE spans AS (
+  SELECT event_id // {TRACE_SPANS} AS trace_id, event_id AS span_id, event_type AS name,
+         CASE WHEN event_id % {TRACE_SPANS} > 0 THEN event_id // {TRACE_SPANS} * {TRACE_SPANS} +
+           CASE WHEN event_id // {TRACE_SPANS} % 4 = 0 THEN event_id % {TRACE_SPANS} - 1 ELSE (event_id % {TRACE_SPANS} - 1) // 3 END END AS parent,
+         epoch_us(ts) * 1000 AS a,
+         epoch_us(ts) * 1000 + CAST(floor(CASE WHEN event_id % {TRACE_SPANS} = 0 THEN {ROOT_MINUTES} ELSE value END * 60000) AS BIGINT) * 1000000 AS z
+  FROM events),
+up AS (
+  SELECT trace_id, span_id, span_id AS top, 0 AS depth FROM spans
+  UNION ALL
+  SELECT u.trace_id, u.span_id, s.parent, u.depth + 1 FROM up u JOIN spans s ON s.span_id = u.top AND s.trace_id = u.trace_id
+  WHERE s.parent IS NOT NULL AND EXISTS (SELECT 1 FROM spans p WHERE p.span_id = s.parent AND p.trace_id = u.trace_id)),
+rooted AS (SELECT trace_id, span_id, arg_max(top, depth) AS root, max(depth) AS depth FROM up GROUP BY ALL),
+cut AS (
+  SELECT r.trace_id, r.root, r.depth, c.span_id, (c.z - c.a) / 1e6 AS ms, least(greatest(c.a, o.a), o.z) AS s,
+         greatest(least(c.z, o.z), least(greatest(c.a, o.a), o.z)) AS e, o.name, (o.z - o.a) / 1e6 AS root_ms
+  FROM rooted r JOIN spans c USING (trace_id, span_id) JOIN spans o ON o.trace_id = r.trace_id AND o.span_id = r.root
+  WHERE r.depth > 0),
+fresh AS (
+  SELECT *, greatest(e - greatest(s, coalesce(max(e) OVER (PARTITION BY trace_id, root ORDER BY s, e, span_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), s)), 0) AS new FROM cut)
+SELECT trace_id, root AS root_span_id, name AS root_name, root_ms AS root_duration_ms, count(*) AS descendants,
+       CAST(max(depth) AS BIGINT) AS max_depth, round_even(sum(ms), 3) AS child_ms, round_even(sum(new) / 1e6, 3) AS covered_ms,
+       round_even(sum(new) / 1e6 / root_ms, 6) AS coverage
+FROM fresh GROUP BY trace_id, root, name, root_ms"""
+
+
+@register("a31_span_coverage", A31_SQL)
+def a31_span_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of each root span by its descendants (chains of 63, trees of four levels)."""
+    t = runlog.span_tree(event_spans(table(spark, sf_dir, "events")))
+    return t.select("trace_id", "root_span_id", "root_name", "root_duration_ms", "descendants", "max_depth",
+                    F.bround("child_ms", 3).alias("child_ms"), F.bround("covered_ms", 3).alias("covered_ms"),
+                    F.bround("coverage", 6).alias("coverage"))

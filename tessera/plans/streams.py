@@ -12,9 +12,10 @@ from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
 from tessera.plans.runlog import log_of
 from tessera.plans.sqlparts import MODEL_CASE, REQUEST_LOG_CTE
-from tessera.sources.tables import document_requests, request_log, table
-from tessera.streaming import folds, windows
-from tessera.streaming.runner import run_available_now, stream_table
+from tessera.sources.tables import (WORDS_PER_DELTA, document_requests, request_log,
+                                    response_events, table)
+from tessera.streaming import folds, stateful, windows
+from tessera.streaming.runner import run_available_now, staged_stream, stream_table
 
 W1_SQL = f"""
 WITH ev AS (
@@ -147,6 +148,88 @@ def w3_breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+# Trips of the fold above, and for each the first request of its backend after the open period.
+W3_STATES_SQL = W3_SQL[:W3_SQL.rindex("SELECT backend_id, t AS opened_us")] + """,
+trips AS (SELECT backend_id, t AS opened_us, open_until AS closes_us, throttles FROM walk WHERE trip),
+probes AS (
+  SELECT t.backend_id, t.closes_us, min(l.start_us) AS to_us, arg_min(l.status_code, (l.start_us, l.sequence)) AS status
+  FROM trips t JOIN request_log l ON l.backend_id = t.backend_id AND l.start_us >= t.closes_us
+  GROUP BY ALL)
+SELECT backend_id, 'open' AS state, opened_us AS from_us, closes_us AS to_us, CAST(throttles AS BIGINT) AS throttles,
+       CAST(NULL AS INTEGER) AS probe_status FROM trips
+UNION ALL
+SELECT backend_id, 'half-open', closes_us, to_us, 0, CAST(status AS INTEGER) FROM probes"""
+
+
+@register("w3_breaker_states", W3_STATES_SQL)
+def w3_breaker_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming job: open and half-open intervals per backend. The log comes in
+    two parts by time, with every seventh request one part late; the watermark holds rows
+    back until they are in order. A heartbeat per backend ends the stream."""
+    log = request_log(table(spark, sf_dir, "events")).select(
+        "backend_id", "start_us", "sequence", F.col("status_code").cast("int").alias("status_code"), "retry_after")
+    lo, hi = log.agg(F.min("start_us"), F.max("start_us")).head()
+    lo, hi = lo or 0, hi or 0
+    span = (hi - lo) // 2 + 1
+    part = F.floor((F.col("start_us") - lo) / span) + (F.col("sequence") % 7 == 0).cast("int")
+    # Late rows are at most two parts older than the newest row before them.
+    lateness_us = 2 * span
+    end = log.select("backend_id").distinct().select(
+        "backend_id", F.lit(hi + lateness_us + 1_000_000).alias("start_us"), F.lit(-1).cast("long").alias("sequence"),
+        F.lit(None).cast("int").alias("status_code"), F.lit(None).cast("double").alias("retry_after"))
+    stream = staged_stream(spark, [*[log.where(part == i) for i in range(3)], end], "breaker-log")
+    states = stateful.breaker_states(stream, f"{lateness_us // 1_000_000 + 1} seconds", W3_WINDOW_US, W3_OPEN_US)
+    with stateful.with_state_store(spark):
+        base = run_available_now(states, "breaker-states")
+    return spark.read.schema(states.schema).parquet(f"{base}/out")
+
+
+W2_SQL = f"""
+WITH turns AS (
+  SELECT conv_id || ':' || turn AS response_id, text, length(text) AS n, len(string_split(text, ' ')) AS words
+  FROM conversations WHERE role = 'assistant' AND text IS NOT NULL AND length(text) % 13 <> 0)
+SELECT response_id, 'message' AS kind, CAST(NULL AS VARCHAR) AS item_id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS status,
+       text AS body, CAST((words + {WORDS_PER_DELTA - 1}) // {WORDS_PER_DELTA} AS BIGINT) AS parts FROM turns
+UNION ALL
+SELECT response_id, 'tool_call', 'call-' || n, CASE WHEN n % 2 = 0 THEN 'search' ELSE 'lookup' END,
+       CASE WHEN n % 5 <> 0 THEN 'done' ELSE 'pending' END, '{{"size":' || n || '}}', 2 FROM turns WHERE n % 3 = 0
+UNION ALL
+SELECT response_id, 'error', NULL, NULL, 'failed', 'rate limited', 0 FROM turns WHERE n % 11 = 0"""
+
+
+@register("w2_response_fold", W2_SQL)
+def w2_response_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming job: responses folded from events that arrive out of order and
+    partly twice, in two micro-batches or more."""
+    events = response_events(table(spark, sf_dir, "conversations"))
+    part = F.pmod(F.hash("response_id", "seq", "copy"), F.lit(2))
+    stream = staged_stream(spark, [events.where(part == i) for i in range(2)], "response-events")
+    rows = stateful.response_events_stream(stream)
+    with stateful.with_state_store(spark, empty_batches=False):
+        base = run_available_now(rows, "responses")
+    return spark.read.schema(rows.schema).parquet(f"{base}/out")
+
+
+RUN_SLOT_US = 6 * 3600 * 1_000_000
+W6_CLEAN_SQL = W6_SQL[:W6_SQL.rindex("SELECT backend_id")] + f""",
+sessions AS (
+  SELECT backend_id, min(start_us) AS s, max(start_us) + 1800000000 AS e FROM s GROUP BY backend_id, sid),
+runs AS (
+  SELECT backend_id, run_id, start_us // {RUN_SLOT_US} AS slot, min(start_us) AS run_start_us
+  FROM request_log GROUP BY ALL)
+SELECT r.backend_id, r.run_id, slot, run_start_us, x.e IS NULL AS valid, x.e AS clear_at_us
+FROM runs r LEFT JOIN sessions x ON x.backend_id = r.backend_id AND x.s < run_start_us AND run_start_us < x.e"""
+
+
+@register("w6_clean_runs", W6_CLEAN_SQL)
+def w6_clean_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs (one per backend, run and six-hour slot) that began after the last throttle window cleared."""
+    log = log_of(spark, sf_dir)
+    runs = log.groupBy("backend_id", "run_id", F.floor(F.col("start_us") / RUN_SLOT_US).alias("slot")).agg(
+        F.min("start_us").alias("run_start_us"))
+    return windows.clean_runs(runs, windows.throttle_sessions(log, "30 minutes"))
+
+
 W7_SQL = f"""
 SELECT doc_id, 'doc-' || doc_id AS input_id, {MODEL_CASE} AS model, source AS "user",
        true AS accepted, CAST(NULL AS VARCHAR) AS error, 1 AS input_count

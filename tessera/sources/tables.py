@@ -149,3 +149,63 @@ def cohort_base(customer: DataFrame, orders: DataFrame) -> DataFrame:
         F.max("o_totalprice").alias("order_max"),
     )
     return customer.join(agg, customer.c_custkey == agg.o_custkey, "inner").drop("o_custkey")
+
+
+TRACE_SPANS = 64            # events per trace in the span adapter
+ROOT_MINUTES = 240
+
+
+def event_spans(events: DataFrame) -> DataFrame:
+    """Spans from `events`: 64 consecutive events are a trace, its first event the root. In
+    every fourth trace each span is the child of the one before it (a chain), in the others
+    a tree of three children per span. A span lasts `value` minutes, a root four hours, so
+    siblings overlap and some reach beyond their root."""
+    trace, i = F.floor(F.col("event_id") / TRACE_SPANS), F.col("event_id") % TRACE_SPANS
+    parent = trace * TRACE_SPANS + F.when(trace % 4 == 0, i - 1).otherwise(F.floor((i - 1) / 3))
+    start = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") * 1000
+    minutes = F.when(i == 0, F.lit(float(ROOT_MINUTES))).otherwise(F.col("value"))
+    return events.select(
+        trace.alias("trace_id"), F.col("event_id").alias("span_id"), F.when(i > 0, parent).alias("parent_span_id"),
+        F.col("event_type").alias("name"), start.alias("start_time_unix_nano"),
+        (start + F.floor(minutes * 60_000) * 1_000_000).alias("end_time_unix_nano"))
+
+
+WORDS_PER_DELTA = 8
+
+
+def response_events(conversations: DataFrame) -> DataFrame:
+    """Response events from assistant turns (W2): text in deltas of eight words, then an end.
+
+    By the length of the text: a third call a tool first, a fifth of those without its
+    done event; every 11th fails; every 13th loses an event and so never ends. Every fourth
+    event comes twice. Columns: response_id, seq, event_type, item_id, data, copy.
+    """
+    turns = conversations.where((F.col("role") == "assistant") & F.col("text").isNotNull()).select(
+        F.concat_ws(":", "conv_id", "turn").alias("response_id"), F.length("text").cast("long").alias("n"),
+        F.split("text", " ", -1).alias("w"))
+    none = F.lit(None).cast("string")
+
+    def event(kind, item, data):
+        return F.struct(F.lit(kind).alias("event_type"), item.alias("item_id"), data.alias("data"))
+
+    item = F.concat(F.lit("call-"), F.col("n").cast("string"))
+    empty = F.array().cast("array<struct<event_type:string,item_id:string,data:string>>")
+    call = F.array(event("response.tool_call.started", item, F.when(F.col("n") % 2 == 0, "search").otherwise("lookup")),
+                   event("response.tool_call.arguments.delta", item, F.lit('{"size":')),
+                   event("response.tool_call.arguments.delta", item, F.concat(F.col("n").cast("string"), F.lit("}"))))
+    done = F.array(event("response.tool_call.done", item, none))
+    last = F.floor((F.size("w") - 1) / WORDS_PER_DELTA)
+    deltas = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda i: event(
+        "response.output_text.delta", none, F.concat(
+            F.array_join(F.slice("w", (i * WORDS_PER_DELTA + 1).cast("int"), WORDS_PER_DELTA), " "),
+            F.when(i < last, " ").otherwise(""))))
+    failed = F.col("n") % 11 == 0
+    end = F.array(F.struct(F.when(failed, "response.failed").otherwise("response.completed").alias("event_type"),
+                           none.alias("item_id"), F.when(failed, "rate limited").alias("data")))
+    events = F.concat(F.when(F.col("n") % 3 == 0, call).otherwise(empty),
+                      F.when((F.col("n") % 3 == 0) & (F.col("n") % 5 != 0), done).otherwise(empty), deltas, end)
+    rows = turns.select("response_id", "n", F.posexplode(events).alias("seq", "e"))
+    rows = rows.where(~((F.col("n") % 13 == 0) & (F.col("seq") == 1)))
+    twice = F.when((F.col("seq") + F.col("n")) % 4 == 0, 1).otherwise(0)
+    return rows.select("response_id", F.col("seq").cast("long").alias("seq"), "e.*",
+                       F.explode(F.sequence(F.lit(0), twice)).alias("copy"))

@@ -25,6 +25,17 @@ def stream_folder(spark: SparkSession, name: str) -> str:
     return f"{root}/streams/{name}-{uuid.uuid4().hex}"
 
 
+def staged_stream(spark: SparkSession, parts: list[DataFrame], name: str) -> DataFrame:
+    """Write the parts one after the other and read them as a stream that takes about a part's
+    files at a time, in the order in which they were written."""
+    folder = f"{stream_folder(spark, name)}/in"
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+    files = len(spark.read.schema(parts[0].schema).parquet(folder).inputFiles())
+    return (spark.readStream.schema(parts[0].schema)
+            .option("maxFilesPerTrigger", max(1, files // len(parts))).parquet(folder))
+
+
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
                       foreach_batch=None) -> str:
     """Run a streaming DataFrame over all available input, then stop.

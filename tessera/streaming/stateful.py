@@ -28,6 +28,7 @@ from tessera.streaming.folds import (BREAKER_OPEN_US, BREAKER_THRESHOLD, BREAKER
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 OPEN, HALF_OPEN = "open", "half-open"
@@ -38,16 +39,21 @@ INTERVAL = Row(*[c.split()[0] for c in STATES_SCHEMA.split(", ")])
 
 
 @contextmanager
-def with_state_store(spark: SparkSession):
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKS)
+def with_state_store(spark: SparkSession, empty_batches: bool = True):
+    """Settings for a query that is started inside: the state store, and whether batches
+    without data run. Expiry by processing time would run those without end."""
+    wanted = {STATE_STORE: ROCKS, EMPTY_BATCHES: str(empty_batches).lower()}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def fold_breaker(rows: Iterable[tuple], recent: list[int], open_until: int, probing: bool,

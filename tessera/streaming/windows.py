@@ -45,3 +45,22 @@ def throttle_sessions(log: DataFrame, gap: str = "30 minutes", key: str = "backe
         F.count(F.lit(1)).alias("throttles"))
     return g.select(key, epoch_micros(F.col("s.start")).alias("session_start_us"),
                     epoch_micros(F.col("s.end")).alias("session_end_us"), "throttles")
+
+
+def clean_runs(runs: DataFrame, sessions: DataFrame, key: str = "backend_id",
+               bin_us: int = 3_600_000_000) -> DataFrame:
+    """A run is valid only if it starts after the throttle windows begun before it have cleared.
+
+    Sessions (key, session_start_us, session_end_us) of one key do not overlap, so a run meets
+    at most one. Both sides are keyed by time bins: a session by every bin it touches, a run by
+    the bin of its start, so the join is on (key, bin) and no range is paired with another.
+    Adds `valid` and `clear_at_us` (end of the window it must wait for, else null).
+    """
+    start, end = F.col("session_start_us"), F.col("session_end_us")
+    binned = sessions.select(
+        F.col(key).alias("_key"), start.alias("_from"), end.alias("clear_at_us"),
+        F.explode(F.sequence(F.floor(start / bin_us), F.floor((end - 1) / bin_us))).alias("_bin"))
+    r = runs.withColumn("_at", F.floor(F.col("run_start_us") / bin_us))
+    j = r.join(binned, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_bin"))
+               & (F.col("_from") < F.col("run_start_us")) & (F.col("run_start_us") < F.col("clear_at_us")), "left")
+    return j.withColumn("valid", F.col("clear_at_us").isNull()).drop("_at", "_key", "_bin", "_from")

@@ -74,18 +74,38 @@ def test_freshness_specs():
     assert lo == dt.datetime(2024, 1, 1) and hi.day == 31 and hi.hour == 23
 
 
+SPANS = ("trace_id string, span_id string, parent_span_id string, name string, "
+         "start_time_unix_nano long, end_time_unix_nano long")
+
+
 def test_span_tree(spark):
     from tessera.operators import runlog
     spans = spark.createDataFrame([
         ("t", "root", None, "run", 0, 10_000_000),
         ("t", "a", "root", "request", 0, 4_000_000),
         ("t", "b", "root", "request", 4_000_000, 9_000_000),
-        ("t", "c", "a", "http", 0, 1_000_000)],
-        "trace_id string, span_id string, parent_span_id string, name string, "
-        "start_time_unix_nano long, end_time_unix_nano long")
+        ("t", "c", "a", "http", 0, 1_000_000)], SPANS)
     r = runlog.span_tree(spans).collect()
-    assert len(r) == 1 and r[0]["root_span_id"] == "root" and r[0]["children"] == 2
-    assert r[0]["coverage"] == 0.9
+    assert len(r) == 1 and r[0]["root_span_id"] == "root" and r[0]["descendants"] == 3 and r[0]["max_depth"] == 2
+    assert r[0]["coverage"] == 0.9 and r[0]["child_ms"] == 10.0
+
+
+def test_span_coverage_counts_overlaps_once(spark):
+    """Parallel, nested and overhanging children; an unknown parent; a cycle; a deep chain."""
+    from tessera.operators import runlog
+    ms = 1_000_000
+    rows = [("t", "r", None, "run", 0, 10 * ms), ("t", "p1", "r", "x", 1 * ms, 6 * ms), ("t", "p2", "r", "x", 1 * ms, 6 * ms),
+            ("t", "in", "p1", "x", 2 * ms, 3 * ms), ("t", "over", "r", "x", 9 * ms, 50 * ms), ("t", "late", "r", "x", 60 * ms, 70 * ms),
+            ("u", "orphan", "gone", "run", 0, 4 * ms), ("u", "kid", "orphan", "x", 0, 1 * ms),
+            ("c", "a", "b", "x", 0, ms), ("c", "b", "a", "x", 0, ms), ("z", "alone", None, "run", 0, ms)]
+    rows += [("d", f"s{i}", f"s{i - 1}" if i else None, "x", 0, (200 - i) * ms) for i in range(100)]
+    df = spark.createDataFrame(rows, SPANS)
+    got = {(r["trace_id"], r["root_span_id"]): (r["descendants"], r["max_depth"], r["covered_ms"], r["coverage"]) for r in runlog.span_tree(df).collect()}
+    assert got == {("t", "r"): (5, 2, 6.0, 0.6), ("u", "orphan"): (1, 1, 1.0, 0.25), ("d", "s0"): (99, 99, 199.0, 199 / 200)}
+    roots = {(r["trace_id"], r["span_id"]): (r["root_span_id"], r["depth"]) for r in runlog.span_roots(df).collect()}
+    assert roots["c", "a"] == (None, None) and roots["d", "s70"] == ("s0", 70) and roots["z", "alone"] == ("alone", 0)
+    links = {(r["trace_id"], r["span_id"]): r["parent_name"] for r in runlog.span_links(df).collect()}
+    assert links["t", "in"] == "x" and links["u", "orphan"] is None and len(links) == len(rows)
 
 
 def test_first_request_over_ceiling(spark):
