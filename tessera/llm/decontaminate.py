@@ -36,7 +36,7 @@ Q = 12
 MIN_LENGTH = 60
 EDITS = 0.05
 BLOCK_CHARS = 8_000_000
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 _OTHER = re.compile(r"[\W_]+")
 
 
