@@ -222,3 +222,88 @@ def headings(html: Column) -> Column:
 
 def strip_tags(html: Column) -> Column:
     return F.regexp_replace(html, TAG, "")
+
+
+SECTION_FIELDS = "section_no int, level int, title string, path array<string>, body string"
+
+
+def sections_of(text: str) -> list[tuple[int, int, str, list[str], str]]:
+    """Sections of one markdown text: (number, level, title, title path, body). Text before the
+    first heading is section 0 of level 0; a `#` line inside a fenced block is no heading."""
+    out: list = [(0, 0, "", [], [])]
+    stack: list[tuple[int, str]] = []
+    fenced = False
+    for line in text.split("\n"):
+        hashes = len(line) - len(line.lstrip("#"))
+        if line.startswith("```"):
+            fenced = not fenced
+        if fenced or not 1 <= hashes <= 6 or line[hashes:hashes + 1] != " ":
+            out[-1][4].append(line)
+            continue
+        title = line[hashes:].strip(" #")
+        while stack and stack[-1][0] >= hashes:
+            stack.pop()
+        stack.append((hashes, title))
+        out.append((len(out), hashes, title, [t for _, t in stack], []))
+    return [(n, level, title, path, "\n".join(body)) for n, level, title, path, body in out if n or body]
+
+
+def markdown_sections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id, section_no, level, title, path (titles of the enclosing headings and its own) and
+    body of every section; every line of a text is a heading or in the body of one section.
+    A null text has no section. One pass, no shuffle."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ddl = f"id {rows.schema['id'].dataType.simpleString()}, {SECTION_FIELDS}"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                found = [(i, *s) for i, t in zip(part.column("id").to_pylist(), part.column("text").to_pylist())
+                         if t is not None for s in sections_of(t)]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
+
+    return rows.mapInArrow(run, ddl).withColumnRenamed("id", id_col)
+
+
+# Fixed value: an inline marker with its title, or a markdown link with title and address.
+CITATION = r"\u3010(\d+:\d+)\u2020([^\u3011]*)\u3011|\[([^\]]+)\]\((https?://[^)\s]+)\)"
+
+
+def text_citations(docs: DataFrame, files: DataFrame | None = None, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """Every citation of a text with its span, in order: id, pos, kind (`file` for an inline
+    marker, `url` for a link), marker, title, target, start_index and end_index (in
+    characters), quote (the text of its line since the citation before), formatted.
+
+    `files` (title, file_id) resolves the titles of markers; an unknown title has a null target.
+    """
+    body = F.col(text_col)
+    cut = docs.select(F.col(id_col), F.split(body, CITATION, -1).alias("_between"),
+                      F.regexp_extract_all(body, F.lit(CITATION), F.lit(0)).alias("_all"))
+    # The places of the matches: the lengths of all that comes before them, summed within the row.
+    step = F.transform(F.arrays_zip(F.transform("_between", F.length).alias("b"), F.transform("_all", F.length).alias("m")),
+                       lambda x: F.struct(x["b"].cast("long").alias("b"), F.coalesce(x["m"], F.lit(0)).cast("long").alias("m")))
+    rows = cut.where(F.size("_all") > 0).withColumn("_s", step).select(
+        id_col, F.posexplode("_all").alias("pos", "marker"), "_between", "_s")
+    start = F.aggregate(F.slice("_s", F.lit(1), F.col("pos")), F.lit(0).cast("long"), lambda a, x: a + x["b"] + x["m"]) + F.element_at("_s", F.col("pos") + 1)["b"]
+    rows = rows.withColumn("start_index", start).withColumn("end_index", F.col("start_index") + F.length("marker"))
+    part = lambda n: F.regexp_extract("marker", CITATION, n)
+    before = F.element_at("_between", F.col("pos") + 1)
+    rows = rows.select(
+        id_col, "pos", F.when(part(4) != "", "url").otherwise("file").alias("kind"), "marker",
+        F.when(part(4) != "", part(3)).otherwise(part(2)).alias("title"), F.when(part(4) != "", part(4)).alias("_url"),
+        "start_index", "end_index", F.trim(F.substring_index(before, "\n", -1)).alias("quote"))
+    if files is None:
+        rows = rows.withColumn("target", F.col("_url"))
+    else:
+        known = files.select(F.col("title").alias("_title"), "file_id").dropDuplicates(["_title"])
+        rows = rows.join(known, (F.col("kind") == "file") & (F.col("title") == F.col("_title")), "left").withColumn(
+            "target", F.coalesce("_url", "file_id")).drop("_title", "file_id")
+    shown = F.format_string(" [%s %s](%s) (%d-%d)", "quote", "title", F.coalesce("target", F.lit("")), "start_index", "end_index")
+    return rows.drop("_url").withColumn("formatted", shown)

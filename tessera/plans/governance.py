@@ -182,6 +182,68 @@ def c7_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
                     G.strip_tags(F.col("tag")).alias("title"))
 
 
+# Every fifth line of a document is made a heading, of a level that its length gives.
+C7_MARKDOWN_SQL = """
+WITH l AS (
+  SELECT doc_id, i, CASE WHEN (i - 1) % 5 = 2 AND length(ls[i]) > 0 THEN 1 + length(ls[i]) % 4 END AS level, ls[i] AS line
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))),
+n AS (SELECT *, count(level) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section_no FROM l),
+heads AS (SELECT doc_id, section_no, level, trim(line, ' #') AS title FROM n WHERE level IS NOT NULL),
+paths AS (
+  SELECT a.doc_id, a.section_no, list(b.title ORDER BY b.section_no) AS path
+  FROM heads a JOIN heads b ON b.doc_id = a.doc_id AND b.section_no <= a.section_no
+  WHERE b.section_no = a.section_no OR b.level < (SELECT min(m.level) FROM heads m
+    WHERE m.doc_id = a.doc_id AND m.section_no > b.section_no AND m.section_no <= a.section_no)
+  GROUP BY ALL),
+bodies AS (SELECT doc_id, section_no, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (level IS NULL), '') AS body FROM n GROUP BY ALL)
+SELECT b.doc_id, CAST(b.section_no AS INTEGER) AS section_no, CAST(coalesce(h.level, 0) AS INTEGER) AS level, coalesce(h.title, '') AS title,
+       coalesce(array_to_string(p.path, ' > '), '') AS path, b.body
+FROM bodies b LEFT JOIN heads h ON h.doc_id = b.doc_id AND h.section_no = b.section_no
+LEFT JOIN paths p ON p.doc_id = b.doc_id AND p.section_no = b.section_no"""
+
+
+@register("c7_markdown_sections", C7_MARKDOWN_SQL)
+def c7_markdown_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of the documents as markdown: level, title path, body."""
+    line = lambda x, i: F.when((i % 5 == 2) & (F.length(x) > 0), F.concat(
+        F.lpad(F.lit(""), (1 + F.length(x) % 4).cast("int"), "#"), F.lit(" "), x)).otherwise(x)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(F.split("text", "\n", -1), line), "\n").alias("text"))
+    s = G.markdown_sections(docs)
+    return s.select("doc_id", "section_no", "level", "title", F.array_join("path", " > ").alias("path"), "body")
+
+
+# Each line of a document of two lines or more gets a marker (odd lines) or a link (even ones).
+C1_TEXT_SQL = """
+WITH l AS (
+  SELECT doc_id, i, ls[i] AS line, len(ls) AS n,
+         CASE WHEN i % 2 = 1 THEN '【' || i || ':' || (doc_id % 7) || '†part' || (i % 5) || '.md】' ELSE '[Source ' || i || '](https://example.com/d/' || doc_id || ')' END AS marker
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))
+  WHERE len(ls) > 1),
+p AS (SELECT *, coalesce(sum(length(line) + 1 + length(marker) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               + length(line) + 1 AS start_index FROM l)
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, CASE WHEN i % 2 = 1 THEN 'file' ELSE 'url' END AS kind, marker,
+       CASE WHEN i % 2 = 1 THEN 'part' || (i % 5) || '.md' ELSE 'Source ' || i END AS title,
+       CASE WHEN i % 2 = 0 THEN 'https://example.com/d/' || doc_id WHEN i % 5 < 4 THEN 'file-' || (i % 5) END AS target,
+       CAST(start_index AS BIGINT) AS start_index, CAST(start_index + length(marker) AS BIGINT) AS end_index, trim(line) AS quote
+FROM p"""
+
+
+@register("c1_text_citations", C1_TEXT_SQL)
+def c1_text_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File and URL citations with spans and quotes, from markers and links put into the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n", -1).alias("w")).where(F.size("w") > 1)
+
+    def marked(x, i):
+        n = (i + 1).cast("string")
+        file = F.concat(F.lit("【"), n, F.lit(":"), (F.col("doc_id") % 7).cast("string"), F.lit("†part"), ((i + 1) % 5).cast("string"), F.lit(".md】"))
+        url = F.concat(F.lit("[Source "), n, F.lit("](https://example.com/d/"), F.col("doc_id").cast("string"), F.lit(")"))
+        return F.concat(x, F.lit(" "), F.when((i + 1) % 2 == 1, file).otherwise(url))
+
+    files = spark.range(4).select(F.concat(F.lit("part"), "id", F.lit(".md")).alias("title"), F.concat(F.lit("file-"), "id").alias("file_id"))
+    c = G.text_citations(docs.select("doc_id", F.array_join(F.transform("w", marked), "\n").alias("text")), files)
+    return c.select("doc_id", "pos", "kind", "marker", "title", "target", "start_index", "end_index", "quote")
+
+
 K7_SQL = f"""
 WITH p AS (
   SELECT page_id, CASE WHEN len(cut) > 1 THEN list_transform(cut[2:], lambda x:

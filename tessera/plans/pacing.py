@@ -89,6 +89,26 @@ def q5_weighted_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.groupBy("backend_id").agg(F.count(F.lit(1)).alias("routed_requests"))
 
 
+Q5_TOKENS_SQL = """
+WITH plan AS (
+  SELECT s_suppkey AS backend_id, CAST(floor(greatest(s_acctbal, 0) * 100) AS BIGINT) AS w FROM supplier),
+ranges AS (SELECT backend_id, sum(w) OVER (ORDER BY backend_id) - w AS lo, sum(w) OVER (ORDER BY backend_id) AS hi FROM plan WHERE w > 0),
+req AS (
+  SELECT CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15)) AS BIGINT) % (SELECT sum(w) FROM plan) AS token FROM events)
+SELECT r.backend_id, CAST(count(*) AS BIGINT) AS routed_requests, CAST(min(token) AS BIGINT) AS first_token
+FROM req JOIN ranges r ON req.token >= r.lo AND req.token < r.hi GROUP BY r.backend_id"""
+
+
+@register("q5_token_routing", Q5_TOKENS_SQL)
+def q5_token_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact weighted routing of all requests to the suppliers as backends, weighed by balance in cents."""
+    plan = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("backend_id"),
+        F.floor(F.greatest("s_acctbal", F.lit(0.0)) * 100).cast("long").alias("target_tpm"))
+    routed = pacing.route_by_tokens(table(spark, sf_dir, "events").select("event_id"), plan, "event_id")
+    return routed.groupBy("backend_id").agg(F.count(F.lit(1)).alias("routed_requests"), F.min("token").alias("first_token"))
+
+
 Q9_SQL = "WITH " + REQUEST_LOG_CTE + f""",
 iv AS (
   SELECT run_id, backend_id, sequence, start_us,
