@@ -47,7 +47,7 @@ START, END, FIRST = 0, 1, 2
 TOP = np.uint64(1 << 63)  # set in hashes; places of hot words are below 2^32
 CUT = 5                   # counts above are not discounted
 CHARS_PER_BUCKET = 4e6
-BLOCK_TOKENS, BLOCK_DOCS = 400_000, 8192
+BLOCK_TOKENS, BLOCK_DOCS = 1_200_000, 8192
 
 
 def good_turing(n) -> np.ndarray:
