@@ -62,38 +62,42 @@ def embed_with(requests: DataFrame, encoder: Callable[[list[str]], tuple[list[li
     return requests.mapInPandas(run, schema)
 
 
-def correlate(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Sort items by index, require indexes 0..n-1, attach `input_ids[index]`.
-
-    Requests whose indexes are not exactly 0..n-1 get `error.code = 'index_mismatch'`.
-    """
+def checked(responses: DataFrame) -> DataFrame:
+    """Items sorted by index into `_items`; requests whose indexes are not exactly
+    0..n-1 get `error.code = 'index_mismatch'`, all others keep their error."""
     items = F.array_sort(F.col("data"), lambda a, b: F.when(a.index < b.index, -1).when(
         a.index > b.index, 1).otherwise(0))
     ok_idx = F.transform(items, lambda x: x.index) == F.sequence(
         F.lit(0), F.size("input_ids") - 1).cast("array<int>")
-    r = responses.withColumn("_items", items).withColumn(
+    return responses.withColumn("_items", items).withColumn(
         "error", F.when(F.col("error").isNull() & ~F.coalesce(ok_idx, F.lit(False)),
                         F.struct(F.lit("index_mismatch").alias("code"),
                                  F.lit("response indexes do not match the inputs").alias("message"))
                         ).otherwise(F.col("error")))
-    good = r.where(F.col("error").isNull()).select(
-        *keep, "input_ids", F.posexplode("_items").alias("_pos", "_it")).select(
+
+
+def correlate(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per returned vector of the requests without error, with
+    `input_ids[index]`. The other requests are given by `failed_requests`."""
+    good = checked(responses).where(F.col("error").isNull()).select(
+        *keep, "input_ids", F.posexplode("_items").alias("_pos", "_it"))
+    return good.select(
         *keep, F.col("_it.index").alias("item_index"),
         F.element_at("input_ids", F.col("_it.index") + 1).alias("input_id"),
         F.col("_it.embedding").alias("embedding"))
-    return good
 
 
-def failed_requests(responses: DataFrame) -> DataFrame:
-    """Error rows keep their input ids."""
-    return responses.where(F.col("error").isNotNull()).select("input_ids", "error")
+def failed_requests(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Failed and mismatched requests keep their input ids."""
+    return checked(responses).where(F.col("error").isNotNull()).select(*keep, "input_ids", "error")
 
 
 def vector_checks(vectors: DataFrame, expected_dim: int) -> DataFrame:
-    """E5: dimension, finiteness per returned vector."""
-    finite = F.forall("embedding", lambda x: ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    return vectors.withColumn("dimension_ok", F.size("embedding") == expected_dim).withColumn(
-        "finite", finite)
+    """E5: dimension, finiteness per returned vector. A missing number (as Arrow hands on a
+    NaN from pandas) is not finite, a missing vector neither finite nor of the dimension."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+    return vectors.withColumn("dimension_ok", F.coalesce(F.size("embedding") == expected_dim, F.lit(False))).withColumn(
+        "finite", F.coalesce(finite, F.lit(False)))
 
 
 def completeness(inputs: DataFrame, outputs: DataFrame, id_col: str = "input_id") -> DataFrame:

@@ -207,3 +207,13 @@ def first_over_ceiling(requests: DataFrame, order_cols: Sequence[str], ceiling:
     first = over.agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_o"))
     return over.join(first, F.struct(*[F.col(c) for c in order_cols]) == F.col("_o")).drop(
         "_o", "_all")
+
+
+TOKEN_CEILING = "token_ceiling"
+
+
+def split_by_ceiling(items: DataFrame, max_tokens: int, token_col: str = "tokens") -> tuple[DataFrame, DataFrame]:
+    """P10: items that fit a request, and a reject table (all columns and `reason`) of those that
+    cannot be packed: more tokens than the ceiling, or an unknown number."""
+    fits = F.coalesce(F.col(token_col) <= max_tokens, F.lit(False))
+    return items.where(fits), items.where(~fits).withColumn("reason", F.lit(TOKEN_CEILING))

@@ -23,8 +23,9 @@ def validated_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packable_chunks(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
     """Accepted chunks under the token ceiling; texts are carried only on request
-    (the packer needs ids and token counts, not the text)."""
-    ok = validated_chunks(spark, sf_dir).where("accepted").where(F.col("tokens") <= MAX_TOKENS)
+    (the packer needs ids and token counts, not the text). The chunks above it are the
+    reject table of `p10_rejected_chunks`."""
+    ok, _ = prepare.split_by_ceiling(validated_chunks(spark, sf_dir).where("accepted"), MAX_TOKENS)
     return ok.select("doc_id", "chunk_no", "input_id", *(["text"] if with_text else []), "model",
                      "user", "tokens", prepare.settings_key().alias("settings"))
 
@@ -266,10 +267,12 @@ def e2_correlated_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("embedding").alias("dimensions"))
 
 
-E6_SQL = "WITH " + chunks_cte(WORDS_PER_CHUNK) + f"""
-SELECT CAST(count(*) AS BIGINT) AS inputs, CAST(count(*) AS BIGINT) AS outputs,
-       CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, CAST(0 AS BIGINT) AS duplicated
-FROM chunk_tokens WHERE length(text) > 0 AND tokens <= {MAX_TOKENS}"""
+E6_SQL = "WITH " + chunks_cte(WORDS_PER_CHUNK) + f""",
+i AS (SELECT input_id, count(*) AS n FROM chunk_tokens WHERE length(text) > 0 GROUP BY input_id),
+o AS (SELECT input_id, count(*) AS n FROM chunk_tokens WHERE length(text) > 0 AND tokens <= {MAX_TOKENS} GROUP BY input_id)
+SELECT CAST(sum(i.n) AS BIGINT) AS inputs, CAST(sum(o.n) AS BIGINT) AS outputs, count(*) FILTER (o.n IS NULL) AS missing,
+       count(*) FILTER (i.n IS NULL) AS extra, count(*) FILTER (o.n > 1) AS duplicated
+FROM i FULL JOIN o USING (input_id)"""
 
 
 @register("e6_completeness", E6_SQL)

@@ -83,7 +83,12 @@ def read_requests(spark: SparkSession, input_dir: str, expected_model: str | Non
     columns, `errors`, `error`, `accepted`, `input_ids`, `texts`, `input_count`.
     Unparsable lines carry `error = 'invalid_json'`.
     """
-    lines = file_lines(spark, input_dir, "*.jsonl").where(F.trim(F.col("line")) != "")
+    return parse_requests(file_lines(spark, input_dir, "*.jsonl"), expected_model)
+
+
+def parse_requests(lines: DataFrame, expected_model: str | None) -> DataFrame:
+    """P3 + P4 over lines given as (file, line_no, line); blank lines are skipped."""
+    lines = lines.where(F.trim(F.col("line")) != "")
     v = F.try_parse_json(F.col("line"))
     base = lines.withColumn("_v", v).withColumn(
         "source", F.concat(F.element_at(F.split("file", "/"), -1), F.lit(":"),
