@@ -215,8 +215,9 @@ def exact_quantiles(df: DataFrame, key_cols: Sequence[str],
 
 
 def exact_percentiles(df: DataFrame, key_cols: Sequence[str], value_col: str,
-                      percents: Mapping[str, float]) -> DataFrame:
-    """Exact percentiles of one column (see `exact_quantiles`)."""
+                      percents: Mapping[str, float], partitions: int | None = None) -> DataFrame:
+    """Exact percentiles of one column (see `exact_quantiles`). `partitions` is accepted for
+    callers that asked for a number of ranges; rows are no longer dealt out, so it has no effect."""
     return exact_quantiles(df, key_cols, {value_col: (value_col, percents)})
 
 
