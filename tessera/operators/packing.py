@@ -304,5 +304,5 @@ def packing_effect(requests: DataFrame, group_cols: Sequence[str]) -> DataFrame:
         F.sum("estimated_tokens").alias("estimated_tokens"),
         F.max("input_count").alias("max_batch_inputs"),
         F.min("input_count").alias("min_batch_inputs"),
-    ).withColumn("inputs_per_request", F.round(F.col("inputs") / F.col("requests"), 6)).withColumn(
-        "request_reduction", F.round(1 - F.col("requests") / F.col("inputs"), 6))
+    ).withColumn("inputs_per_request", F.bround(F.col("inputs") / F.col("requests"), 6)).withColumn(
+        "request_reduction", F.bround(1 - F.col("requests") / F.col("inputs"), 6))

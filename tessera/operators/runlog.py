@@ -271,7 +271,7 @@ def run_analysis(log: DataFrame, key: str = "run_id") -> DataFrame:
         F.sum(F.when(ok, inputs).otherwise(0)).alias("logical_inputs"),
         F.sum(F.when(ok, F.coalesce(F.col("prompt_tokens"), F.lit(0))).otherwise(0)).alias(
             "prompt_tokens"),
-    ).withColumn("success_rate", F.round(F.col("successful_requests") / F.col("request_count"), 6))
+    ).withColumn("success_rate", F.bround(F.col("successful_requests") / F.col("request_count"), 6))
 
 
 def five_numbers(log: DataFrame, measures: dict[str, tuple[str, Column | None]],

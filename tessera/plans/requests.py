@@ -115,8 +115,8 @@ SELECT model, CAST(count(*) AS BIGINT) AS requests, CAST(sum(input_count) AS BIG
        CAST(sum(tokens) AS BIGINT) AS estimated_tokens,
        CAST(max(input_count) AS BIGINT) AS max_batch_inputs,
        CAST(min(input_count) AS BIGINT) AS min_batch_inputs,
-       round(sum(input_count) / count(*), 6) AS inputs_per_request,
-       round(1 - count(*) / sum(input_count), 6) AS request_reduction
+       round_even(sum(input_count) / count(*), 6) AS inputs_per_request,
+       round_even(1 - count(*) / sum(input_count), 6) AS request_reduction
 FROM req GROUP BY model"""
 
 
