@@ -225,3 +225,23 @@ def q13_experiment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     name = pacing.experiment_name(model_for_lang(F.col("lang")), "packed", "rpm")
     return docs.groupBy(name.alias("experiment")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+JOB_SQL = f"""
+SELECT 'embeddings-rpm-' || model || '-packed-input-array-records-' || records || '-items-16-tokens-' ||
+       CASE WHEN ceiling > 0 THEN CAST(ceiling AS VARCHAR) ELSE 'off' END || '-retries-3-workers-8-' ||
+       strftime(started, '%Y-%m-%d-%H%M%Sz') AS job, records
+FROM (SELECT {MODEL_CASE} AS model, doc_id % 2 * 4096 AS ceiling, count(*) AS records,
+             (SELECT max(ts) FROM events) AS started FROM documents GROUP BY ALL)"""
+
+
+@register("q13_job_names", JOB_SQL)
+def q13_job_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job per model and ceiling (4,096 tokens or none), started at the last event."""
+    started = table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    groups = table(spark, sf_dir, "documents").groupBy(
+        model_for_lang(F.col("lang")).alias("model"), (F.col("doc_id") % 2 * 4096).alias("ceiling")).agg(
+        F.count(F.lit(1)).alias("records"))
+    name = pacing.job_name(F.col("model"), "packed", "rpm", F.col("records"), 16, F.col("ceiling"), 3, 8,
+                           F.lit(started).cast("timestamp_ntz"))
+    return groups.select(name.alias("job"), "records")

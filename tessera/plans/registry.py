@@ -27,4 +27,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so its queries register themselves."""
     from tessera.plans import (  # noqa: F401
-        requests, runlog, pacing, vectors, governance, retrieval, evals, cohort, streams, failures)
+        requests, runlog, pacing, vectors, governance, retrieval, evals, cohort, streams, failures,
+        responses)

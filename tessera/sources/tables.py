@@ -105,6 +105,43 @@ def request_log(events: DataFrame) -> DataFrame:
     )
 
 
+# The six rate-limit headers of a response, as log columns.
+RATE_LIMIT_HEADERS = ("limit_requests", "remaining_requests", "reset_requests",
+                      "limit_tokens", "remaining_tokens", "reset_tokens")
+
+# What the request log does not record, as SQL that Spark and DuckDB read alike. Run 6 has no
+# request headers, run 7 no token headers, run 5 no backend ids; runs 0 and 4 name only the pool.
+RESPONSE_COLUMNS = {
+    "limit_requests": "CASE WHEN run_id = 6 OR sequence % 7 = 0 THEN NULL WHEN sequence % 7 = 1 THEN 'n/a' "
+                      "WHEN sequence % 7 = 2 THEN '' ELSE CAST(60 * (1 + run_id % 3) AS STRING) END",
+    "remaining_requests": "CASE WHEN run_id = 6 THEN NULL WHEN sequence % 11 = 0 THEN 'unknown' "
+                          "ELSE coalesce(remaining_requests, CAST(sequence % 9 AS STRING)) END",
+    "reset_requests": "CASE WHEN run_id <> 6 THEN CAST(sequence % 6 AS STRING) || 's' END",
+    "limit_tokens": "CASE WHEN run_id <> 7 THEN CAST(15000 * (1 + run_id % 2) AS STRING) END",
+    "remaining_tokens": "CASE WHEN run_id <> 7 THEN coalesce(remaining_tokens, CAST(sequence % 13 * 100 AS STRING)) END",
+    "reset_tokens": "CASE WHEN run_id <> 7 AND sequence % 5 < 4 THEN CAST(sequence % 4 AS STRING) || 'ms' END",
+    "backend_id": "CASE WHEN run_id <> 5 THEN backend_id END",
+    "backend_type": "CASE WHEN run_id % 4 = 0 OR (run_id % 4 = 1 AND sequence % 2 = 0) THEN 'Pool' "
+                    "WHEN run_id % 4 = 3 THEN 'n/a' ELSE 'Single' END",
+    "backend_region": "CASE sequence % 3 WHEN 0 THEN 'eastus' WHEN 1 THEN 'westeurope' END",
+    "retry_after_ms": "CASE WHEN status_code = 429 THEN CASE sequence % 4 WHEN 0 THEN CAST(sequence % 5000 AS STRING) "
+                      "WHEN 1 THEN 'soon' WHEN 2 THEN '-250' END END",
+    "retry_after_s": "CASE WHEN status_code = 429 THEN CASE sequence % 5 WHEN 0 THEN 'later' WHEN 1 THEN '-4' "
+                     "ELSE CAST(sequence % 30 AS STRING) END END",
+    "error_body": "CASE WHEN status_code <> 200 THEN CASE sequence % 5 "
+                  "WHEN 0 THEN '{\"error\": {\"code\": \"' || CAST(status_code AS STRING) || '\", \"message\": \"Rate limit of run ' "
+                  "|| CAST(run_id AS STRING) || '\"}}' "
+                  "WHEN 1 THEN '{\"code\": \"Busy\", \"message\": \"All backends are busy\"}' "
+                  "WHEN 2 THEN repeat('Service unavailable. ', 30) "
+                  "WHEN 3 THEN '{\"error\": \"Quota used up\"}' ELSE '{\"error\": {\"message\": \"No code given\"}}' END END",
+}
+
+
+def response_log(events: DataFrame) -> DataFrame:
+    """The request log with response headers, backend context, retry headers and error bodies."""
+    return request_log(events).withColumns({n: F.expr(e) for n, e in RESPONSE_COLUMNS.items()})
+
+
 def measurements(log: DataFrame) -> DataFrame:
     """A1 measurement rows: seconds relative to the epoch plus counts."""
     return log.select(
