@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import evals as E
+from tessera.operators.transcripts import transcript_rows
 from tessera.plans.registry import register
-from tessera.sources.tables import table
+from tessera.sources.tables import recorded_messages, table
 
 
 def _lit(s: str) -> str:
@@ -253,3 +254,31 @@ def v14_longest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return lines.select("doc_id", "line_no", E.longest_words(F.col("line")).alias("longest_word"))
+
+
+TRANSCRIPT_SQL = """
+WITH m AS (
+  SELECT conv_id, turn, role,
+         CASE WHEN conv_id % 6 = 3 THEN 'messages' WHEN conv_id % 6 = 4 THEN 'conversation' WHEN role = 'assistant' THEN 'response'
+              WHEN conv_id % 6 = 5 AND role = 'user' THEN 'messages' ELSE 'query' END AS section,
+         CASE WHEN conv_id % 6 = 2 AND role = 'user' AND turn % 2 = 1 THEN NULL
+              WHEN conv_id % 6 = 5 AND role = 'assistant' AND turn % 2 = 1 THEN '' ELSE coalesce(text, '') END AS text
+  FROM conversations),
+a AS (
+  SELECT conv_id, arg_max(text, turn) FILTER (WHERE section = 'query' AND role = 'user' AND text IS NOT NULL) AS q,
+         arg_max(text, turn) FILTER (WHERE section = 'response' AND text <> '') AS r, bool_or(section = 'messages') AS has,
+         arg_min(text, turn) FILTER (WHERE section = 'messages' AND role = 'user') AS mq,
+         arg_min(text, turn) FILTER (WHERE section = 'messages' AND role = 'assistant') AS mr,
+         arg_min(text, turn) FILTER (WHERE section = 'conversation') AS cq,
+         arg_max(text, turn) FILTER (WHERE section = 'conversation' AND role = 'assistant') AS cr,
+         string_agg(text, ' | ' ORDER BY turn) FILTER (WHERE section = 'query' AND role = 'system') AS context
+  FROM m GROUP BY conv_id),
+c AS (SELECT conv_id, coalesce(CASE WHEN q <> '' THEN q WHEN has THEN mq ELSE cq END, '') AS query,
+             coalesce(CASE WHEN r <> '' THEN r WHEN has THEN mr ELSE cr END, '') AS response, coalesce(context, '') AS context FROM a)
+SELECT *, CAST(8.5 AS DOUBLE) AS latency, CAST(length(response) AS INTEGER) AS response_length FROM c"""
+
+
+@register("v1_recorded_transcripts", TRANSCRIPT_SQL)
+def v1_recorded_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation rows from recorded messages: part lists, and the fallbacks of query and response."""
+    return transcript_rows(recorded_messages(table(spark, sf_dir, "conversations")))

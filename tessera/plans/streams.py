@@ -12,9 +12,9 @@ from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
 from tessera.plans.runlog import log_of
 from tessera.plans.sqlparts import MODEL_CASE, REQUEST_LOG_CTE
-from tessera.sources.tables import (WORDS_PER_DELTA, document_requests, request_log,
-                                    response_events, table)
-from tessera.streaming import folds, stateful, windows
+from tessera.sources.tables import (WORDS_PER_DELTA, WORDS_PER_LINE, document_requests, request_log,
+                                    response_events, stream_lines, table)
+from tessera.streaming import folds, lines, stateful, windows
 from tessera.streaming.runner import run_available_now, staged_stream, stream_table
 
 W1_SQL = f"""
@@ -250,3 +250,39 @@ def w7_request_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, write = folds.ingest_requests(docs, validate)
     base = run_available_now(stream, "ingest", foreach_batch=write)
     return spark.read.parquet(f"{base}/rows").drop("epoch")
+
+
+LINE_ORDER = ["turn", "part", "i"]
+W1_LINES_SQL = f"""
+WITH e AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text,
+         sum(CASE WHEN role = 'assistant' THEN 2 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY turn) AS upto FROM conversations)
+SELECT conv_id, CAST(upto - 1 AS BIGINT) AS event_no, text,
+       (len(string_split(text, ' ')) + {WORDS_PER_LINE - 1}) // {WORDS_PER_LINE} AS n_deltas, true AS closed
+FROM e WHERE role = 'assistant' AND text <> ''
+UNION ALL
+SELECT conv_id, CAST(max(upto) + 1 AS BIGINT), 'cut of', 1, false FROM e WHERE conv_id % 3 = 0 GROUP BY conv_id"""
+
+
+def _line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations").where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    return lines.parse_lines(stream_lines(conv), "conv_id", LINE_ORDER)
+
+
+@register("w1_line_messages", W1_LINES_SQL)
+def w1_line_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages from event-stream lines: broken data, blanks, lines after [DONE], and streams that break off."""
+    return lines.line_messages(_line_events(spark, sf_dir), "conv_id", LINE_ORDER)
+
+
+W1_IDS_SQL = """
+SELECT conv_id, 'message' AS kind, 'msg-' || conv_id || '-' || turn AS id, count(*) AS reports
+FROM conversations WHERE role = 'assistant' GROUP BY ALL
+UNION ALL
+SELECT DISTINCT conv_id, 'run', 'run-' || conv_id, 2 FROM conversations WHERE conv_id % 3 <> 0"""
+
+
+@register("w1_completed_ids", W1_IDS_SQL)
+def w1_completed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completed messages and runs of each stream, every id once."""
+    return lines.completed_ids(_line_events(spark, sf_dir), "conv_id")

@@ -246,3 +246,60 @@ def response_events(conversations: DataFrame) -> DataFrame:
     twice = F.when((F.col("seq") + F.col("n")) % 4 == 0, 1).otherwise(0)
     return rows.select("response_id", F.col("seq").cast("long").alias("seq"), "e.*",
                        F.explode(F.sequence(F.lit(0), twice)).alias("copy"))
+
+
+def recorded_messages(conversations: DataFrame) -> DataFrame:
+    """Messages as runs record them, by conversation mod 6: texts (0), parts (1), parts where every
+    other user turn has no text (2), only `messages` (3), only `conversation` (4), users in `messages`
+    and every other answer empty (5)."""
+    shape, role, odd = F.col("conv_id") % 6, F.col("role"), F.col("turn") % 2 == 1
+    text = F.coalesce("text", F.lit(""))
+    section = (F.when(shape == 3, "messages").when(shape == 4, "conversation")
+               .when(role == "assistant", "response").when((shape == 5) & (role == "user"), "messages").otherwise("query"))
+    said = F.when((shape == 5) & (role == "assistant") & odd, F.lit("")).otherwise(text)
+    image = F.lit('{"type":"image"}')
+    # to_json of a struct quotes the text; the surrounding object is cut off again.
+    quoted = F.expr("substring(to_json(struct(_said AS t)), 6, length(to_json(struct(_said AS t))) - 6)")
+    part = F.concat(F.lit('[{"type":"image"},{"type":"text","text":'), quoted, F.lit("}]"))
+    rows = conversations.withColumn("_said", said)
+    content = (F.when((shape == 2) & (role == "user") & odd, F.concat(F.lit("["), image, F.lit("]")))
+               .when(shape.isin(1, 2) & (role != "system"), part).otherwise(quoted))
+    return rows.select("conv_id", section.alias("section"), F.col("turn").cast("long").alias("pos"), "role", content.alias("content"))
+
+
+WORDS_PER_LINE = 16
+
+
+def stream_lines(conversations: DataFrame) -> DataFrame:
+    """Event-stream lines (conv_id, turn, part, i, line): assistant turns are delta events of some
+    words a line, with a broken and a blank line, then a completed event; other turns are run steps.
+    Two streams in three report their run twice, end with [DONE], and say more after it; the others break off inside a delta."""
+    def data(value):
+        return F.concat(F.lit("data: "), F.to_json(value))
+
+    def delta(text):
+        return data(F.struct(F.struct(F.array(F.struct(
+            F.lit("text").alias("type"), F.struct(text.alias("value")).alias("text"))).alias("content")).alias("delta")))
+
+    def line(part, i, text):
+        return F.struct(F.lit(part).alias("part"), i.cast("int").alias("i"), text.alias("line"))
+    zero = F.lit(0)
+    words = F.split(F.coalesce("text", F.lit("")), " ", -1)
+    starts = F.sequence(F.lit(0), F.size(words) - 1, F.lit(WORDS_PER_LINE))
+    deltas = F.transform(starts, lambda i: line(1, i, delta(F.concat(
+        F.array_join(F.slice(words, i + 1, WORDS_PER_LINE), " "), F.when(i + WORDS_PER_LINE < F.size(words), " ").otherwise("")))))
+    mid = F.concat_ws("-", F.lit("msg"), "conv_id", "turn")
+    answer = F.concat(F.array(line(0, zero, F.lit("event: thread.message.delta"))), deltas, F.array(
+        line(2, zero, F.lit('data: {"broken')), line(3, zero, F.lit("  ")), line(4, zero, F.lit("event: thread.message.completed")),
+        line(5, zero, data(F.struct(mid.alias("id"))))))
+    step = F.array(line(0, zero, F.lit("event: thread.run.step")), line(1, zero, F.lit('data: {"id": "step"}')))
+    turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.explode(
+        F.when(F.col("role") == "assistant", answer).otherwise(step)).alias("l"))
+    run = F.concat_ws("-", F.lit("run"), "conv_id")
+    ended = F.array(line(0, zero, F.lit("event: thread.run.completed")), line(1, zero, data(F.struct(run.alias("id")))),
+                    line(2, zero, data(F.struct(run.alias("id")))), line(3, zero, F.lit("data: [DONE]")),
+                    line(4, zero, F.lit("event: thread.message.delta")), line(5, zero, delta(F.lit("after the end"))))
+    broken = F.array(line(0, zero, F.lit("event: thread.message.delta")), line(1, zero, delta(F.lit("cut of"))))
+    last = conversations.groupBy("conv_id").agg((F.max("turn") + 1).cast("long").alias("turn")).select(
+        "conv_id", "turn", F.explode(F.when(F.col("conv_id") % 3 == 0, broken).otherwise(ended)).alias("l"))
+    return turns.unionByName(last).select("conv_id", "turn", "l.*")
