@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.ordered import exact_percentiles
+from tessera.functions.ordered import exact_percentiles, join_small
 from tessera.session import ensure_checkpoint_dir
 
 OUTLIER_LOF = 1.5
@@ -263,3 +263,22 @@ def lof_adaptive(points: DataFrame, id_col: str, coords: Sequence[str], k: int =
         "outlier", F.coalesce(F.col("lof") > OUTLIER_LOF, F.lit(False)))
     index.unpersist()
     return res
+
+
+def group_distribution(df: DataFrame, groups: list[str], measure: str,
+                       percentiles: Sequence[float] = (25, 50, 75)) -> DataFrame:
+    """Count, known values, mean, least, greatest and exact percentiles of a measure by group
+    (null groups are a group; a group without known values has null numbers)."""
+    v = F.col(measure).cast("double")
+    base = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), F.count(v).alias("known"), F.avg(v).alias("mean"),
+                                   F.min(v).alias("least"), F.max(v).alias("greatest"))
+    pct = exact_percentiles(df.where(v.isNotNull()), groups, measure, {f"p{p:g}": p for p in percentiles})
+    return join_small(base, pct, groups, "left")
+
+
+def category_counts(df: DataFrame, group: str, category: str) -> DataFrame:
+    """How often each category occurs in each group, and its share of the group. A group of any
+    size is counted in parts before the shuffle."""
+    n = df.groupBy(group, category).agg(F.count(F.lit(1)).alias("rows"))
+    total = n.groupBy(group).agg(F.sum("rows").alias("_all"))
+    return join_small(n, total, [group]).select(group, category, "rows", (F.col("rows") / F.col("_all")).alias("share"))

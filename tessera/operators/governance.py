@@ -8,11 +8,13 @@ one expression per item (no join), and severity policies are a small table.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.ordered import join_small
+
 ELLIPSIS = "…"
 
 # Redaction patterns (Java regex syntax), applied in this order.
@@ -56,6 +58,7 @@ HEADING = "<h([1-6])[^>]*>(.*?)</h[1-6]>"
 TAG = "<[^>]+>"
 MD_IMAGE = "!?\\[[^\\]]*\\]\\((?!data:)[^)]*\\)"
 HTML_IMAGE = "(?i)<img[^>]*>"
+BROKEN_REFERENCE = "!?\\[([^\\]]*)\\]\\(((?!data:|http)[^)]*)\\)"
 # A paragraph ends at its end tag or at the next block tag: HTML lets pages leave the end tag out.
 PARAGRAPH = "(?i)<p(?:\\s[^>]*)?>"
 PARAGRAPH_TEXT = ("(?is)^(.*?)(?:</?(?:p|div|article|section|main|aside|nav|header|footer|form|table|t[dhr]|ul|ol|li|dl|"
@@ -307,3 +310,37 @@ def text_citations(docs: DataFrame, files: DataFrame | None = None, id_col: str
             "target", F.coalesce("_url", "file_id")).drop("_title", "file_id")
     shown = F.format_string(" [%s %s](%s) (%d-%d)", "quote", "title", F.coalesce("target", F.lit("")), "start_index", "end_index")
     return rows.drop("_url").withColumn("formatted", shown)
+
+
+def apply_policy_cells(scores: DataFrame, thresholds: Mapping[tuple[str, str], str]) -> DataFrame:
+    """G6 with a threshold for each cell of category and source. Cells outside the policy and
+    unknown severities never block."""
+    levels = F.create_map(*[F.lit(x) for (c, s), t in thresholds.items() for x in (f"{c}|{s}", SEVERITIES.index(t.lower()))])
+    limit = F.try_element_at(levels, F.concat_ws("|", "category", "source"))
+    return scores.withColumn("blocked", F.coalesce(severity_rank(F.col("severity")) >= limit, F.lit(False)))
+
+
+def replace_broken_images(texts: DataFrame, images: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """C6, second variant: every markdown image or link whose target is neither `data:` nor `http`
+    becomes the image whose file name is a part of the target (parts are cut at / ? # & =; of several
+    parts the first that names an image counts, of images of one name the least uri), on a paragraph
+    of its own with the same alternative text; without such an image it is dropped, and so is every
+    HTML <img>. `images`: name, uri. `key` tells rows apart; null texts stay null.
+
+    Only key, place and target parts of the references meet the images, by an equi-join.
+    """
+    t = F.col(text)
+    refs = F.arrays_zip(F.regexp_extract_all(t, F.lit(BROKEN_REFERENCE), 1).alias("alt"),
+                        F.regexp_extract_all(t, F.lit(BROKEN_REFERENCE), 2).alias("target"))
+    marked = texts.withColumn("_refs", refs)
+    parts = marked.select(key, F.posexplode("_refs").alias("_at", "_r")).select(
+        key, "_at", "_r.alt", F.posexplode(F.split("_r.target", "[/?#&=]", -1)).alias("_part", "name"))
+    uris = images.groupBy("name").agg(F.min("uri").alias("uri"))
+    found = parts.join(uris, "name").groupBy(key, "_at").agg(
+        F.min_by(F.concat(F.lit("\n\n!["), F.col("alt"), F.lit("]("), F.col("uri"), F.lit(")")), "_part").alias("_new"))
+    by_key = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_at", "_new"))).alias("_found"))
+    pieces = F.split(t, BROKEN_REFERENCE, -1)
+    filled = F.array_join(F.transform(pieces, lambda p, i: F.concat(
+        p, F.coalesce(F.try_element_at("_found", i), F.lit("")))), "")
+    return join_small(marked, by_key, [key], "left").withColumn(
+        text, F.regexp_replace(filled, HTML_IMAGE, "")).drop("_refs", "_found")

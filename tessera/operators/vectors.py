@@ -210,3 +210,49 @@ def gate_issues(base_summary: DataFrame, cand_summary: DataFrame, comp: DataFram
         route_issues = errors.groupBy("label").agg(F.count(F.lit(1)).alias("count")).select(
             "label", F.lit(0).alias("ord"), F.lit("error records").alias("issue"), "count").unionByName(route_issues)
     return route_issues.unionByName(set_issue).unionByName(comp_rows)
+
+
+def route_facts(routes: DataFrame, errors: DataFrame | None = None, label: str = "label",
+                id_col: str = "input_id", pos_col: str = "pos") -> DataFrame:
+    """J2 for any number of routes (`label`), failed records included: a row a route. The first vector
+    of an id counts; only its length, model and checks are shuffled, never the vector. A route that has
+    failed records alone shows no vectors."""
+    v = F.col("embedding")
+    checks = F.struct(F.size(v).alias("dim"), F.col("model").alias("model"), F.coalesce(all_finite(v), F.lit(False)).alias("finite"),
+                      F.coalesce(norm(v) == 0, F.lit(False)).alias("zero"))
+    firsts = routes.where(v.isNotNull()).select(label, id_col, pos_col, checks.alias("_c")).groupBy(label, id_col).agg(
+        F.min_by("_c", pos_col).alias("_c"), F.count(F.lit(1)).alias("_n"))
+    facts = firsts.groupBy(label).agg(
+        F.count(F.lit(1)).alias("vectors"), F.sum(F.col("_n") - 1).cast("long").alias("duplicate_ids"),
+        F.sort_array(F.collect_set("_c.dim")).alias("dimensions"), F.sort_array(F.collect_set("_c.model")).alias("models"),
+        F.count_if(~F.col("_c.finite")).alias("nonfinite"), F.count_if(F.col("_c.zero")).alias("zero_magnitude"))
+    if errors is None:
+        return facts.withColumn("error_records", F.lit(0).cast("long"))
+    failed = errors.groupBy(label).agg(F.count(F.lit(1)).alias("error_records"))
+    zero = F.lit(0).cast("long")
+    return facts.join(failed, label, "full_outer").select(
+        label, *[F.coalesce(c, zero).alias(c) for c in ("vectors", "duplicate_ids")],
+        F.coalesce("dimensions", F.array().cast("array<int>")).alias("dimensions"),
+        F.coalesce("models", F.array().cast("array<string>")).alias("models"),
+        *[F.coalesce(c, zero).alias(c) for c in ("nonfinite", "zero_magnitude", "error_records")])
+
+
+def route_issues(facts: DataFrame, expected_dim: int | None = None, label: str = "label") -> DataFrame:
+    """The issues of each route in report order (`ord`): none at all, or no vectors alone, or
+    repeated ids, failed records, mixed dimensions or else an unexpected one, mixed models,
+    non-finite and zero vectors."""
+    dims = F.size("dimensions")
+    wrong = F.lit(False) if expected_dim is None else (dims == 1) & (F.get("dimensions", F.lit(0)) != expected_dim)
+    rules = (("duplicate input_id", F.col("duplicate_ids") > 0, F.col("duplicate_ids")),
+             ("error records", F.col("error_records") > 0, F.col("error_records")),
+             ("mixed dimensions", dims > 1, dims), ("unexpected dimension", wrong, F.get("dimensions", F.lit(0))),
+             ("mixed models", F.size("models") > 1, F.size("models")),
+             ("non-finite values", F.col("nonfinite") > 0, F.col("nonfinite")),
+             ("zero-magnitude vectors", F.col("zero_magnitude") > 0, F.col("zero_magnitude")))
+
+    def row(i, text, count):
+        return F.struct(F.lit(i).alias("ord"), F.lit(text).alias("issue"), count.cast("long").alias("count"))
+    found = F.array(*[F.when(c, row(i, t, n)) for i, (t, c, n) in enumerate(rules, 1)])
+    none = F.array(row(0, "no vectors", F.lit(0)))
+    return facts.select(label, F.explode(F.when(F.col("vectors") == 0, none).otherwise(
+        F.filter(found, lambda x: x.isNotNull()))).alias("i")).select(label, "i.*")

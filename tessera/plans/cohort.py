@@ -308,3 +308,40 @@ def t11_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = [r[0] for r in ci.orderBy(F.col("open_total").desc(), "c_custkey").limit(2)
            .select("c_custkey").collect()]
     return T.side_by_side(ci, "c_custkey", ids, ["c_mktsegment", "c_nationkey", "open_orders"])
+
+
+def _distribution_sql(group: str, measure: str, source: str) -> str:
+    cols = [f"avg({measure}) AS mean", f"min({measure}) AS least", f"max({measure}) AS greatest"]
+    cols += [f"quantile_cont({measure}, {p / 100}) AS p{p}" for p in (25, 50, 75)]
+    return (f"SELECT {group}, count(*) AS rows, count({measure}) AS known, "
+            + ", ".join(f"round_even({c.replace(' AS ', ', 4) AS ')}" for c in cols) + f" FROM {source} GROUP BY {group}")
+
+
+def _distribution(df: DataFrame, group: str, measure: str) -> DataFrame:
+    out = T.group_distribution(df, [group], measure)
+    return out.select(group, "rows", "known", *[F.bround(c, 4).alias(c) for c in ("mean", "least", "greatest", "p25", "p50", "p75")])
+
+
+@register("t10_price_by_priority", _distribution_sql("o_orderpriority", "o_totalprice", "orders"))
+def t10_price_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distribution of the price over all orders by priority."""
+    return _distribution(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice")
+
+
+@register("t10_balance_by_nation", _distribution_sql("c_nationkey", "c_acctbal", "customer"))
+def t10_balance_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distribution of the balance over all customers by nation."""
+    return _distribution(table(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal")
+
+
+T10_COUNTS_SQL = """
+SELECT o_orderpriority, o_orderstatus, count(*) AS rows,
+       round_even(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 6) AS share
+FROM orders GROUP BY o_orderpriority, o_orderstatus"""
+
+
+@register("t10_status_by_priority", T10_COUNTS_SQL)
+def t10_status_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each status occurs in each priority, over all orders."""
+    out = T.category_counts(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus")
+    return out.withColumn("share", F.bround("share", 6))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import governance as G
 from tessera.plans.registry import register
-from tessera.sources.tables import table
+from tessera.sources.tables import IMAGE_NAMES, illustrated, image_files, table
 
 
 def _duck_repl(r: str) -> str:
@@ -285,3 +285,45 @@ def k7_page_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "refs", F.when(F.col("part_no") == 0, F.col("refs")).otherwise(
             F.array().cast("array<struct<url:string,title:string>>")))
     return summary_documents(rows, "message_id")
+
+
+C6_SQL = f"""
+WITH im AS (SELECT 'fig-' || (p_partkey % {IMAGE_NAMES}) || '.png' AS name, min('data:image/png;base64,' || md5(CAST(p_partkey AS VARCHAR))) AS uri
+            FROM part GROUP BY 1),
+d AS (SELECT doc_id, text, 'fig-' || (doc_id % {2 * IMAGE_NAMES}) || '.png' AS name FROM documents)
+SELECT doc_id, coalesce(chr(10) || chr(10) || '![chart](' || uri || ')', '') || ' ' || text || ' ' ||
+       coalesce(chr(10) || chr(10) || '![see](' || uri || ')', '') || '  ![d](data:image/png;base64,AA) [w](https://example.org/' || name || ')' AS text
+FROM d LEFT JOIN im USING (name)"""
+
+
+@register("c6_replaced_images", C6_SQL)
+def c6_replaced_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken references of every document replaced by the image of that file name, or dropped."""
+    return G.replace_broken_images(illustrated(table(spark, sf_dir, "documents")),
+                                   image_files(table(spark, sf_dir, "part")), "doc_id")
+
+
+# A threshold for each cell; self-harm in completions has none.
+POLICY = {("hate", "prompt"): "medium", ("hate", "completion"): "low", ("sexual", "prompt"): "high",
+          ("sexual", "completion"): "medium", ("violence", "prompt"): "high", ("violence", "completion"): "high",
+          ("self_harm", "prompt"): "low"}
+GRID_SQL = f"""
+WITH c AS (SELECT unnest({list(G.CATEGORIES)}) AS category, unnest(range(4)) AS i),
+s AS (SELECT category, CASE role WHEN 'user' THEN 'prompt' ELSE 'completion' END AS source, (conv_id * 7 + turn * 3 + i * 5) % 5 AS n
+      FROM conversations, c WHERE role IN ('user', 'assistant')),
+p AS (SELECT * FROM (VALUES {", ".join(f"('{c}', '{s}', {G.SEVERITIES.index(t)})" for (c, s), t in POLICY.items())}) AS v(category, source, least_))
+SELECT category, source, {list(G.SEVERITIES)}[n + 1] AS severity, coalesce(n <= 3 AND n >= least_, false) AS blocked, count(*) AS messages
+FROM s LEFT JOIN p USING (category, source) GROUP BY ALL"""
+
+
+@register("g6_policy_grid", GRID_SQL)
+def g6_policy_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four categories in both sources against a threshold for each, over every message;
+    one severity in five is not known."""
+    conv = table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant"))
+    number = [((F.col("conv_id") * 7 + F.col("turn") * 3 + i * 5) % 5).cast("int") for i in range(len(G.CATEGORIES))]
+    levels = F.array(*[F.lit(s) for s in G.SEVERITIES])
+    scores = conv.select(F.when(F.col("role") == "user", "prompt").otherwise("completion").alias("source"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("category"), F.get(levels, n).alias("severity")) for c, n in zip(G.CATEGORIES, number)])).alias("x"))
+    blocked = G.apply_policy_cells(scores.select("source", "x.*"), POLICY)
+    return blocked.groupBy("category", "source", "severity", "blocked").agg(F.count(F.lit(1)).alias("messages"))

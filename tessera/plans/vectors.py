@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import vectors as V
 from tessera.plans.registry import register
-from tessera.sources.tables import drifted_route, table, vector_route
+from tessera.sources.tables import drifted_route, faulty_routes, table, vector_route
 
 ROUTES_CTE = """
 base AS (
@@ -267,3 +267,53 @@ FROM sz GROUP BY base"""
 def j17_vector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _ = routes(spark, sf_dir)
     return V.clusters_by_group(base)
+
+
+FAULTS_CTE = """
+r AS (
+  SELECT vec_id, vec_id % 5 AS k, ['clean', 'repeated', 'mixed', 'short', 'failed'][vec_id % 5 + 1] AS label,
+         CASE WHEN vec_id % 5 = 1 THEN vec_id // 10 ELSE vec_id END AS input_id,
+         CASE WHEN vec_id % 5 = 3 OR (vec_id % 5 = 2 AND vec_id % 3 = 0) THEN 32 ELSE len(embedding) END AS dim,
+         CASE WHEN vec_id % 5 = 2 AND vec_id % 2 = 0 THEN 'text-embedding-3-large' ELSE 'text-embedding-3-small' END AS model,
+         vec_id % 50 <> 3 AS finite, vec_id % 50 = 13 AS zero
+  FROM embeddings),
+f AS (SELECT label, input_id, count(*) AS n, arg_min(dim, vec_id) AS dim, arg_min(model, vec_id) AS model,
+             arg_min(finite, vec_id) AS finite, arg_min(zero, vec_id) AS zero FROM r WHERE k <> 4 GROUP BY ALL),
+a AS (SELECT label, count(*) AS vectors, sum(n - 1) AS duplicate_ids, list_sort(list(DISTINCT dim)) AS dimensions,
+             list_sort(list(DISTINCT model)) AS models, count(*) FILTER (WHERE NOT finite) AS nonfinite,
+             count(*) FILTER (WHERE zero) AS zero_magnitude FROM f GROUP BY label),
+e AS (SELECT label, count(*) AS error_records FROM r WHERE k = 4 OR (k = 1 AND vec_id % 20 = 1) GROUP BY label),
+facts AS (
+  SELECT label, coalesce(vectors, 0) AS vectors, CAST(coalesce(duplicate_ids, 0) AS BIGINT) AS duplicate_ids,
+         CAST(coalesce(dimensions, []) AS INTEGER[]) AS dimensions, coalesce(models, []) AS models, coalesce(nonfinite, 0) AS nonfinite,
+         coalesce(zero_magnitude, 0) AS zero_magnitude, coalesce(error_records, 0) AS error_records
+  FROM a FULL JOIN e USING (label))"""
+
+
+def _fault_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.route_facts(*faulty_routes(table(spark, sf_dir, "embeddings")))
+
+
+@register("j2_faulty_routes", "WITH " + FAULTS_CTE + " SELECT * FROM facts")
+def j2_faulty_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation facts of five routes: sound, repeated ids, mixed, of an unexpected length, failed."""
+    return _fault_facts(spark, sf_dir)
+
+
+FAULT_ISSUES_SQL = "WITH " + FAULTS_CTE + """,
+i AS (
+  SELECT label, 0 AS ord, 'no vectors' AS issue, 0 AS count FROM facts WHERE vectors = 0
+  UNION ALL SELECT label, 1, 'duplicate input_id', duplicate_ids FROM facts WHERE vectors > 0 AND duplicate_ids > 0
+  UNION ALL SELECT label, 2, 'error records', error_records FROM facts WHERE vectors > 0 AND error_records > 0
+  UNION ALL SELECT label, 3, 'mixed dimensions', len(dimensions) FROM facts WHERE len(dimensions) > 1
+  UNION ALL SELECT label, 4, 'unexpected dimension', dimensions[1] FROM facts WHERE len(dimensions) = 1 AND dimensions[1] <> 64
+  UNION ALL SELECT label, 5, 'mixed models', len(models) FROM facts WHERE len(models) > 1
+  UNION ALL SELECT label, 6, 'non-finite values', nonfinite FROM facts WHERE nonfinite > 0
+  UNION ALL SELECT label, 7, 'zero-magnitude vectors', zero_magnitude FROM facts WHERE zero_magnitude > 0)
+SELECT label, ord, issue, CAST(count AS BIGINT) AS count FROM i"""
+
+
+@register("j12_faulty_routes", FAULT_ISSUES_SQL)
+def j12_faulty_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issues of the five routes."""
+    return V.route_issues(_fault_facts(spark, sf_dir), 64)

@@ -303,3 +303,39 @@ def stream_lines(conversations: DataFrame) -> DataFrame:
     last = conversations.groupBy("conv_id").agg((F.max("turn") + 1).cast("long").alias("turn")).select(
         "conv_id", "turn", F.explode(F.when(F.col("conv_id") % 3 == 0, broken).otherwise(ended)).alias("l"))
     return turns.unionByName(last).select("conv_id", "turn", "l.*")
+
+
+def faulty_routes(emb: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Five routes from `embeddings` by vec_id mod 5, and their failed records: sound, ids given twice,
+    mixed lengths and models, one unexpected length with NaN and zero vectors, and nothing but failures."""
+    k, v = F.col("vec_id") % 5, F.col("embedding").cast("array<double>")
+    names = F.array(*[F.lit(n) for n in ("clean", "repeated", "mixed", "short", "failed")])
+    label = F.element_at(names, (k + 1).cast("int")).alias("label")
+    cut = F.when((k == 3) | ((k == 2) & (F.col("vec_id") % 3 == 0)), F.slice(v, 1, 32)).otherwise(v)
+    broken = F.when(F.col("vec_id") % 50 == 3, F.transform(cut, lambda x: F.lit(float("nan")))).when(
+        F.col("vec_id") % 50 == 13, F.transform(cut, lambda x: F.lit(0.0))).otherwise(cut)
+    routes = emb.where(k != 4).select(
+        label, F.when(k == 1, F.floor(F.col("vec_id") / 10)).otherwise(F.col("vec_id")).alias("input_id"),
+        F.col("vec_id").alias("pos"), broken.alias("embedding"),
+        F.when((k == 2) & (F.col("vec_id") % 2 == 0), "text-embedding-3-large").otherwise("text-embedding-3-small").alias("model"))
+    return routes, emb.where((k == 4) | ((k == 1) & (F.col("vec_id") % 20 == 1))).select(label)
+
+
+IMAGE_NAMES = 40
+
+
+def illustrated(documents: DataFrame) -> DataFrame:
+    """Documents with image references put around their text: by file name in a path, with a query,
+    unknown, in data, on the web, and as an HTML element."""
+    name = F.concat(F.lit("fig-"), (F.col("doc_id") % (2 * IMAGE_NAMES)).cast("string"), F.lit(".png"))
+    return documents.select("doc_id", F.concat(
+        F.lit("![chart](sandbox:/mnt/data/"), name, F.lit(") "), F.col("text"), F.lit(" [see]("), name,
+        F.lit("?size=2) ![](none.png) ![d](data:image/png;base64,AA) [w](https://example.org/"), name,
+        F.lit(')<IMG src="a.png">')).alias("text"))
+
+
+def image_files(parts: DataFrame) -> DataFrame:
+    """Image files (name, uri) from `part`: forty names, several files each."""
+    number = (F.col("p_partkey") % IMAGE_NAMES).cast("string")
+    return parts.select(F.concat(F.lit("fig-"), number, F.lit(".png")).alias("name"),
+                        F.concat(F.lit("data:image/png;base64,"), F.md5(F.col("p_partkey").cast("string"))).alias("uri"))
