@@ -141,7 +141,8 @@ FROM walk WHERE trip"""
 @register("w3_breaker_trips", W3_SQL)
 def w3_breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured Streaming job: breaker state per backend over the 429 stream."""
-    log = request_log(stream_table(spark, sf_dir, "events"))
+    # One micro-batch: the fold wants the requests of a backend in order.
+    log = request_log(stream_table(spark, sf_dir, "events", batches=1))
     # The adapter's clock is sparse (about one 429 per backend per hour), so the
     # registered job uses a 6 h trip window and a 1 h open period.
     base = run_available_now(folds.breaker_trips_stream(log, W3_WINDOW_US, W3_OPEN_US), "breaker")

@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.session import ensure_checkpoint_dir
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1
-                 ) -> DataFrame:
-    """A streaming read of one driver table (its batch schema, declared up front)."""
-    path = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{path}/{name}.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
+def stream_table(spark: SparkSession, sf_dir: str, name: str, batches: int = 8) -> DataFrame:
+    """A streaming read of one driver table (its batch schema, declared up front), which may
+    be a file or a folder of files, in about as many micro-batches as given."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    rows = spark.read.parquet(path)
+    # As a pattern the path may name a file too; as a plain path only a folder.
+    return (spark.readStream.schema(rows.schema)
+            .option("maxFilesPerTrigger", max(1, -(-len(rows.inputFiles()) // batches)))
+            .parquet(f"{path[:-1]}[{path[-1]}]"))
 
 
 def stream_folder(spark: SparkSession, name: str) -> str:

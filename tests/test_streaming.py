@@ -88,3 +88,34 @@ def test_ingest_keeps_every_row(spark, tmp_path):
     assert spark.read.parquet(f"{base}/rows").count() == 6
     assert got == {1: (True, None), 2: (False, "duplicate input_id"), 3: (False, "bad"), 4: (False, "bad"),
                    5: (False, "duplicate input_id"), 6: (True, None)}
+
+
+def test_stream_of_a_table_in_a_file_or_a_folder(spark, tmp_path):
+    """Every row once; a folder of files comes in several micro-batches, or in one."""
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "made"))
+    next((tmp_path / "made").glob("part-*.parquet")).rename(tmp_path / "orders.parquet")
+    spark.range(40).repartition(20).write.parquet(str(tmp_path / "events.parquet"))
+    for name, batches, want, steps in (("orders", 8, 10, [1]), ("events", 8, 40, range(2, 9)), ("events", 1, 40, [1])):
+        seen = []
+        run_available_now(stream_table(spark, str(tmp_path), name, batches), "t-table",
+                          foreach_batch=lambda b, epoch, base: seen.append([r["id"] for r in b.collect()]))
+        assert sorted(i for s in seen for i in s) == list(range(want)) and len(seen) in steps
+
+
+def test_ingest_and_breaker_over_folders(spark, tmp_path):
+    """W7 and W3 on tables that are folders of files, as on single files."""
+    from tessera.plans.streams import w3_breaker_trips, w7_request_ingest
+    docs = [(i % 18, "en", f"s{i % 3}", "" if i == 7 else "some text") for i in range(20)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, lang string, source string, text string")
+    events = spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, id * 20) AS ts", "id % 7 AS user_id",
+        "if(id % 3 = 0, 'error', 'view') AS event_type", "10.5D AS value", "'{\"k\": 5}' AS props")
+    out = {}
+    for kind, n in (("one", 1), ("many", 10)):
+        docs.repartition(n).write.parquet(str(tmp_path / kind / "documents.parquet"))
+        events.repartition(n).write.parquet(str(tmp_path / kind / "events.parquet"))
+        rows = w7_request_ingest(spark, str(tmp_path / kind)).collect()
+        trips = w3_breaker_trips(spark, str(tmp_path / kind)).collect()
+        out[kind] = sorted((r["doc_id"], r["accepted"], r["error"] or "") for r in rows), sorted(map(tuple, trips))
+    assert out["one"] == out["many"] and out["one"][1]
+    assert len(out["one"][0]) == 20 and sum(a for _, a, _ in out["one"][0]) == 17
