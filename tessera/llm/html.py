@@ -24,8 +24,9 @@ import hashlib
 import html as entities
 import re
 from bisect import bisect_left
-from collections import Counter, defaultdict
+from collections import defaultdict
 from functools import lru_cache
+from math import isqrt
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -103,37 +104,61 @@ def lines(page: str | None) -> list[tuple[str, int]]:
 
 
 def common(a: list[bytes], b: list[bytes]) -> list[int]:
-    """Positions in a of a longest common subsequence with b: equal ends, then the longest increasing run of
-    matching positions. Lines that repeat so often that their matches pass a million pair up by occurrence."""
+    """Positions in a of a longest common subsequence with b: equal ends, then by bit rows.
+
+    Row i has a bit at j where the subsequence of left[:i] and right grows with right[j]; a row
+    follows from the one before in a few operations on whole numbers. Every step-th row is
+    kept, the rows between are made again on the way back, so memory grows with the root of
+    the rows. From the end, the first place in right that allows the length is taken, and the
+    last place in left with that line.
+    """
     n = min(len(a), len(b))
     head = next((i for i in range(n) if a[i] != b[i]), n)
     tail = next((i for i in range(n - head) if a[-1 - i] != b[-1 - i]), n - head)
     left, right = a[head:len(a) - tail], b[head:len(b) - tail]
-    places = defaultdict(list)
-    for j, x in enumerate(right):
-        places[x].append(j)
-    many = sum(c * len(places.get(x, ())) for x, c in Counter(left).items()) > 1_000_000
-    used, ends, last, back = Counter(), [], [], []
+    both = set(left) & set(right)
+    at = [i for i, x in enumerate(left) if x in both]
+    left, right = [left[i] for i in at], [x for x in right if x in both]
+    in_left, in_right = defaultdict(list), defaultdict(list)
+    for found, of in ((in_left, left), (in_right, right)):
+        for i, x in enumerate(of):
+            found[x].append(i)
+    full, often = (1 << len(right)) - 1, {}
+
+    def places(x):
+        if x in often:
+            return often[x]
+        bits = bytearray(len(right) // 8 + 1)
+        for j in in_right[x]:
+            bits[j >> 3] |= 1 << (j & 7)
+        made = int.from_bytes(bits, "little")
+        if len(in_right[x]) ** 2 > len(right):
+            often[x] = made
+        return made
+
+    def after(row, x):
+        free = full ^ row
+        hit = free & places(x)
+        return full ^ (((free + hit) | (free - hit)) & full)
+
+    step = isqrt(len(left)) + 1
+    kept, row = [], 0
     for i, x in enumerate(left):
-        if x not in places:
-            continue
-        js = places[x]
-        if many:
-            js = js[used[x]:used[x] + 1]
-            used[x] += 1
-        for j in reversed(js):
-            k = bisect_left(ends, j)
-            node = len(back)
-            back.append((i, last[k - 1] if k else -1))
-            if k == len(ends):
-                ends.append(j)
-                last.append(node)
-            else:
-                ends[k], last[k] = j, node
-    mid, node = [], last[-1] if last else -1
-    while node >= 0:
-        i, node = back[node]
-        mid.append(head + i)
+        if i % step == 0:
+            kept.append(row)
+        row = after(row, x)
+    mid, rows, i, j = [], [], len(left), len(right)
+    while (grown := row & ((1 << j) - 1)):
+        j = grown.bit_length() - 1
+        seen = in_left[right[j]]
+        i = seen[bisect_left(seen, i) - 1]
+        mid.append(head + at[i])
+        if not rows or i < first:
+            first = i - i % step
+            rows = [kept[first // step]]
+            for x in left[first:i]:
+                rows.append(after(rows[-1], x))
+        row = rows[i - first]
     return [*range(head), *reversed(mid), *range(len(a) - tail, len(a))]
 
 

@@ -140,3 +140,18 @@ def test_url_rules_are_mined_from_all_parts_and_counts(spark):
     assert len(got) == 3005 and [got[i]["verdict"] for i in range(3000, 3005)] == ["block"] * 4 + ["allow"]
     assert all(got[i]["verdict"] == ("allow" if i < 2960 else "block") for i in range(3000))
     assert "p:casino" in got[3000]["mined_rule"].split()
+
+
+def test_common_lines_are_the_longest_at_any_size():
+    """Also where lines repeat so often that more than a million pairs of them are equal."""
+    r = random.Random(5)
+    for n, names in ((6, 2), (30, 3), (1600, 2)):
+        a, b = ([bytes([r.randrange(names)]) for _ in range(n)] for _ in range(2))
+        row = [0] * (n + 1)
+        for x in a:
+            corner = 0
+            for j, y in enumerate(b):
+                corner, row[j + 1] = row[j + 1], corner + 1 if x == y else max(row[j], row[j + 1])
+        got = html.common(a, b)
+        rest = iter(b)
+        assert len(got) == row[-1] and got == sorted(set(got)) and all(any(a[i] == y for y in rest) for i in got)
