@@ -1,6 +1,6 @@
 """Embed stage and response correlation.
 
-A packed request is embedded by a caller-supplied encoder (`mapInPandas`, one
+A packed request is embedded by a caller-supplied encoder (`mapInArrow`, one
 call per request, failures isolated per request) or by the native dry-run
 encoder (zero vectors, no Python). Responses are correlated back to inputs by
 `index`, never by position in the output file.
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +26,12 @@ RESPONSE_FIELDS = [
                                          T.StructField("message", T.StringType())])),
 ]
 
+RESPONSE_ARROW = [pa.list_(pa.struct([("index", pa.int32()), ("embedding", pa.list_(pa.float64()))])), pa.int64(),
+                  pa.struct([("code", pa.string()), ("message", pa.string())])]
+
+# Numbers of vectors, about, that a task holds as Python objects at a time (see embed_with).
+NUMBERS_PER_STEP = 20_000
+
 
 def dry_run_embed(requests: DataFrame, dims_col: str | None = None) -> DataFrame:
     """E1 dry run: zero vectors of `dimensions` (default 2) and 0 tokens, native."""
@@ -41,25 +47,30 @@ def dry_run_embed(requests: DataFrame, dims_col: str | None = None) -> DataFrame
 def embed_with(requests: DataFrame, encoder: Callable[[list[str]], tuple[list[list[float]], int]],
                texts_col: str = "texts") -> DataFrame:
     """E1 with a caller encoder `texts -> (vectors, prompt_tokens)`; an exception
-    becomes an error row for that request only (E3)."""
+    becomes an error row for that request only (E3). Texts become Python objects one
+    request at a time, and vectors go out in steps, whatever a batch holds."""
     schema = T.StructType(requests.schema.fields + RESPONSE_FIELDS)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            data, toks, errs = [], [], []
-            for texts in pdf[texts_col]:
-                try:
-                    vecs, used = encoder(list(texts))
-                    data.append([{"index": i, "embedding": [float(x) for x in v]}
-                                 for i, v in enumerate(vecs)])
-                    toks.append(int(used))
-                    errs.append(None)
-                except Exception as e:  # noqa: BLE001 - isolate the failing request
-                    data.append(None)
-                    toks.append(None)
-                    errs.append({"code": type(e).__name__, "message": str(e)[:500]})
-            yield pdf.assign(data=data, prompt_tokens=toks, error=errs)
-    return requests.mapInPandas(run, schema)
+    def answer(texts):
+        try:
+            vecs, used = encoder(list(texts))
+            return [{"index": i, "embedding": [float(x) for x in v]} for i, v in enumerate(vecs)], int(used), None
+        except Exception as e:  # noqa: BLE001 - isolate the failing request
+            return None, None, {"code": type(e).__name__, "message": str(e)[:500]}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, start, out, size = batch.column(texts_col), 0, [], 0
+            for i in range(batch.num_rows):
+                made = answer(texts[i].as_py())
+                out.append(made)
+                size += 1 + sum(1 + len(x["embedding"]) for x in made[0] or ())
+                if size >= NUMBERS_PER_STEP or i + 1 == batch.num_rows:
+                    # As from pandas, a NaN of a vector becomes a missing number.
+                    cols = [pa.array(c, t, from_pandas=True) for c, t in zip(zip(*out), RESPONSE_ARROW)]
+                    yield pa.RecordBatch.from_arrays([*batch.slice(start, i + 1 - start).columns, *cols], schema.names)
+                    start, out, size = i + 1, [], 0
+    return requests.mapInArrow(run, schema)
 
 
 def checked(responses: DataFrame) -> DataFrame:

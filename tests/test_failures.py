@@ -1,5 +1,6 @@
 """Index mismatches, failed requests and vector checks on small tables."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessera.operators import correlate, prepare
@@ -50,3 +51,25 @@ def test_split_by_ceiling(spark):
     fits, rejected = prepare.split_by_ceiling(spark.createDataFrame([(1, 5), (2, 6), (3, None)], "id int, tokens long"), 5)
     assert [r["id"] for r in fits.collect()] == [1]
     assert sorted((r["id"], r["reason"]) for r in rejected.collect()) == [(2, "token_ceiling"), (3, "token_ceiling")]
+
+
+def test_encoder_output_goes_out_in_steps(spark):
+    """Vectors of a batch are not held together; a NaN is a missing number; null texts are an error of their request."""
+    def encoder(texts):
+        return [[1.0] * 999 + [float("nan")] for _ in texts], len(texts)
+
+    rows = [(i, [f"i{i}"], None if i == 7 else [f"t{i}"]) for i in range(100)]
+    frame = spark.createDataFrame(rows, "id int, input_ids array<string>, texts array<string>").coalesce(1)
+    got = correlate.embed_with(frame, encoder).collect()
+    assert [r["id"] for r in got] == list(range(100))
+    assert [r["error"] and r["error"]["code"] for r in got] == ["TypeError" if i == 7 else None for i in range(100)]
+    assert all(r["prompt_tokens"] == 1 and r["data"][0]["embedding"] == [1.0] * 999 + [None] for r in got if r["id"] != 7)
+
+    class Rows:
+        schema = frame.schema
+
+        def mapInArrow(self, run, schema):
+            return list(run([frame.toArrow().combine_chunks().to_batches()[0]]))
+
+    steps = [b.num_rows for b in correlate.embed_with(Rows(), encoder)]
+    assert sum(steps) == 100 and max(steps) < 25
