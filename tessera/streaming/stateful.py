@@ -14,6 +14,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from heapq import merge
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -82,40 +84,81 @@ def fold_breaker(rows: Iterable[tuple], recent: list[int], open_until: int, prob
     return out, recent, open_until, probing
 
 
+# Rows of a run, which is sorted in memory, and of a piece, in which it is kept and read back.
+RUN_ROWS, PIECE_ROWS = 50_000, 1_000
+
+
+def event_order(row: tuple) -> tuple:
+    start, sequence, status, retry = row
+    return start, sequence is not None, sequence or 0, status is not None, status or 0, retry is not None, retry or 0.0
+
+
 class BreakerProcessor(StatefulProcessor):
-    """Rows wait in a list until the watermark passes them; the breaker is one value."""
+    """Rows wait until the watermark passes them; the breaker is one value. They are kept in
+    sorted runs, each in small pieces, and merged on the way out, so that a piece of each run
+    is in memory, not the rows of a backend."""
 
     def __init__(self, window_us: int, open_us: int):
         self.window_us, self.open_us = window_us, open_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState(
-            "waiting", "start_us long, sequence long, status int, retry_after double")
+        self.waiting = handle.getMapState(
+            "waiting", "run int, piece int",
+            "rows array<struct<start_us:long,sequence:long,status:int,retry_after:double>>")
+        self.runs = handle.getValueState(
+            "runs", "made int, runs array<struct<run:int,piece:int,pieces:int,first_us:long>>")
         self.breaker = handle.getValueState(
             "breaker", "recent array<long>, open_until long, probing boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["start_us"], r["sequence"], r["status_code"], r["retry_after"]) for r in rows]
-        if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(min(n[0] for n in new) // 1000)
+        made, runs = self.runs.get() if self.runs.exists() else (0, [])
+        runs, new = [tuple(r) for r in runs], ((r["start_us"], r["sequence"], r["status_code"], r["retry_after"]) for r in rows)
+        known = len(runs)
+        while run := sorted(islice(new, RUN_ROWS), key=event_order):
+            pieces = range(0, len(run), PIECE_ROWS)
+            for i, at in enumerate(pieces):
+                self.waiting.updateValue((made, i), (run[at:at + PIECE_ROWS],))
+            runs.append((made, 0, len(pieces), run[0][0]))
+            made += 1
+        if len(runs) > known:
+            self.runs.update((made, runs))
+            self.handle.registerTimer(min(r[3] for r in runs[known:]) // 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.runs.exists():
+            return
         passed = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(tuple(r) for r in self.waiting.get())
-        due = [r for r in rows if r[0] // 1000 <= passed and r[2] is not None]
-        later = [r for r in rows if r[0] // 1000 > passed]
+        made, runs = self.runs.get()
+        later, due = [], []
+        for r in runs:
+            (due if r[3] // 1000 <= passed else later).append(tuple(r))
+        if not due:
+            return
+
+        def passed_rows(run: int, first: int, pieces: int) -> Iterator[tuple]:
+            for piece in range(first, pieces):
+                rows = [tuple(r) for r in self.waiting.getValue((run, piece))[0]]
+                for n, row in enumerate(rows):
+                    if row[0] // 1000 > passed:
+                        if n:
+                            self.waiting.updateValue((run, piece), (rows[n:],))
+                        later.append((run, piece, pieces, row[0]))
+                        return
+                    yield row
+                self.waiting.removeKey((run, piece))
+
+        rows = merge(*(passed_rows(*r[:3]) for r in due), key=event_order)
         recent, open_until, probing = self.breaker.get() if self.breaker.exists() else ([], -1, False)
-        out, recent, open_until, probing = fold_breaker(due, list(recent), open_until, probing,
+        out, recent, open_until, probing = fold_breaker((r for r in rows if r[2] is not None), list(recent), open_until, probing,
                                                         self.window_us, self.open_us)
         self.breaker.update((recent, open_until, probing))
         if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(later[0][0] // 1000)
-        elif rows:
-            self.waiting.clear()
+            self.runs.update((made, later))
+            self.handle.registerTimer(min(r[3] for r in later) // 1000)
+        else:
+            self.runs.clear()
         for interval in out:
             yield INTERVAL(key[0], *interval)
 
@@ -128,7 +171,7 @@ def breaker_states(log: DataFrame, lateness: str, window_us: int = BREAKER_WINDO
     """Open and half-open intervals per backend over a stream of requests.
 
     Rows may be late by up to `lateness`; those beyond it are dropped by the watermark. The
-    state of a backend is the rows of that span and at most two recent 429 times. A row
+    state of a backend is the rows of that span, in sorted runs, and at most two recent 429 times. A row
     with a null status is a heartbeat: it only moves the watermark on.
     """
     rows = log.select("backend_id", "start_us", "sequence", F.col("status_code").cast("int").alias("status_code"),

@@ -80,3 +80,71 @@ def test_clean_runs(spark):
     wait = (False, 10_000)
     assert got == {0: (True, None), 1: (True, None), 2: wait, 3: wait, 4: wait, 5: (True, None), 6: (True, None), 9: (True, None), 8: (False, 200)}
     assert windows.clean_runs(runs, sessions.limit(0)).where(~F.col("valid")).count() == 0
+
+
+def test_breaker_keeps_waiting_rows_in_small_pieces(monkeypatch):
+    """Rows in any order, repeated ones, heartbeats and a watermark that passes some rows only: the
+    intervals of the ordered fold, with no more than a piece of rows in one state value."""
+    monkeypatch.setattr(stateful, "RUN_ROWS", 50)
+    monkeypatch.setattr(stateful, "PIECE_ROWS", 7)
+
+    class State:
+        def __init__(self):
+            self.held = {}
+
+        def exists(self):
+            return () in self.held
+
+        def get(self):
+            return self.held[()]
+
+        def update(self, value):
+            self.held[()] = value
+
+        def clear(self):
+            self.held.clear()
+
+        def updateValue(self, key, value):
+            assert len(value[0]) <= stateful.PIECE_ROWS
+            self.held[key] = value
+
+        def getValue(self, key):
+            return self.held[key]
+
+        def removeKey(self, key):
+            del self.held[key]
+
+    class Handle:
+        def __init__(self):
+            self.states, self.timers = {}, set()
+
+        def getMapState(self, name, *_):
+            return self.states.setdefault(name, State())
+
+        def getValueState(self, name, *_):
+            return self.states.setdefault(name, State())
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    s = 1_000_000
+    r = random.Random(4)
+    rows = [(i * 2 * s, i, r.choice([200, 429, 429, None]), r.choice([None, 5.0, 90.0])) for i in range(900)]
+    rows += rows[::9]
+    want, *_ = stateful.fold_breaker(sorted((x for x in rows if x[2] is not None), key=stateful.event_order), [], -1, False, 30 * s, 60 * s)
+    p, handle, clock, got = stateful.BreakerProcessor(30 * s, 60 * s), Handle(), Clock(), []
+    p.init(handle)
+    first, late = [x for x in rows if x[0] < 1000 * s and x[1] % 5], [x for x in rows if x[0] >= 1000 * s or x[1] % 5 == 0]
+    for part, at in ((first, -1), (late, 777), (late[:0], 1200), (late[:0], 1900)):
+        r.shuffle(part)
+        p.handleInputRows(("b",), iter([dict(zip(("start_us", "sequence", "status_code", "retry_after"), x)) for x in part]), clock)
+        clock.at = at * 1000
+        for t in sorted(t for t in handle.timers if t <= clock.at):
+            handle.timers.discard(t)
+            got += [tuple(x)[1:] for x in p.handleExpiredTimer(("b",), clock, None)]
+    assert got == want and len(want) > 10
+    assert not handle.states["waiting"].held and not handle.timers
