@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +43,27 @@ def scratch(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-llm-{uuid.uuid4().hex}"
 
 
+#: While a table is written: its shuffle files go with the write, and Python workers get texts in small batches.
+WHILE_STORED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the block; afterwards those of before."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors, leaves no shuffle files."""
+    with settings(df.sparkSession, WHILE_STORED):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

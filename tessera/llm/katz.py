@@ -22,7 +22,8 @@ of its words that lie in other buckets (`guests`) are asked for once. Bigrams of
 words with at least N / HOT_BIGRAMS occurrences are resolved in the map task.
 
 Texts never move: map tasks send packed (key, position in block) arrays to the buckets
-and the buckets send sums back to the blocks.
+and the buckets send sums back to the blocks. All documents are scored, in SLICES stored one after
+the other, so that the arrays of one slice only are on disk at a time.
 
 Edge cases: null text is empty (its only token is the end); a null id counts as
 held out; repeated rows are scored one by one; an empty table gives no rows;
@@ -31,6 +32,8 @@ other columns are ignored. With no training rows every token is unknown.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -48,6 +51,7 @@ TOP = np.uint64(1 << 63)  # set in hashes; places of hot words are below 2^32
 CUT = 5                   # counts above are not discounted
 CHARS_PER_BUCKET = 4e6
 BLOCK_TOKENS, BLOCK_DOCS = 1_200_000, 8192
+SLICES = 3                # of the documents, scored one after the other: what is sent for one is gone before the next
 
 
 def good_turing(n) -> np.ndarray:
@@ -550,5 +554,8 @@ def katz_scores(documents: DataFrame, folds: int = 10) -> DataFrame:
                             held_out(F.col("doc_id"), folds).alias("held"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0]
     train = docs.where(~F.col("held")).select("text")
-    model = fit(train, buckets(chars, CHARS_PER_BUCKET), scratch(spark))
-    return score(docs, model)
+    folder = scratch(spark)
+    model = fit(train, buckets(chars, CHARS_PER_BUCKET), folder)
+    at = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(SLICES))
+    scored = [stored(score(docs.where(at == i), model), f"{folder}/scores{i}") for i in range(SLICES)]
+    return reduce(DataFrame.unionByName, scored)
