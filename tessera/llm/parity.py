@@ -16,7 +16,7 @@ sets count as one class everywhere.
 
 Documents that share a key are candidates: all pairs of a small group; of a larger
 one the pairs with its smallest class, which joins groups of copies without pairing
-them up. Candidates whose short sketches (in the buckets: folded to 64 bits) differ by more
+them up. Candidates whose short sketches (in the buckets, for small sets: folded to 64 bits) differ by more
 than D are dropped, the rest are verified on the texts. After connected components, larger groups whose members
 are not yet one component are searched again across components, in chunks, with the
 short sketches compared inside the task: each component but a group's largest offers
@@ -40,6 +40,7 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,6 +156,11 @@ class Bands:
         d = self.most(self.first[band + 1] - 1, self.first[band + 1] - 1)
         return math.ceil(SPARE * (d + 1))
 
+    def tells(self, band: int) -> bool:
+        """Whether linked sets of a band stay nearer in 64-bit sketches than others do (half the bits)."""
+        top = self.first[band + 1] - 1
+        return self.most(top, top) < 32
+
     def edges(self, band: int) -> np.ndarray:
         """Ends of the segments of a band's sketches."""
         if band not in self._edges:
@@ -186,9 +192,12 @@ class Bands:
         return np.concatenate(out)
 
 
-SENT = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("classes", pa.binary()), ("sizes", pa.binary()), ("folds", pa.binary()),
-                  ("ids", pa.binary()), ("known", pa.binary()), ("digests", pa.binary()), ("sketches", pa.list_(pa.binary()))])
-SENT_DDL = "bucket int, keys binary, classes binary, sizes binary, folds binary, ids binary, known binary, digests binary, sketches array<binary>"
+SENT = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("classes", pa.binary()), ("bands", pa.binary()), ("folds", pa.binary()),
+                  ("ids", pa.binary()), ("known", pa.binary()), ("sizes", pa.binary()), ("digests", pa.binary()),
+                  ("sketches", pa.list_(pa.binary()))])
+SENT_DDL = ("bucket int, keys binary, classes binary, bands binary, folds binary, ids binary, known binary, sizes binary, "
+            "digests binary, sketches array<binary>")
+DOCS = ("ids", "known", "sizes", "digests", "sketches")
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
@@ -196,7 +205,8 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def sketched(documents: DataFrame, percent: int, width: int, n_buckets: int) -> DataFrame:
-    """Packed rows: keys by bucket (bucket not null), and documents (bucket null)."""
+    """Packed rows by bucket: keys (their other 32 bits, each with its class), and documents (keys null). Keys of sets
+    small enough for the 64-bit sketch to tell come first, with band (from 1) and that sketch."""
     def run(batches):
         bands, hashes = Bands(percent), WordHashes()
         keys, docs, seen, n = [], [], set(), 0
@@ -205,19 +215,18 @@ def sketched(documents: DataFrame, percent: int, width: int, n_buckets: int) ->
             out = []
             if keys:
                 k = np.concatenate([x[0] for x in keys])
-                lengths = [len(x[0]) for x in keys]
-                c = np.repeat(np.array([x[1] for x in keys], np.int64), lengths)
-                s = np.repeat(np.array([x[2] for x in keys], np.int32), lengths)
-                b = (k % np.uint64(n_buckets)).astype(np.int32)
-                f = np.repeat(np.array([x[3] for x in keys], np.int64), lengths)
-                order = np.argsort(b.astype(np.uint16) if n_buckets < 65536 else b, kind="stable")
-                k, c, s, f = k[order], c[order], s[order], f[order]
-                cuts = np.searchsorted(b[order], np.arange(n_buckets + 1))
-                out += [(i, k[x:y].tobytes(), c[x:y].tobytes(), s[x:y].tobytes(), f[x:y].tobytes(), None, None, None, None)
-                        for i, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-            out.append((None, None, None, np.array([d[2] for d in docs], np.int32).tobytes(), None,
+                each = lambda i, kind: np.repeat(np.array([x[i] for x in keys], kind), [len(x[0]) for x in keys])
+                c, band, f = each(1, np.int64), each(2, np.uint8), each(3, np.int64)
+                b, k = (k % np.uint64(n_buckets)).astype(np.int32), (k // np.uint64(n_buckets)).astype(np.uint32)
+                by = 2 * b + (band == 0)
+                order = np.argsort(by.astype(np.uint16) if n_buckets < 32768 else by, kind="stable")
+                k, c, band, f = k[order], c[order], band[order], f[order]
+                cuts = np.searchsorted(by[order], np.arange(2 * n_buckets + 1))
+                out += [(i, k[x:y].tobytes(), c[x:y].tobytes(), band[x:m].tobytes(), f[x:m].tobytes()) + (None,) * len(DOCS)
+                        for i, (x, m, y) in enumerate(zip(cuts[::2], cuts[1::2], cuts[2::2])) if y > x]
+            out.append((int.from_bytes(docs[0][1][8:], "little") % n_buckets, None, None, None, None,
                         np.array([d[0] or 0 for d in docs], np.int64).tobytes(), np.array([d[0] is not None for d in docs]).tobytes(),
-                        b"".join(d[1] for d in docs), [d[3] for d in docs]))
+                        np.array([d[2] for d in docs], np.int32).tobytes(), b"".join(d[1] for d in docs), [d[3] for d in docs]))
             for x in (keys, docs, seen):
                 x.clear()
             return _rows(SENT, out)
@@ -229,7 +238,9 @@ def sketched(documents: DataFrame, percent: int, width: int, n_buckets: int) ->
                 docs.append((i, d, len(s), short_sketch(p, len(s))))
                 if len(s) and i is not None and d not in seen:
                     seen.add(d)
-                    keys.append((bands.keys(p, len(s)), int.from_bytes(d[:8], "little", signed=True), len(s), folded(docs[-1][3])))
+                    band = bands.of(len(s))
+                    keys.append((bands.keys(p, len(s)), int.from_bytes(d[:8], "little", signed=True),
+                                 band + 1 if bands.tells(band) else 0, folded(docs[-1][3])))
                     n += len(keys[-1][0])
                 if n >= BLOCK_KEYS or len(docs) >= BLOCK_DOCS:
                     yield flush()
@@ -253,30 +264,41 @@ def members(table: DataFrame) -> DataFrame:
                     [pa.array(ids, mask=~known), pa.array(np.frombuffer(r["sizes"], np.int32).astype(np.int64)),
                      pa.array(cut(r["digests"], 16), pa.binary()), pa.array(r["sketches"], pa.binary())], schema=schema)
 
-    return (table.where("bucket is null").select("sizes", "ids", "known", "digests", "sketches")
+    return (table.where("ids is not null").select(*DOCS)
             .mapInArrow(run, "doc_id bigint, n bigint, digest binary, sketch binary"))
 
 
-FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("group", pa.list_(pa.int64()))])
-FOUND_DDL = "a bigint, b bigint, key bigint, group array<bigint>"
+FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("group", pa.list_(pa.int64()))]
+                  + [SENT.field(x) for x in DOCS])
+FOUND_DDL = ("a bigint, b bigint, key bigint, group array<bigint>, ids binary, known binary, sizes binary, digests binary, "
+             "sketches array<binary>")
 
 
 def candidates(table: DataFrame, percent: int, paired: int) -> DataFrame:
-    """Rows (a, b): pairs of classes; rows (key, group): the classes of a larger group."""
+    """Rows (a, b): pairs of classes; rows (key, group): the classes of a larger group; and the packed documents as they came."""
+    top = np.array(Bands(percent).first[:256]) - 1       # of a band's sizes, bands from 1
+
     def run(key, packed):
-        kinds = {"keys": np.uint64, "classes": np.int64, "sizes": np.int32, "folds": np.uint64}
-        k, c, s, f = (np.concatenate([np.frombuffer(x.as_py(), kind) for x in packed.column(name)]) for name, kind in kinds.items())
+        sent = packed.column("keys").is_valid()
+        docs, packed = packed.filter(pc.invert(sent)), packed.filter(sent)
+        unpacked = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in packed.column(name)]
+        k, c = unpacked("keys", np.uint32), unpacked("classes", np.int64)
+        band, f = ([np.r_[x, np.zeros(len(y) - len(x), kind)] for x, y in zip(unpacked(name, kind), k)]
+                   for name, kind in (("bands", np.uint8), ("folds", np.uint64)))
+        k, c, band, f = (np.concatenate([np.zeros(0, kind), *x])
+                         for x, kind in ((k, np.uint32), (c, np.int64), (band, np.uint8), (f, np.uint64)))
         order = np.lexsort((c, k))
-        k, c, s, f = k[order], c[order], s[order], f[order]
-        new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
-        k, c, s, f = k[new], c[new], s[new].astype(np.int64), f[new]
-        start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        k, c, band, f = k[order], c[order], band[order], f[order]
+        new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])][:len(k)]
+        k, c, band, f = k[new], c[new], band[new], f[new]
+        start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]][:len(k)])
         size = np.diff(np.r_[start, len(k)])
         pairs, groups = [], []
 
         def near(x, y):
-            return ((100 * np.minimum(s[x], s[y]) >= percent * np.maximum(s[x], s[y]))
-                    & (np.bitwise_count(f[x] ^ f[y]) <= (s[x] + s[y]) * (100 - percent) // (100 + percent)))
+            """By the 64-bit sketches, where both have one."""
+            most = (top[band[x]] + top[band[y]]) * (100 - percent) // (100 + percent)
+            return (band[x] == 0) | (band[y] == 0) | (np.bitwise_count(f[x] ^ f[y]) <= most)
 
         for g in np.unique(size[(size > 1) & (size <= paired)]):
             i, j = np.triu_indices(g, 1)
@@ -288,22 +310,27 @@ def candidates(table: DataFrame, percent: int, paired: int) -> DataFrame:
             y = np.arange(first + 1, first + g)
             y = y[near(np.full(len(y), first), y)]
             pairs.append(np.stack([np.full(len(y), c[first]), c[y]], axis=1))
-            groups.append((None, None, int(k[first].astype(np.int64)), c[first:first + g].tolist()))
+            groups.append((key[0].as_py() << 32 | int(k[first]), c[first:first + g].tolist()))
         p = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        out = [pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1]), pa.nulls(len(p), pa.int64()),
-                                           pa.nulls(len(p), FOUND.field("group").type)], schema=FOUND)]
-        return pa.Table.from_batches(out + [_rows(FOUND, groups)])
 
-    return (table.where("bucket is not null").select("bucket", "keys", "classes", "sizes", "folds")
-            .groupBy("bucket").applyInArrow(run, FOUND_DDL))
+        def rows(n, **columns):
+            return pa.Table.from_arrays([columns[x.name].cast(x.type) if x.name in columns else pa.nulls(n, x.type) for x in FOUND], schema=FOUND)
+
+        return pa.concat_tables([
+            rows(len(p), a=pa.array(p[:, 0]), b=pa.array(p[:, 1])),
+            rows(len(groups), key=pa.array([x[0] for x in groups], pa.int64()), group=pa.array([x[1] for x in groups], pa.list_(pa.int64()))),
+            rows(docs.num_rows, **{x: docs.column(x) for x in DOCS})])
+
+    return table.groupBy("bucket").applyInArrow(run, FOUND_DDL)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent: int, width: int) -> DataFrame:
-    """Edges (u, v) of ids whose sets are linked, from pairs (a, b) of 64-bit class names: first by
+    """Edges (u, v) of ids whose sets are linked, from distinct pairs (a, b) of 64-bit class names: first by sizes and
     the short sketches, then exactly on the texts."""
     side = lambda x: classes.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "sketch", "digest")])
     bands = (100 - percent, 100 + percent)
-    both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").where("id_a <> id_b or digest_a <> digest_b")
+    both = (pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("id_a <> id_b or digest_a <> digest_b")
+            .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
     schema = pa.schema([("id_a", pa.int64()), ("id_b", pa.int64()), ("digest_a", pa.binary()), ("digest_b", pa.binary())])
 
     def close(batches):
@@ -327,7 +354,8 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent
         hashes, last = WordHashes(), (None, None)
         for b in batches:
             keep = []
-            for ta, tb, da, db in zip(*(b.column(c).to_pylist() for c in ("text_a", "text_b", "digest_a", "digest_b"))):
+            for row in zip(*(b.column(c) for c in ("text_a", "text_b", "digest_a", "digest_b"))):
+                ta, tb, da, db = (x.as_py() for x in row)
                 if ta != last[0]:
                     last = (ta, shingles(ta, hashes, width))
                 x, y = last[1], shingles(tb, hashes, width)
@@ -426,21 +454,21 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     spark = documents.sparkSession
     folder = scratch(spark)
     chars = documents.agg(F.sum(F.length("text"))).first()[0]
-    table = stored(sketched(documents, percent, width, buckets(chars, CHARS_PER_BUCKET)), f"{folder}/sketches")
-    docs = members(table)
+    # The keys are on disk once, on their way to the buckets.
+    found = stored(candidates(sketched(documents, percent, width, buckets(chars, CHARS_PER_BUCKET)), percent, paired), f"{folder}/candidates")
+    docs = members(found)
     # A class: its 64-bit name, smallest id, size and short sketch.
     classes = stored(docs.where("n > 0 and doc_id is not null").groupBy("digest")
                      .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
                      .mapInArrow(_named, "digest binary, id bigint, n bigint, sketch binary, class bigint"), f"{folder}/classes")
-    found = stored(candidates(table, percent, paired), f"{folder}/candidates")
-    pairs = found.where("a is not null").select("a", "b").distinct()
+    pairs = stored(found.where("a is not null").select("a", "b").distinct(), f"{folder}/pairs")
     # Rows with one id are one document: its classes are linked.
     per = docs.where("n > 0 and doc_id is not null").join(classes.select("digest", "id"), "digest").select("doc_id", "id")
     several = per.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
     same_id = per.join(several, "doc_id").where("id <> lo").select(F.col("id").alias("u"), F.col("lo").alias("v"))
     edges = stored(verified(pairs, classes, documents, percent, width).union(same_id), f"{folder}/edges")
     roots = components(edges)
-    spread = (found.where("a is null").select("key", F.explode("group").alias("class"))
+    spread = (found.where("key is not null").select("key", F.explode("group").alias("class"))
               .join(classes.select("class", "id"), "class"))
     tested, limit = pairs, 1
     while True:
@@ -465,7 +493,8 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
 def deduplicated(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """One document of each component, that with the smallest id (one of its rows, if it repeats); all columns.
     Rows with a null id are all kept."""
-    found = jaccard_components(documents, percent, width).select(F.col("doc_id").alias("_id"), "component_id")
+    found = stored(jaccard_components(documents, percent, width).select(F.col("doc_id").alias("_id"), "component_id"),
+                   f"{scratch(documents.sparkSession)}/components")
     drop = found.where("_id <> component_id").select("_id").distinct()
     kept = documents.join(drop, documents["doc_id"].cast("bigint") == drop["_id"], "left_anti")
     repeated = found.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id")

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import katz
+from tessera.llm import katz, parity
 from tessera.llm.common import WHILE_STORED, scratch, stored
 
 
@@ -43,6 +43,18 @@ def test_texts_reach_python_in_small_batches(spark):
     assert {k: spark.conf.get(k) for k in WHILE_STORED} == before
 
 
+def test_keys_are_packed_tightly_and_written_once(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i * k % 9973}" for k in range(1, 700))) for i in range(1, 61)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sent = parity.sketched(docs, 85, 4, 8).where("keys is not null").select(
+        *[F.sum(F.length(c)) for c in ("keys", "classes", "bands", "folds")]).first()
+    assert sum(sent) == 3 * sent[0] and sent[0] > 60 * 100 * 4       # 4 bytes of key, 8 of class
+    written = []
+    monkeypatch.setattr(parity, "stored", lambda df, path: written.append(df.columns) or stored(df, path))
+    assert parity.jaccard_components(docs).count() == 60
+    assert not any("keys" in columns for columns in written)
+
+
 def test_scores_of_slices_are_those_of_the_whole(spark, monkeypatch):
     rows = [(i, " ".join(f"w{(i * k) % (7 + i % 11)}" for k in range(i % 40))) for i in range(120)] + [(None, "a w1 w2"), (3, None), (5, "w1 w2")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
