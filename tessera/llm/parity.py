@@ -20,8 +20,12 @@ them up. Candidates whose short sketches (in the buckets, for small sets: folded
 than D are dropped, the rest are verified on the texts. After connected components, larger groups whose members
 are not yet one component are searched again across components, in chunks, with the
 short sketches compared inside the task: each component but a group's largest offers
-its nearest pairs, 64 times as many in each round, until none is left untested. So
-no link between different components is missed and no group is paired out.
+its nearest pairs, 64 times as many in each round; a group that has offered all of them is
+settled and leaves the search. So no link between different components is missed and no
+group is paired out.
+
+Texts move only where ids need them: a bitmap of the hashed ids (at most MARKS bits) tells
+in place which documents can't be among them, the rest meet the ids in an exact join.
 
 Shingles are compared by 64-bit and sets by 128-bit hashes.
 
@@ -42,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import buckets, scratch, stored
@@ -54,6 +58,7 @@ SHORT = 512               # bits of a short sketch, at least; twice the size of
 SPARE = 0.25              # further segments, as a share of those that the pigeonhole needs
 PAIRED = 32               # classes in a group whose pairs are all taken
 CHUNK = 2000              # classes compared with as many in one task
+MARKS = 1 << 25           # bits of a bitmap of ids, at most; beyond a sixteenth as many ids, more documents than needed move
 CHARS_PER_BUCKET = 6e6
 BLOCK_KEYS, BLOCK_DOCS = 250_000, 5_000
 PIECE = 1 << 18             # bytes of a text split into words at a time
@@ -324,9 +329,30 @@ def candidates(table: DataFrame, percent: int, paired: int) -> DataFrame:
     return table.groupBy("bucket").applyInArrow(run, FOUND_DDL)
 
 
+def marked(ids: DataFrame, doc_id: Column) -> Column:
+    """Whether an id may be in the only column of `ids`: always true for those that are, seldom for others."""
+    bits = min(MARKS, max(1 << 13, 1 << (16 * ids.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    rows = (ids.select(place(F.col(ids.columns[0])).alias("at"))
+            .groupBy(F.expr("at div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))")).toArrow())
+    words = np.zeros(bits // 64, np.int64)
+    words[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    sent = ids.sparkSession.sparkContext.broadcast(words)
+
+    @F.arrow_udf("boolean")
+    def hit(at: pa.Array) -> pa.Array:
+        at = at.to_numpy()
+        return pa.array((sent.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    return hit(place(doc_id.cast("bigint")))
+
+
 def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent: int, width: int) -> DataFrame:
     """Edges (u, v) of ids whose sets are linked, from distinct pairs (a, b) of 64-bit class names: first by sizes and
     the short sketches, then exactly on the texts."""
+    folder = scratch(documents.sparkSession)
+    named = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    classes = stored(classes.join(named, "class", "left_semi"), f"{folder}/paired")
     side = lambda x: classes.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "sketch", "digest")])
     bands = (100 - percent, 100 + percent)
     both = (pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("id_a <> id_b or digest_a <> digest_b")
@@ -343,10 +369,10 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent
 
     left = both.select("id_a", "id_b", "n_a", "n_b", "sketch_a", "sketch_b", "digest_a", "digest_b").mapInArrow(
         close, "id_a bigint, id_b bigint, digest_a binary, digest_b binary")
-    left = stored(left, f"{scratch(documents.sparkSession)}/close")
-    needed = left.select(F.col("id_a").alias("doc_id")).union(left.select("id_b")).distinct()
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(needed, "doc_id", "left_semi")
-    texts = stored(texts, f"{scratch(documents.sparkSession)}/texts")
+    left = stored(left, f"{folder}/close")
+    needed = stored(left.select(F.col("id_a").alias("doc_id")).union(left.select("id_b")).distinct(), f"{folder}/needed")
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(marked(needed, F.col("doc_id")))
+    texts = stored(texts.join(needed, "doc_id", "left_semi"), f"{folder}/texts")
     text = lambda x: texts.select(F.col("doc_id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
     out = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -412,14 +438,14 @@ def still_open(spread: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def across(spread: DataFrame, classes: DataFrame, percent: int, limit: int) -> DataFrame:
-    """Pairs (a, b, more) of classes that share a larger group but no component, near by size and short sketch:
-    for each component of an open group but its largest, the `limit` nearest by the sketches; `more` tells that some
-    component has further ones."""
+    """Pairs (a, b) of classes that share a larger group but no component, near by size and short sketch: for each
+    component of an open group but its largest, the `limit` nearest by the sketches. Rows (open) name the groups in
+    which some component has further ones."""
     rows = (spread.join(classes.select("class", "id", "n", "sketch"), ["class", "id"])
             .withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
             .withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("key", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "c", "class", "n", "root", "sketch"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("open", pa.int64())])
 
     def run(key, t):
         _, lo, hi = (k.as_py() for k in key)
@@ -441,12 +467,12 @@ def across(spread: DataFrame, classes: DataFrame, percent: int, limit: int) -> D
                 best.setdefault(int(root[i]), []).extend(
                     (int(far[x]), min(int(name[i]), int(name[j[x]])), max(int(name[i]), int(name[j[x]]))) for x in first)
         pairs = {p[1:] for rows in best.values() for p in sorted(rows)[:limit]}
-        more = any(len(set(rows)) > limit for rows in best.values())
-        return pa.table([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()),
-                         pa.array([more] * len(pairs), pa.bool_())], schema=schema)
+        out = [(*p, None) for p in pairs]
+        if any(len(set(rows)) > limit for rows in best.values()):
+            out.append((None, None, key[0].as_py()))
+        return pa.Table.from_batches([_rows(schema, out)])
 
-    return (rows.groupBy("key", "lo", "hi").applyInArrow(run, "a bigint, b bigint, more boolean")
-            .groupBy("a", "b").agg(F.max("more").alias("more")))
+    return rows.groupBy("key", "lo", "hi").applyInArrow(run, "a bigint, b bigint, open bigint").distinct()
 
 
 def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE, paired: int = PAIRED) -> DataFrame:
@@ -470,19 +496,20 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     roots = components(edges)
     spread = (found.where("key is not null").select("key", F.explode("group").alias("class"))
               .join(classes.select("class", "id"), "class"))
-    tested, limit = pairs, 1
+    tested, limit, shared = pairs, 1, None
     while True:
         spread = stored(still_open(spread, roots), f"{folder}/open{limit}")
-        near = stored(across(spread, classes, percent, limit), f"{folder}/across{limit}")
-        more = near.where("more").limit(1).count()
-        new = stored(near.select("a", "b").join(tested, ["a", "b"], "left_anti"), f"{folder}/new{limit}")
-        now = roots
+        # Later rounds have no other classes.
+        shared = shared or stored(classes.join(spread.select("class").distinct(), "class", "left_semi"), f"{folder}/shared")
+        near = stored(across(spread, shared, percent, limit), f"{folder}/across{limit}")
+        new = stored(near.where("a is not null").select("a", "b").join(tested, ["a", "b"], "left_anti"), f"{folder}/new{limit}")
         if not new.isEmpty():
-            tested, now = tested.union(new), merged(roots, verified(new, classes, documents, percent, width), f"{folder}/round{limit}")
-        done, roots = now is roots and not more, now
-        if done:
+            tested, roots = tested.union(new), merged(roots, verified(new, classes, documents, percent, width), f"{folder}/round{limit}")
+        further = near.where("open is not null").select(F.col("open").alias("key")).distinct()
+        if further.isEmpty():
             break
-        limit *= 64
+        # The other groups have offered all their pairs.
+        spread, limit = spread.select("key", "class", "id").join(further, "key", "left_semi"), 64 * limit
     rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
         "digest", F.coalesce("root", "id").alias("root"))
     return (docs.join(rooted, "digest", "left")
@@ -496,12 +523,16 @@ def deduplicated(documents: DataFrame, percent: int = PERCENT, width: int = SHIN
     found = stored(jaccard_components(documents, percent, width).select(F.col("doc_id").alias("_id"), "component_id"),
                    f"{scratch(documents.sparkSession)}/components")
     drop = found.where("_id <> component_id").select("_id").distinct()
-    kept = documents.join(drop, documents["doc_id"].cast("bigint") == drop["_id"], "left_anti")
     repeated = found.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id")
-    if repeated.isEmpty():
-        return kept
-    match = kept["doc_id"].cast("bigint") == repeated["_id"]
-    return kept.join(repeated, match, "left_anti").unionByName(kept.join(repeated, match, "left_semi").dropDuplicates(["doc_id"]))
+    repeated = stored(repeated, f"{scratch(documents.sparkSession)}/repeated")
+    # Most documents stay where they are; those that may have to go or come twice meet the ids.
+    moved = marked(drop.union(repeated), documents["doc_id"])
+    some = documents.where(moved)
+    some = some.join(drop, some["doc_id"].cast("bigint") == drop["_id"], "left_anti")
+    if not repeated.isEmpty():
+        match = some["doc_id"].cast("bigint") == repeated["_id"]
+        some = some.join(repeated, match, "left_anti").unionByName(some.join(repeated, match, "left_semi").dropDuplicates(["doc_id"]))
+    return documents.where(~moved).unionByName(some)
 
 
 def _named(batches):

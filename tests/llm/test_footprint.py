@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import katz, parity
-from tessera.llm.common import WHILE_STORED, scratch, stored
+from tessera.llm.common import WHILE_STORED, scratch, settings, stored
+from tests.llm.test_parity import brute, texts
 
 
 def shuffle_files(spark):
@@ -77,3 +78,60 @@ def test_scores_of_slices_are_those_of_the_whole(spark, monkeypatch):
     assert [r[:5] for r in got] == [r[:5] for r in want]
     for i in (5, 6):
         assert [r[i] for r in got] == pytest.approx([r[i] for r in want], abs=1e-9)
+
+
+def test_texts_of_kept_documents_stay_in_place(spark):
+    rows = [(i, " ".join(f"w{(i // 2 if i < 6 else i) * 7919 + k}" for k in range(3000))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").union(spark.createDataFrame([(None, "a b"), (7, "c d")], "doc_id bigint, text string"))
+    docs = stored(docs, f"{scratch(spark)}/docs")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        kept = parity.deduplicated(docs, 80, 5)
+        before = shuffle_files(spark)
+        kept = kept.withColumn("text", F.length("text")).localCheckpoint()
+        sent = sum(os.path.getsize(f) for f in shuffle_files(spark) - before if os.path.exists(f))
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([i for i in range(200) if i not in (1, 3, 5)] + [None], key=str)
+    assert sent < 500_000, sent
+
+
+def test_marked_ids_are_never_missed(spark, monkeypatch):
+    ids = spark.range(0, 300_000, 3).toDF("x")
+    for most in (parity.MARKS, 1 << 14):                  # a full bitmap only lets more rows through
+        monkeypatch.setattr(parity, "MARKS", most)
+        docs = spark.range(300_000).withColumn("hit", parity.marked(ids, F.col("id")))
+        assert docs.where("id % 3 = 0 and not hit").count() == 0
+    monkeypatch.undo()
+    others = spark.range(300_000).withColumn("hit", parity.marked(ids, F.col("id"))).where("id % 3 > 0 and hit").count()
+    assert others < 40_000
+    assert spark.range(10).where(parity.marked(ids.limit(0), F.col("id"))).count() == 0
+
+
+def test_settled_groups_leave_the_search(spark, monkeypatch):
+    rows = texts(1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    opened, further = [], [None]
+
+    def kept(df, path):
+        out = stored(df, path)
+        name = path.rsplit("/", 1)[1]
+        if name.startswith("open"):
+            opened.append({r["key"] for r in out.select("key").distinct().collect()})
+        if name.startswith("across"):
+            further.append({r["open"] for r in out.where("open is not null").collect()})
+        return out
+
+    monkeypatch.setattr(parity, "stored", kept)
+    assert {r["doc_id"]: r["component_id"] for r in parity.jaccard_components(docs, 85, 4, 1).collect()} == brute(rows, 85, 4)
+    assert not further[-1] and len(opened) == len(further) - 1
+    assert all(now <= flagged for now, flagged in zip(opened[1:], further[1:]))
+
+
+def test_groups_with_further_pairs_are_named(spark):
+    spread = spark.createDataFrame([(k, i, i, i, 1) for k, i in ((1, 10), (1, 11), (1, 12), (2, 20), (2, 21), (3, 30), (3, 31))],
+                                   "key bigint, class bigint, id bigint, root bigint, chunks int")
+    classes = spark.createDataFrame([(i, i, 100, bytearray(b"\xff" * 64 if i == 31 else bytes(64))) for i in (10, 11, 12, 20, 21, 30, 31)],
+                                    "class bigint, id bigint, n bigint, sketch binary")
+    rows = parity.across(spread, classes, 85, 1).collect()
+    assert [r["open"] for r in rows if r["open"] is not None] == [1]
+    assert {(r["a"], r["b"]) for r in rows if r["a"] is not None} >= {(20, 21)}
+    rows = parity.across(spread, classes, 85, 64).collect()
+    assert {tuple(r) for r in rows} == {(10, 11, None), (10, 12, None), (11, 12, None), (20, 21, None)}
