@@ -36,6 +36,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -51,6 +52,8 @@ TOP = np.uint64(1 << 63)  # set in hashes; places of hot words are below 2^32
 CUT = 5                   # counts above are not discounted
 CHARS_PER_BUCKET = 4e6
 BLOCK_TOKENS, BLOCK_DOCS = 1_200_000, 8192
+SENT_TOKENS = 400_000     # of a block that is scored: its keys are not summed first, so small blocks cost no disk
+ROW_BIGRAMS = 1 << 15     # bigrams in one row of a table; larger rows cost the JVM whole regions of its heap in each copy
 SLICES = 3                # of the documents, scored one after the other: what is sent for one is gone before the next
 
 
@@ -138,9 +141,9 @@ PACKED_DDL = "bucket int, kind int, a binary, b binary, counts binary, sender in
 WORDS = pa.schema([("bucket", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()), ("total", pa.int64()),
                    ("types", pa.int64()), ("histogram", pa.list_(pa.int64()))])
 WORDS_DDL = "bucket int, words binary, counts binary, total bigint, types bigint, histogram array<bigint>"
-BIGRAMS = pa.schema([("bucket", pa.int32()), ("h", pa.binary()), ("w", pa.binary()), ("counts", pa.binary()), ("guests", pa.binary()),
+BIGRAMS = pa.schema([("bucket", pa.int32()), ("first", pa.int32()), ("h", pa.binary()), ("w", pa.binary()), ("counts", pa.binary()), ("guests", pa.binary()),
                      ("hot", pa.binary()), ("hot_counts", pa.binary()), ("hot_cover", pa.binary()), ("histogram", pa.list_(pa.int64()))])
-BIGRAMS_DDL = ("bucket int, h binary, w binary, counts binary, guests binary, hot binary, hot_counts binary, "
+BIGRAMS_DDL = ("bucket int, first int, h binary, w binary, counts binary, guests binary, hot binary, hot_counts binary, "
                "hot_cover binary, histogram array<bigint>")
 
 
@@ -215,8 +218,9 @@ class Block:
 
 
 def bigram_counts(train: DataFrame, unigrams: DataFrame, hot, n_buckets: int) -> DataFrame:
-    """One packed row a bucket of all training bigrams: (h, w, counts) in key order, h and w as places among the hot words,
-    then the bucket's own words, then its guests; counts of small counts and unigram mass by hot history; histogram."""
+    """Packed rows by bucket of all training bigrams: (h, w, counts) in key order from place `first` on, h and w as places among
+    the hot words, then the bucket's own words, then its guests. The bucket's first row also holds the guests, counts of small
+    counts and unigram mass by hot history, and the histogram."""
     def spread(batches):
         held, n = [], 0
 
@@ -271,9 +275,11 @@ def bigram_counts(train: DataFrame, unigrams: DataFrame, hot, n_buckets: int) ->
         few = np.minimum(counts[warm], CUT + 1)
         small = np.bincount(at * (CUT + 2) + few, minlength=len(found) * (CUT + 2)).reshape(-1, CUT + 2)[:, 1:CUT + 1]
         cover = np.bincount(at, p[w[warm]], minlength=len(found))
-        return pa.Table.from_batches([_batch(BIGRAMS, [(
-            key[0].as_py(), h.tobytes(), w.tobytes(), counts.tobytes(), guests.tobytes(), found.astype(np.int32).tobytes(),
-            small.astype(np.int64).tobytes(), cover.tobytes(), _histogram(counts))])])
+        whole = (guests.tobytes(), found.astype(np.int32).tobytes(), small.astype(np.int64).tobytes(), cover.tobytes(), _histogram(counts))
+        rest = (b"", b"", b"", b"", [0] * (CUT + 2))
+        return pa.Table.from_batches([_batch(BIGRAMS, [
+            (key[0].as_py(), i, *[x[i:i + ROW_BIGRAMS].tobytes() for x in (h, w, counts)], *(rest if i else whole))
+            for i in range(0, max(1, len(h)), ROW_BIGRAMS)])])
 
     return (train.select("text").mapInArrow(spread, PACKED_DDL).unionByName(_packed_words(unigrams))
             .groupBy("bucket").applyInArrow(add, BIGRAMS_DDL))
@@ -299,7 +305,7 @@ def guest_counts(bigrams: DataFrame, unigrams: DataFrame, n_buckets: int) -> Dat
             (r["sender"], 2, r["a"], None, counts[np.searchsorted(words, np.frombuffer(r["a"], np.uint64))].tobytes(), None)
             for r in rows if r["kind"] == 2])])
 
-    return (bigrams.select("bucket", "guests").mapInArrow(ask, PACKED_DDL).unionByName(_packed_words(unigrams))
+    return (bigrams.where("first = 0").select("bucket", "guests").mapInArrow(ask, PACKED_DDL).unionByName(_packed_words(unigrams))
             .groupBy("bucket").applyInArrow(reply, PACKED_DDL))
 
 
@@ -334,7 +340,7 @@ def _history_sums(bigrams: DataFrame, size: int, d: np.ndarray) -> tuple[np.ndar
                     pa.array(np.frombuffer(k.as_py(), np.int32).astype(np.int64)), pa.array(small @ (np.arange(1, CUT + 1) * (1 - d[1:]))),
                     pa.array(np.frombuffer(u.as_py(), np.float64))], names=["h", "s", "u"])
 
-    rows = (bigrams.select("hot", "hot_counts", "hot_cover").mapInArrow(sums, "h bigint, s double, u double")
+    rows = (bigrams.where("first = 0").select("hot", "hot_counts", "hot_cover").mapInArrow(sums, "h bigint, s double, u double")
             .groupBy("h").agg(F.sum("s"), F.sum("u")).toArrow())
     out = np.zeros((2, size))
     if rows.num_rows:
@@ -480,7 +486,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 docs_.append((i.as_py(), held.as_py()))
                 held_.append(_hashes(text.as_py()))
                 n += len(held_[-1]) + 1
-                if n >= BLOCK_TOKENS or len(docs_) >= BLOCK_DOCS:
+                if n >= SENT_TOKENS or len(docs_) >= BLOCK_DOCS:
                     yield flush()
                     block, n = block + 1, 0
         if docs_:
@@ -490,6 +496,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         m = small.value
         words, own = _joined(tables, "a", np.uint64), _joined(tables, "counts", np.int64)
         guest, more, _ = _unique_sum(_joined(tables, "a", np.uint64, 2), _joined(tables, "counts", np.int64, 2))
+        tables = tables.take(pc.sort_indices(tables.column("sender")))       # of bigrams their first place: in key order again
         h, w, c = _joined(tables, "a", np.int32, 1), _joined(tables, "b", np.int32, 1), _joined(tables, "counts", np.int64, 1)
         size = len(m["counts"])
         ids = np.r_[np.arange(size, dtype=np.uint64), words, guest]
@@ -540,7 +547,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                          pa.array(doc["base"]), pa.array(doc["score"])], schema=OUT)
 
     bigrams = model["bigrams"].select("bucket", F.lit(1).alias("kind"), F.col("h").alias("a"), F.col("w").alias("b"), "counts",
-                                      F.lit(None).cast("int").alias("sender"))
+                                      F.col("first").alias("sender"))
     tables = _packed_words(model["unigrams"]).unionByName(bigrams).unionByName(model["guests"])
     return (docs.select("doc_id", "text", "held").mapInArrow(send, SENT_DDL).groupBy("bucket")
             .cogroup(tables.groupBy("bucket")).applyInArrow(look_up, SUMS_DDL)

@@ -135,3 +135,29 @@ def test_groups_with_further_pairs_are_named(spark):
     assert {(r["a"], r["b"]) for r in rows if r["a"] is not None} >= {(20, 21)}
     rows = parity.across(spread, classes, 85, 64).collect()
     assert {tuple(r) for r in rows} == {(10, 11, None), (10, 12, None), (11, 12, None), (20, 21, None)}
+
+
+def test_tables_of_bigrams_have_small_rows(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * k) % (7 + i % 11)}" for k in range(i % 40))) for i in range(120)] + [(None, "a w1 w2"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tables = []
+
+    def kept(df, path):
+        out = stored(df, path)
+        if path.endswith("/bigrams"):
+            tables.append(out.select("bucket", "first", F.length("h").alias("h"), F.length("w").alias("w"), F.length("counts").alias("counts")).collect())
+        return out
+
+    def result():
+        return sorted((tuple(r) for r in katz.katz_scores(docs).collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+
+    want = result()
+    monkeypatch.setattr(katz, "stored", kept)
+    monkeypatch.setattr(katz, "ROW_BIGRAMS", 7)
+    monkeypatch.setattr(katz, "SENT_TOKENS", 50)
+    got = result()
+    assert max(r["h"] for r in tables[0]) == 28 and all(r["h"] == r["w"] == r["counts"] // 2 for r in tables[0])
+    assert len(tables[0]) > 2 * len({r["bucket"] for r in tables[0]})
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for i in (5, 6):
+        assert [r[i] for r in got] == pytest.approx([r[i] for r in want], abs=1e-9)
