@@ -20,9 +20,9 @@ them up. Candidates whose short sketches (in the buckets, for small sets: folded
 than D are dropped, the rest are verified on the texts. After connected components, larger groups whose members
 are not yet one component are searched again across components, in chunks, with the
 short sketches compared inside the task: each component but a group's largest offers
-its nearest pairs, 64 times as many in each round; a group that has offered all of them is
-settled and leaves the search. So no link between different components is missed and no
-group is paired out.
+its nearest pairs, 64 times as many in each round; a member whose pairs have all been offered
+is settled and leaves its group, and with the last one the group leaves the search. So no link
+between different components is missed and no group is paired out.
 
 Texts move only where ids need them: a bitmap of the hashed ids (at most MARKS bits) tells
 in place which documents can't be among them, the rest meet the ids in an exact join.
@@ -427,25 +427,26 @@ def merged(roots: DataFrame, edges: DataFrame, path: str) -> DataFrame:
     return stored(renamed.union(now), f"{path}roots")
 
 
-def still_open(spread: DataFrame, roots: DataFrame) -> DataFrame:
+def still_open(spread: DataFrame, roots: DataFrame, path: str) -> DataFrame:
     """The rows (key, class, id) of larger groups whose members are not one component, with root and the group's
     number of chunks. Components only grow, so a group left out here stays settled."""
-    rooted = (spread.select("key", "class", "id").join(roots, F.col("id") == F.col("node"), "left")
-              .select("key", "class", "id", F.coalesce("root", "id").alias("root")))
+    rooted = stored(spread.select("key", "class", "id").join(roots, F.col("id") == F.col("node"), "left")
+                    .select("key", "class", "id", F.coalesce("root", "id").alias("root")), path)
     several = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
                .where("lo <> hi").select("key", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")))
     return rooted.join(several, "key")
 
 
-def across(spread: DataFrame, classes: DataFrame, percent: int, limit: int) -> DataFrame:
+def across(spread: DataFrame, classes: DataFrame, percent: int, limit: int, listed: bool = False) -> DataFrame:
     """Pairs (a, b) of classes that share a larger group but no component, near by size and short sketch: for each
     component of an open group but its largest, the `limit` nearest by the sketches. Rows (open) name the groups in
-    which some component has further ones."""
+    which some component has further ones; if `listed`, with the classes in the pairs of such components, by chunks.
+    All pairs of the other classes have been offered."""
     rows = (spread.join(classes.select("class", "id", "n", "sketch"), ["class", "id"])
             .withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
             .withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("key", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "c", "class", "n", "root", "sketch"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("open", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("open", pa.int64()), ("classes", pa.list_(pa.int64()))][:3 + listed])
 
     def run(key, t):
         _, lo, hi = (k.as_py() for k in key)
@@ -455,24 +456,29 @@ def across(spread: DataFrame, classes: DataFrame, percent: int, limit: int) -> D
         least = min(map(len, sketches))
         bits = np.stack([np.bitwise_xor.reduce(x.reshape(-1, least), axis=0) for x in sketches])
         found, size = np.unique(root, return_counts=True)
-        best: dict[int, list] = {}
-        for i in np.flatnonzero(root != found[np.argmax(size)]):
-            j = np.flatnonzero((root != root[i]) & ((chunk != chunk[i]) if lo != hi else True)
-                               & (100 * np.minimum(n[i], n) >= percent * np.maximum(n[i], n)))
-            far = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            ok = far <= (n[i] + n[j]) * (100 - percent) // (100 + percent)
-            j, far = j[ok], far[ok]
-            if len(j):
-                first = np.lexsort((name[j], far))[:limit + 1]
-                best.setdefault(int(root[i]), []).extend(
-                    (int(far[x]), min(int(name[i]), int(name[j[x]])), max(int(name[i]), int(name[j[x]]))) for x in first)
-        pairs = {p[1:] for rows in best.values() for p in sorted(rows)[:limit]}
-        out = [(*p, None) for p in pairs]
-        if any(len(set(rows)) > limit for rows in best.values()):
-            out.append((None, None, key[0].as_py()))
+        pairs, further = set(), np.zeros(len(root), bool)
+        for r in np.delete(found, np.argmax(size)):
+            best, met = [], np.zeros(len(root), bool)
+            for i in np.flatnonzero(root == r):
+                j = np.flatnonzero((root != r) & ((chunk != chunk[i]) if lo != hi else True)
+                                   & (100 * np.minimum(n[i], n) >= percent * np.maximum(n[i], n)))
+                far = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                ok = far <= (n[i] + n[j]) * (100 - percent) // (100 + percent)
+                j, far = j[ok], far[ok]
+                if len(j):
+                    met[i] = met[j] = True
+                    first = np.lexsort((name[j], far))[:limit + 1]
+                    best += [(int(far[x]), min(int(name[i]), int(name[j[x]])), max(int(name[i]), int(name[j[x]]))) for x in first]
+            pairs.update(p[1:] for p in sorted(best)[:limit])
+            if len(set(best)) > limit:
+                further |= met
+        out = [(*p, None, None) for p in pairs]
+        if further.any():
+            out.append((None, None, key[0].as_py(), np.unique(name[further]).tolist()))
         return pa.Table.from_batches([_rows(schema, out)])
 
-    return rows.groupBy("key", "lo", "hi").applyInArrow(run, "a bigint, b bigint, open bigint").distinct()
+    ddl = "a bigint, b bigint, open bigint" + ", classes array<bigint>" * listed
+    return rows.groupBy("key", "lo", "hi").applyInArrow(run, ddl).distinct()
 
 
 def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE, paired: int = PAIRED) -> DataFrame:
@@ -498,18 +504,18 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
               .join(classes.select("class", "id"), "class"))
     tested, limit, shared = pairs, 1, None
     while True:
-        spread = stored(still_open(spread, roots), f"{folder}/open{limit}")
+        spread = stored(still_open(spread, roots, f"{folder}/rooted{limit}"), f"{folder}/open{limit}")
         # Later rounds have no other classes.
         shared = shared or stored(classes.join(spread.select("class").distinct(), "class", "left_semi"), f"{folder}/shared")
-        near = stored(across(spread, shared, percent, limit), f"{folder}/across{limit}")
+        near = stored(across(spread, shared, percent, limit, listed=True), f"{folder}/across{limit}")
         new = stored(near.where("a is not null").select("a", "b").join(tested, ["a", "b"], "left_anti"), f"{folder}/new{limit}")
         if not new.isEmpty():
             tested, roots = tested.union(new), merged(roots, verified(new, classes, documents, percent, width), f"{folder}/round{limit}")
-        further = near.where("open is not null").select(F.col("open").alias("key")).distinct()
+        further = near.where("open is not null").select(F.col("open").alias("key"), F.explode("classes").alias("class")).distinct()
         if further.isEmpty():
             break
-        # The other groups have offered all their pairs.
-        spread, limit = spread.select("key", "class", "id").join(further, "key", "left_semi"), 64 * limit
+        # The other members of groups have offered all their pairs.
+        spread, limit = further.join(shared.select("class", "id"), "class"), 64 * limit
     rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
         "digest", F.coalesce("root", "id").alias("root"))
     return (docs.join(rooted, "digest", "left")

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import random
 import time
 
 import pyarrow as pa
@@ -137,6 +138,45 @@ def test_groups_with_further_pairs_are_named(spark):
     assert {tuple(r) for r in rows} == {(10, 11, None), (10, 12, None), (11, 12, None), (20, 21, None)}
 
 
+def test_settled_members_leave_their_groups(spark, monkeypatch):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    base, rows = [word() for _ in range(100)], []
+    for i in range(120):
+        w = list(base)
+        for _ in range(r.choice((1, 2, 4, 6, 6))):
+            w[r.randrange(100)] = word()
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    opened, left, written = [], [set()], []
+
+    def kept(df, path):
+        out = stored(df, path)
+        name = path.rsplit("/", 1)[1]
+        written.append(name)
+        if name.startswith("open"):
+            opened.append({(r["key"], r["class"]) for r in out.collect()})
+        if name.startswith("across"):
+            left.append({(r["open"], c) for r in out.where("open is not null").collect() for c in r["classes"]})
+        return out
+
+    monkeypatch.setattr(parity, "stored", kept)
+    assert {r["doc_id"]: r["component_id"] for r in parity.jaccard_components(docs, 85, 4, 4).collect()} == brute(rows, 85, 4)
+    assert len(opened) > 1 and all(now <= some for now, some in zip(opened[1:], left[1:]))
+    assert sum(map(len, opened[1:])) < len(opened[0]) / 2
+    assert sum(x.startswith("rooted") for x in written) == len(opened)     # members meet their roots once a round
+
+
+def test_members_with_further_pairs_are_listed(spark):
+    # 10, 11 and 12 are near each other, 30 is far from all, 40 and 41 are a pair that is offered at once.
+    sketch = {i: b for ids, b in (((10, 11, 12), b"\x00"), ((30,), b"\xaa"), ((40, 41), b"\xff")) for i in ids}
+    spread = spark.createDataFrame([(1, i, i, i, 1) for i in sketch], "key bigint, class bigint, id bigint, root bigint, chunks int")
+    classes = spark.createDataFrame([(i, i, 100, bytearray(64 * b)) for i, b in sketch.items()], "class bigint, id bigint, n bigint, sketch binary")
+    rows = parity.across(spread, classes, 85, 1, listed=True).collect()
+    assert [(r["open"], r["classes"]) for r in rows if r["open"] is not None] == [(1, [10, 11, 12])]
+    assert {(r["a"], r["b"]) for r in rows if r["a"] is not None} >= {(40, 41)}
+
+
 def test_tables_of_bigrams_have_small_rows(spark, monkeypatch):
     rows = [(i, " ".join(f"w{(i * k) % (7 + i % 11)}" for k in range(i % 40))) for i in range(120)] + [(None, "a w1 w2"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
